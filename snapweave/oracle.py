@@ -138,7 +138,51 @@ def _snap_sql(dataset: str) -> str:
     return f"WITH {snapshot_ctes(dataset)}\nSELECT {SNAP_FIELDS[dataset]} FROM {dataset}_snap"
 
 
+ROW_ID = "CAST(report_year AS VARCHAR) || '-' || CAST(report_week AS VARCHAR) || '-' || key"
+STG = {
+    "open_po": (f"{ROW_ID} AS row_id, report_year, report_week, key, po_number, po_item, material, "
+                "material_description, supplier, order_quantity, net_price, currency, rate_to_eur, "
+                "line_value_eur, CAST(report_date AS DATE) AS report_date"),
+    "all_prs": (f"{ROW_ID} AS row_id, report_year, report_week, key, pr_number, pr_item, material, "
+                "material_description, requested_quantity, requisitioner, responsible, "
+                "CAST(report_date AS DATE) AS report_date"),
+}
+
+
+def stg_ctes(dataset: str) -> str:
+    return f"{snapshot_ctes(dataset)},\nstg_{dataset} AS (SELECT {STG[dataset]} FROM {dataset}_snap)"
+
+
+VALUE_EUR = ("sum(TRY_CAST(order_quantity AS DECIMAL(18,2)) * TRY_CAST(net_price AS DECIMAL(18,2)) "
+             "* TRY_CAST(rate_to_eur AS DECIMAL(9,4)))")
+MART_CTES = f"""{stg_ctes('open_po')},
+mart_open_po_weekly AS (
+  SELECT report_year, report_week, max(report_date) AS report_date, count(*) AS line_count,
+         CAST(sum(TRY_CAST(order_quantity AS DECIMAL(18,2))) AS DOUBLE) AS total_quantity,
+         CAST({VALUE_EUR} AS DOUBLE) AS total_value_eur
+  FROM stg_open_po GROUP BY report_year, report_week),
+mart_top_suppliers AS (
+  SELECT report_year, report_week, supplier, count(*) AS line_count, CAST({VALUE_EUR} AS DOUBLE) AS value_eur
+  FROM stg_open_po GROUP BY report_year, report_week, supplier)"""
+
+
+def _card_sql(name: str) -> str:
+    from snapweave.plans.cards import CARDS
+
+    which, sql = CARDS[name]
+    mart = "mart_open_po_weekly" if which == "weekly" else "mart_top_suppliers"
+    return f"WITH {MART_CTES}\n" + sql.replace("{mart}", mart)
+
+
 ORACLE: dict[str, str] = {
     "snapshot_open_po": _snap_sql("open_po"),
     "snapshot_all_prs": _snap_sql("all_prs"),
+    "stg_open_po": f"WITH {stg_ctes('open_po')}\nSELECT * FROM stg_open_po",
+    "stg_all_prs": f"WITH {stg_ctes('all_prs')}\nSELECT * FROM stg_all_prs",
+    "mart_open_po_weekly": f"WITH {MART_CTES}\nSELECT * FROM mart_open_po_weekly",
+    "mart_top_suppliers": f"WITH {MART_CTES}\nSELECT * FROM mart_top_suppliers",
+    "card_weekly_open_value": _card_sql("weekly_open_value"),
+    "card_weekly_line_count": _card_sql("weekly_line_count"),
+    "card_kpi_latest": _card_sql("kpi_latest_week"),
+    "card_top_suppliers": _card_sql("top_suppliers_latest"),
 }

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from snapweave.contracts import ALL_PRS, OPEN_PO
+from snapweave.plans import cards, models
 from snapweave.plans.snapshot import transform
 from snapweave.sources.seeds import load_rates
 from snapweave.sources.tables import all_prs_extract, open_po_extract
@@ -26,7 +27,39 @@ def snapshot_all_prs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transform(all_prs_extract(spark, sf_dir), ALL_PRS, load_rates(spark))
 
 
+def stg_open_po(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return models.stg_open_po(snapshot_open_po(spark, sf_dir))
+
+
+def stg_all_prs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return models.stg_all_prs(snapshot_all_prs(spark, sf_dir))
+
+
+def mart_open_po_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return models.mart_open_po_weekly(stg_open_po(spark, sf_dir))
+
+
+def mart_top_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return models.mart_top_suppliers(stg_open_po(spark, sf_dir))
+
+
+def _card(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        stg = stg_open_po(spark, sf_dir)
+        return cards.run_card(spark, name, models.mart_open_po_weekly(stg), models.mart_top_suppliers(stg))
+    run.__name__ = f"card_{name}"
+    return run
+
+
 QUERIES: dict[str, Query] = {
     "snapshot_open_po": snapshot_open_po,
     "snapshot_all_prs": snapshot_all_prs,
+    "stg_open_po": stg_open_po,
+    "stg_all_prs": stg_all_prs,
+    "mart_open_po_weekly": mart_open_po_weekly,
+    "mart_top_suppliers": mart_top_suppliers,
+    "card_weekly_open_value": _card("weekly_open_value"),
+    "card_weekly_line_count": _card("weekly_line_count"),
+    "card_kpi_latest": _card("kpi_latest_week"),
+    "card_top_suppliers": _card("top_suppliers_latest"),
 }

@@ -29,6 +29,8 @@ def _norm(v):
         return None
     if isinstance(v, float):
         return float(f"{v:.6g}") if math.isfinite(v) else v
+    if isinstance(v, pd.Timestamp) and v == v.normalize():
+        return v.date().isoformat()
     if hasattr(v, "isoformat"):
         return v.isoformat()
     if hasattr(v, "item"):
