@@ -10,14 +10,20 @@ from pyspark.sql import functions as F
 # Separator between the parts of a composite key (not escaped inside parts).
 KEY_SEP = "|"
 
+# Every character Python's str.strip()/str.split() treat as
+# whitespace (str.isspace), so text is cut exactly where the source system cut it.
+WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+              "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+              "\u2028\u2029\u202f\u205f\u3000")
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def strip(c: Column | str) -> Column:
-    """Remove leading and trailing Unicode whitespace (``trim`` takes spaces only)."""
-    return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
+    """Remove leading and trailing whitespace of any kind (``trim`` takes spaces only)."""
+    return F.btrim(_col(c), F.lit(WHITESPACE))
 
 
 def zero_fill(c: Column | str, width: int) -> Column:
@@ -26,12 +32,12 @@ def zero_fill(c: Column | str, width: int) -> Column:
     The empty string stays empty.
     """
     x = _col(c)
-    w = F.lit(width)
+    n = F.greatest(F.length(x), F.lit(width))
+    signed = F.substring(x, 1, 1).isin("+", "-")
     return (
         F.when(x == "", x)
-        .when(F.length(x) >= w, x)
-        .when(x.rlike(r"^[+-]"), F.concat(F.substring(x, 1, 1), F.lpad(F.substring(x, 2, 1 << 30), width - 1, "0")))
-        .otherwise(F.lpad(x, width, "0"))
+        .when(signed, F.concat(F.substring(x, 1, 1), F.lpad(F.substring(x, 2, 1 << 30), n - 1, "0")))
+        .otherwise(F.lpad(x, n, "0"))
     )
 
 
@@ -41,9 +47,9 @@ def normalize_key(c: Column | str, width: int | None = None) -> Column:
     NULL or blank -> "" (and stays "" whatever the width); otherwise strip,
     drop a trailing ".0" when the rest is all digits, upper-case, zero fill.
     """
+    # Each step reads the previous one once, so nested use stays linear in size.
     t = F.coalesce(strip(_col(c).cast("string")), F.lit(""))
-    t = F.when(t.rlike(r"(?U)^\d+\.0$"), F.substring_index(t, ".", 1)).otherwise(t)
-    t = F.upper(t)
+    t = F.upper(F.regexp_replace(t, r"^(\p{Nd}+)\.0$", "$1"))
     if width is not None:
         t = zero_fill(t, width)
     return t

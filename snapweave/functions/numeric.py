@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapweave.functions.keys import WHITESPACE
+
 # A plain decimal literal as Python's float() reads it, after whitespace is
 # removed and commas became dots. Spark alone would also accept "1d", "1.0f"
 # or hex floats, so the text is checked before the cast.
@@ -21,8 +23,9 @@ def to_numeric(c: Column | str) -> Column:
     and anything unparsable become NULL.
     """
     c = F.col(c) if isinstance(c, str) else c
-    s = F.replace(F.regexp_replace(c, r"(?U)\s+", ""), F.lit(","), F.lit("."))
-    s = F.regexp_replace(s, r"(?<=[0-9])_(?=[0-9])", "")
+    # One pass: commas become dots, whitespace characters are deleted.
+    s = F.translate(c, "," + WHITESPACE, ".")
+    s = F.when(s.contains("_"), F.regexp_replace(s, r"(?<=[0-9])_(?=[0-9])", "")).otherwise(s)
     neg_inf = F.lit(float("-inf")).cast("double")
     pos_inf = F.lit(float("inf")).cast("double")
     return (

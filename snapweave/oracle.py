@@ -18,6 +18,10 @@ def zfill(x: str, w: int) -> str:
             f"ELSE lpad({x}, {w}, '0') END)")
 
 
+def pad(x: str, w: int) -> str:
+    return f"lpad({x}, greatest(length({x}), {w}), '0')"
+
+
 def norm_key(x: str, w: int | None = None) -> str:
     t = f"coalesce(regexp_replace(CAST({x} AS VARCHAR), '^\\s+|\\s+$', '', 'g'), '')"
     t = f"upper(regexp_replace({t}, '^([0-9]+)\\.0$', '\\1'))"
@@ -57,18 +61,18 @@ LINES_CTE = f"""lines AS (
 
 
 def _number(prefix: str) -> str:
-    n = f"('{prefix}' || {zfill('CAST(l_orderkey AS VARCHAR)', 7)})"
+    n = f"('{prefix}' || {pad('CAST(l_orderkey AS VARCHAR)', 7)})"
     return f"(CASE WHEN l_partkey % 5 = 0 THEN ' ' || {n} || '  ' ELSE {n} END)"
 
 
 ITEM = ("(CASE WHEN (l_orderkey * 7 + l_linenumber) % 97 = 0 THEN NULL "
         "WHEN l_suppkey % 11 = 0 THEN CAST(l_linenumber * 10 AS VARCHAR) || '.0' "
         "ELSE CAST(l_linenumber * 10 AS VARCHAR) END)")
-MATERIAL = f"(CASE WHEN l_partkey % 2 = 0 THEN {zfill('CAST(l_partkey AS VARCHAR)', 8)} ELSE CAST(l_partkey AS VARCHAR) END)"
-QTY = ("(CASE WHEN l_partkey % 2 = 0 THEN replace(printf('%.2f', l_quantity), '.', ',') "
-       "ELSE printf('%.2f', l_quantity) END)")
+MATERIAL = f"(CASE WHEN l_partkey % 2 = 0 THEN {pad('CAST(l_partkey AS VARCHAR)', 8)} ELSE CAST(l_partkey AS VARCHAR) END)"
+QTY_TXT = "CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR)"
+QTY = f"(CASE WHEN l_partkey % 2 = 0 THEN replace({QTY_TXT}, '.', ',') ELSE {QTY_TXT} END)"
 PRICE = ("(CASE WHEN l_suppkey % 2 = 0 THEN translate(format('{:,.2f}', l_extendedprice), ',.', ' ,') "
-         "ELSE printf('%.2f', l_extendedprice) END)")
+         "ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) END)")
 CURRENCY = (f"(CASE WHEN l_orderkey % 53 = 0 THEN NULL WHEN l_orderkey % 59 = 0 THEN 'CHF' "
             f"ELSE {CURRENCY_LIST}[l_suppkey % 4 + 1] END)")
 PLANT = "('P' || CAST((s_nationkey % 3 + 1) * 100 AS VARCHAR))"

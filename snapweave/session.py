@@ -71,3 +71,17 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a frame over at least the cluster's parallelism.
+
+    A scan of large, split files already has thousands of partitions and is
+    returned untouched. A small unsplittable input (one file, one row group)
+    would otherwise run every row-wise step before the first shuffle in a
+    single task; it gets a round-robin repartition instead.
+    """
+    sc = df.sparkSession.sparkContext
+    want = min_partitions or sc.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    return df if have >= want else df.repartition(want)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapweave.functions.dates import iso_week, iso_year
-from snapweave.functions.keys import zero_fill
+from snapweave.session import ensure_parallelism
 
 # Fixed values of the derivation rules.
 CURRENCIES = ("EUR", "USD", "GBP", "PLN")  # picked by l_suppkey % 4
@@ -31,8 +31,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _pad(x: Column, width: int) -> Column:
+    """Zero-pad a non-negative number's text to a minimum width."""
+    return F.lpad(x, F.greatest(F.length(x), F.lit(width)), "0")
+
+
 def _plain_number(c: Column) -> Column:
-    return F.format_string("%.2f", c)
+    return c.cast("decimal(18,2)").cast("string")
 
 
 def _comma_number(c: Column) -> Column:
@@ -41,7 +46,7 @@ def _comma_number(c: Column) -> Column:
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem").select(*ROW_ORDER)
+    li = ensure_parallelism(read_table(spark, sf_dir, "lineitem").select(*ROW_ORDER))
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
     supp = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
@@ -57,7 +62,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _common(prefix: str) -> dict[str, Column]:
     ok, ln, pk, sk = (F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
-    number = F.concat(F.lit(prefix), zero_fill(ok.cast("string"), NUMBER_WIDTH))
+    number = F.concat(F.lit(prefix), _pad(ok.cast("string"), NUMBER_WIDTH))
     item = (ln * 10).cast("string")
     qty = _plain_number(F.col("l_quantity"))
     return {
@@ -65,7 +70,7 @@ def _common(prefix: str) -> dict[str, Column]:
         "item": F.when((ok * 7 + ln) % 97 == 0, F.lit(None).cast("string"))
                  .when(sk % 11 == 0, F.concat(item, F.lit(".0")))
                  .otherwise(item),
-        "material": F.when(pk % 2 == 0, zero_fill(pk.cast("string"), MATERIAL_WIDTH)).otherwise(pk.cast("string")),
+        "material": F.when(pk % 2 == 0, _pad(pk.cast("string"), MATERIAL_WIDTH)).otherwise(pk.cast("string")),
         "quantity": F.when(pk % 2 == 0, F.replace(qty, F.lit("."), F.lit(","))).otherwise(qty),
         "plant": F.concat(F.lit("P"), ((F.col("s_nationkey") % 3 + 1) * 100).cast("string")),
         "ship_iso": F.date_format("l_shipdate", "yyyy-MM-dd"),
