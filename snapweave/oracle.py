@@ -19,7 +19,7 @@ def zfill(x: str, w: int) -> str:
 
 
 def pad(x: str, w: int) -> str:
-    return f"lpad({x}, greatest(length({x}), {w}), '0')"
+    return f"lpad({x}, CAST(greatest(length({x}), {w}) AS INTEGER), '0')"
 
 
 def norm_key(x: str, w: int | None = None) -> str:
