@@ -178,6 +178,49 @@ def _card_sql(name: str) -> str:
     return f"WITH {MART_CTES}\n" + sql.replace("{mart}", mart)
 
 
+def grid_ctes(dataset: str = "open_po") -> str:
+    """The dataset's extract laid out as files of grid rows, as in
+    ``grid_from_extract``: title (odd weeks), header (aliases when week % 3 = 0),
+    data rows in row order, two junk rows."""
+    c = CONTRACTS[dataset]
+    fields = [s.field for s in c.columns]
+    nulls = ", ".join(["NULL"] * (len(fields) - 1))
+    headers = "[" + ", ".join(f"'{s.header}'" for s in c.columns) + "]"
+    aliases = "[" + ", ".join(f"'{(s.aliases or (s.header,))[0]}'" for s in c.columns) + "]"
+    start = "(CASE WHEN report_week % 2 = 1 THEN 2 ELSE 1 END)"
+    file_cols = "dataset, report_year, report_week, file"
+    mon = f"strftime({monday('report_year', 'report_week')}, '%Y-%m-%d')"
+    return f"""{extract_ctes(dataset)},
+g_data AS (
+  SELECT '{dataset}' AS dataset, report_year, report_week,
+         format('{{}}_{{}}_W{{:02d}}_b{{}}', '{dataset}', report_year, report_week, _block) AS file,
+         CAST(row_number() OVER (PARTITION BY report_year, report_week, _block ORDER BY {ORDER_COLS}) - 1
+              + {start} AS INTEGER) AS row_idx,
+         {', '.join(fields)}, [{', '.join(fields)}] AS cells
+  FROM {dataset}_ext),
+g_files AS (SELECT {file_cols}, count(*) AS n FROM g_data GROUP BY ALL),
+grid AS (
+  SELECT {file_cols}, row_idx, cells FROM g_data
+  UNION ALL SELECT {file_cols}, 0, ['Report Date: ' || {mon}, {nulls}] FROM g_files WHERE report_week % 2 = 1
+  UNION ALL SELECT {file_cols}, CAST({start} - 1 AS INTEGER),
+                   CASE WHEN report_week % 3 = 0 THEN {aliases} ELSE {headers} END FROM g_files
+  UNION ALL SELECT {file_cols}, CAST({start} + n AS INTEGER), ['Total', {nulls}] FROM g_files
+  UNION ALL SELECT {file_cols}, CAST({start} + n + 1 AS INTEGER), ['*** End of report ***', {nulls}] FROM g_files),
+g_head AS (
+  SELECT {file_cols}, row_idx AS header_idx,
+         CAST(len(list_distinct(list_filter(list_transform(cells, lambda x: trim(x)),
+              lambda x: list_contains({sorted(c.known_headers())}, x)))) AS INTEGER) AS header_hits
+  FROM grid WHERE row_idx < 15
+  QUALIFY row_number() OVER (PARTITION BY file ORDER BY header_hits DESC, row_idx) = 1)"""
+
+
+GRID_BODY = """SELECT g.dataset, g.report_year, g.report_week, g.file,
+         count(*) FILTER (WHERE len(list_filter(g.cells, lambda x: x IS NOT NULL)) >= 2) AS body_rows,
+         count(*) FILTER (WHERE len(list_filter(g.cells, lambda x: x IS NOT NULL)) < 2) AS junk_rows
+  FROM grid g JOIN g_head h ON g.file = h.file WHERE g.row_idx > h.header_idx
+  GROUP BY ALL"""
+
+
 ORACLE: dict[str, str] = {
     "snapshot_open_po": _snap_sql("open_po"),
     "snapshot_all_prs": _snap_sql("all_prs"),
@@ -189,4 +232,9 @@ ORACLE: dict[str, str] = {
     "card_weekly_line_count": _card_sql("weekly_line_count"),
     "card_kpi_latest": _card_sql("kpi_latest_week"),
     "card_top_suppliers": _card_sql("top_suppliers_latest"),
+    "grid_header_detect": f"WITH {grid_ctes()}\nSELECT * FROM g_head",
+    "grid_junk_filter": f"WITH {grid_ctes()}\n{GRID_BODY}",
+    "grid_resolve": (f"WITH {grid_ctes()}\nSELECT dataset, report_year, report_week, file, row_idx, "
+                     + ", ".join(OPEN_PO.fields()) + " FROM g_data"),
+    "grid_snapshot_open_po": _snap_sql("open_po"),
 }

@@ -11,7 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from snapweave.contracts import ALL_PRS, OPEN_PO
+from pyspark.sql import functions as F
+
+from snapweave.operators.header import body_rows, detect_headers, filled_cells
+from snapweave.operators.resolve import extract
 from snapweave.plans import cards, models
+from snapweave.sources.grid import grid_from_extract
 from snapweave.plans.snapshot import transform
 from snapweave.sources.seeds import load_rates
 from snapweave.sources.tables import all_prs_extract, open_po_extract
@@ -51,6 +56,37 @@ def _card(name: str) -> Query:
     return run
 
 
+def open_po_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_from_extract(open_po_extract(spark, sf_dir), OPEN_PO)
+
+
+def _file_info(grid: DataFrame) -> DataFrame:
+    return grid.select("dataset", "report_year", "report_week", "file").distinct()
+
+
+def grid_header_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grid = open_po_grid(spark, sf_dir)
+    heads = detect_headers(grid, OPEN_PO.known_headers())
+    return _file_info(grid).join(heads.select("file", "header_idx", "header_hits"), "file")
+
+
+def grid_junk_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grid = open_po_grid(spark, sf_dir)
+    body = body_rows(grid, detect_headers(grid, OPEN_PO.known_headers()))
+    kept = filled_cells(F.col("cells")) >= 2
+    return body.groupBy("dataset", "report_year", "report_week", "file").agg(
+        F.count_if(kept).alias("body_rows"), F.count_if(~kept).alias("junk_rows"))
+
+
+def grid_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(open_po_grid(spark, sf_dir), OPEN_PO).drop("_absent", "_order")
+
+
+def grid_snapshot_open_po(spark: SparkSession, sf_dir: str) -> DataFrame:
+    snap = transform(extract(open_po_grid(spark, sf_dir), OPEN_PO), OPEN_PO, load_rates(spark))
+    return snap.drop("_absent")
+
+
 QUERIES: dict[str, Query] = {
     "snapshot_open_po": snapshot_open_po,
     "snapshot_all_prs": snapshot_all_prs,
@@ -62,4 +98,8 @@ QUERIES: dict[str, Query] = {
     "card_weekly_line_count": _card("weekly_line_count"),
     "card_kpi_latest": _card("kpi_latest_week"),
     "card_top_suppliers": _card("top_suppliers_latest"),
+    "grid_header_detect": grid_header_detect,
+    "grid_junk_filter": grid_junk_filter,
+    "grid_resolve": grid_resolve,
+    "grid_snapshot_open_po": grid_snapshot_open_po,
 }
