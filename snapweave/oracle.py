@@ -99,7 +99,8 @@ def extract_ctes(dataset: str) -> str:
     return f"{LINES_CTE},\n{dataset}_ext AS ({EXTRACT_SELECT[dataset]})"
 
 
-def snapshot_ctes(dataset: str, with_rates: bool = True) -> str:
+def snapshot_ctes(dataset: str, with_rates: bool = True, keep: str = "last", name: str | None = None,
+                  with_extract: bool = True) -> str:
     """CTEs up to ``<dataset>_snap``: the cleaned, deduplicated, stamped snapshot."""
     c: Contract = CONTRACTS[dataset]
     typed_cols = []
@@ -113,22 +114,26 @@ def snapshot_ctes(dataset: str, with_rates: bool = True) -> str:
     parts = [norm_key(k) for k in c.key]
     key = " || '|' || ".join(parts)
     complete = " AND ".join(f"{p} <> ''" for p in parts)
-    ctes = [extract_ctes(dataset), f"""{dataset}_typed AS (
+    order = ORDER_DESC if keep == "last" else ORDER_COLS
+    snap = name or f"{dataset}_snap"
+    ctes = [extract_ctes(dataset)] if with_extract else []
+    ctes += [f"""{snap}_typed AS (
   SELECT {', '.join(typed_cols)}, {key} AS key, report_year, report_week, {ORDER_COLS}
-  FROM {dataset}_ext WHERE {complete})""", f"""{dataset}_dedup AS (
-  SELECT * FROM {dataset}_typed
-  QUALIFY row_number() OVER (PARTITION BY report_year, report_week, key ORDER BY {ORDER_DESC}) = 1)"""]
+  FROM {dataset}_ext WHERE {complete})""", f"""{snap}_dedup AS (
+  SELECT * FROM {snap}_typed
+  QUALIFY row_number() OVER (PARTITION BY report_year, report_week, key ORDER BY {order}) = 1)"""]
     def base(a: str) -> str:
         cols = ", ".join(f"{a}{s.field}" for s in c.columns)
         return (f"SELECT {cols}, {a}key, strftime({monday(a + 'report_year', a + 'report_week')}, '%Y-%m-%d') "
                 f"AS report_date, {a}report_week, {a}report_year")
     if with_rates and dataset == "open_po":
-        ctes.append(RATES_CTE)
-        ctes.append(f"""{dataset}_snap AS (
+        if with_extract:
+            ctes.append(RATES_CTE)
+        ctes.append(f"""{snap} AS (
   {base('d.')}, r.rate_to_eur, d.order_quantity * d.net_price * r.rate_to_eur AS line_value_eur
-  FROM {dataset}_dedup d LEFT JOIN rates r ON d.currency = r.currency)""")
+  FROM {snap}_dedup d LEFT JOIN rates r ON d.currency = r.currency)""")
     else:
-        ctes.append(f"{dataset}_snap AS ({base('')} FROM {dataset}_dedup)")
+        ctes.append(f"{snap} AS ({base('')} FROM {snap}_dedup)")
     return ",\n".join(ctes)
 
 
@@ -221,6 +226,98 @@ GRID_BODY = """SELECT g.dataset, g.report_year, g.report_week, g.file,
   GROUP BY ALL"""
 
 
+def _ext(select: str, where: str = "") -> str:
+    return f"WITH {extract_ctes('open_po')}\nSELECT {select} FROM open_po_ext {where}"
+
+
+LINE_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+             "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+def _compact_lines(keep: str) -> str:
+    rest = [c for c in LINE_COLS if c not in ("l_orderkey", "l_linenumber", "l_shipdate")]
+    if keep == "last":
+        order = "(l_shipdate IS NULL) DESC, l_shipdate DESC, " + ", ".join(f"{c} DESC NULLS LAST" for c in rest)
+    else:
+        order = "(l_shipdate IS NULL) ASC, l_shipdate ASC, " + ", ".join(f"{c} ASC NULLS FIRST" for c in rest)
+    return (f"SELECT {', '.join(LINE_COLS)} FROM lineitem "
+            f"QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {order}) = 1")
+
+
+EXT_COLS = OPEN_PO.fields() + ["report_year", "report_week"]
+
+
+def _compact_null_sort() -> str:
+    rest = [c for c in EXT_COLS if c not in ("po_number", "po_item")]
+    order = "(po_item IS NULL) DESC, po_item DESC, " + ", ".join(f"{c} DESC NULLS LAST" for c in rest)
+    return (f"WITH {extract_ctes('open_po')}\nSELECT {', '.join(EXT_COLS)} FROM open_po_ext "
+            f"QUALIFY row_number() OVER (PARTITION BY po_number ORDER BY {order}) = 1")
+
+
+_PARTS = [norm_key(k) for k in OPEN_PO.key]
+_KEY = " || '|' || ".join(_PARTS)
+_COMPLETE = " AND ".join(f"{p} <> ''" for p in _PARTS)
+SNAP_COLS = SNAP_FIELDS["open_po"].split(", ")
+
+_DQ_UNIQUE = f"""WITH {snapshot_ctes('open_po')},
+g1 AS (SELECT count(*) AS n FROM open_po_snap_typed GROUP BY report_year, report_week, key),
+g2 AS (SELECT count(*) AS n FROM open_po_snap GROUP BY report_year, report_week, key)
+SELECT 'extract' AS stage, CAST(coalesce(sum(n), 0) AS BIGINT) AS rows,
+       CAST(coalesce(sum(CASE WHEN n > 1 THEN n END), 0) AS BIGINT) AS dup_rows FROM g1
+UNION ALL
+SELECT 'snapshot', CAST(coalesce(sum(n), 0) AS BIGINT), CAST(coalesce(sum(CASE WHEN n > 1 THEN n END), 0) AS BIGINT) FROM g2"""
+
+_DQ_NOT_NULL = (f"WITH {snapshot_ctes('open_po')}\nSELECT count(*) AS rows, "
+                + ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS nulls_{c}" for c in SNAP_COLS)
+                + " FROM open_po_snap")
+
+_DQ_DELTA = f"""WITH {snapshot_ctes('open_po')},
+w AS (SELECT report_year, report_week, count(*) AS rows,
+             lag(count(*)) OVER (ORDER BY report_year, report_week) AS prev_rows
+      FROM open_po_snap GROUP BY report_year, report_week),
+p AS (SELECT *, CASE WHEN prev_rows IS NULL OR prev_rows = 0 THEN CAST(0 AS DOUBLE)
+                     ELSE abs(rows - prev_rows) / prev_rows END AS pct FROM w)
+SELECT report_year, report_week, rows, prev_rows, pct, pct <= 0.5 AS passed FROM p"""
+
+_DQ_FRESH = f"""WITH {snapshot_ctes('open_po')},
+f AS (SELECT report_year, report_week, count(*) AS rows,
+             count(*) FILTER (WHERE report_date IS DISTINCT FROM
+                              strftime({monday('report_year', 'report_week')}, '%Y-%m-%d')) AS stale_rows
+      FROM open_po_snap GROUP BY report_year, report_week)
+SELECT *, rows > 0 AND stale_rows = 0 AS passed FROM f"""
+
+_DQ_REL = f"""WITH {stg_ctes('open_po')}
+SELECT currency, count(*) AS rows FROM stg_open_po s
+WHERE currency IS NOT NULL AND NOT EXISTS (SELECT 1 FROM rates r WHERE r.currency = s.currency)
+GROUP BY currency"""
+
+
+def _upsert_sql(partial: bool) -> str:
+    keys = ["report_year", "report_week", "key"]
+    src_cols = keys + ["net_price"] if partial else SNAP_COLS
+    src = ", ".join(src_cols)
+    sel = []
+    for c in SNAP_COLS:
+        if c in keys:
+            sel.append(f"coalesce(s.{c}, t.{c}) AS {c}")
+        elif c in src_cols:
+            sel.append(f"CASE WHEN s.key IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}")
+        else:
+            sel.append(f"t.{c} AS {c}")
+    in_touched = ("EXISTS (SELECT 1 FROM touched x WHERE x.report_year = {a}.report_year "
+                  "AND x.report_week = {a}.report_week)")
+    return f"""WITH {snapshot_ctes('open_po')},
+{snapshot_ctes('open_po', keep='first', name='open_po_first', with_extract=False)},
+stored AS (SELECT * FROM open_po_snap WHERE report_week <= 26),
+incoming AS (SELECT {src} FROM open_po_first WHERE report_week >= 20 AND rate_to_eur IS NOT NULL),
+touched AS (SELECT DISTINCT report_year, report_week FROM incoming),
+old AS (SELECT * FROM stored WHERE {in_touched.format(a='stored')}),
+merged AS (SELECT {', '.join(sel)} FROM old t FULL OUTER JOIN incoming s
+           ON t.report_year = s.report_year AND t.report_week = s.report_week AND t.key = s.key)
+SELECT {', '.join(SNAP_COLS)} FROM stored WHERE NOT {in_touched.format(a='stored')}
+UNION ALL SELECT {', '.join(SNAP_COLS)} FROM merged"""
+
+
 ORACLE: dict[str, str] = {
     "snapshot_open_po": _snap_sql("open_po"),
     "snapshot_all_prs": _snap_sql("all_prs"),
@@ -237,4 +334,27 @@ ORACLE: dict[str, str] = {
     "grid_resolve": (f"WITH {grid_ctes()}\nSELECT dataset, report_year, report_week, file, row_idx, "
                      + ", ".join(OPEN_PO.fields()) + " FROM g_data"),
     "grid_snapshot_open_po": _snap_sql("open_po"),
+    "to_numeric_messy": _ext(f"order_quantity AS raw_quantity, {to_num('order_quantity')} AS order_quantity, "
+                             f"net_price AS raw_price, {to_num('net_price')} AS net_price"),
+    "normalize_keys": _ext(f"po_number AS raw_po_number, po_item AS raw_po_item, "
+                           f"{norm_key('po_number')} AS po_number_key, {norm_key('po_item')} AS po_item_key"),
+    "zero_pad_material": _ext(f"material AS raw_material, {norm_key('material', 8)} AS material"),
+    "composite_key_incomplete_drop": _ext(f"report_year, report_week, {_KEY} AS key", f"WHERE {_COMPLETE}"),
+    "iso_week_monday": """WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS order_date FROM orders)
+SELECT order_date, CAST(isoyear(order_date) AS INTEGER) AS iso_year, CAST(week(order_date) AS INTEGER) AS iso_week,
+       """ + monday("isoyear(order_date)", "week(order_date)") + """ AS monday FROM d""",
+    "week_sequence": """WITH s AS (SELECT CAST(isoyear(o_orderdate) AS INTEGER) AS report_year,
+                  CAST(min(week(o_orderdate)) AS INTEGER) AS lo, CAST(max(week(o_orderdate)) AS INTEGER) AS hi
+           FROM orders GROUP BY 1)
+SELECT report_year, CAST(unnest(range(lo, hi + 1)) AS INTEGER) AS report_week FROM s""",
+    "compact_last": _compact_lines("last"),
+    "compact_first": _compact_lines("first"),
+    "compact_null_sort": _compact_null_sort(),
+    "dq_unique_keys": _DQ_UNIQUE,
+    "dq_not_null": _DQ_NOT_NULL,
+    "dq_row_count_delta": _DQ_DELTA,
+    "dq_freshness": _DQ_FRESH,
+    "dq_relationships": _DQ_REL,
+    "upsert_twice": _upsert_sql(False),
+    "upsert_partial_columns": _upsert_sql(True),
 }

@@ -29,7 +29,7 @@ def snapshot_columns(df: DataFrame, contract: Contract) -> list[str]:
 
 
 def transform(df: DataFrame, contract: Contract, rates: DataFrame | None = None,
-              week: int | None = None, year: int = DEFAULT_YEAR) -> DataFrame:
+              week: int | None = None, year: int = DEFAULT_YEAR, keep: str = "last") -> DataFrame:
     """Coerce numbers, pad keys, key and drop incomplete rows, keep the last
     row per key and week, stamp the report date, add FX rates.
 
@@ -49,7 +49,7 @@ def transform(df: DataFrame, contract: Contract, rates: DataFrame | None = None,
     out = out.withColumn("key", composite_key(parts)).filter(key_complete(parts))
 
     order = [ORDER_COL] if ORDER_COL in out.columns else None
-    out = compact_rows(out, key_cols=[*WEEK_COLS, "key"], keep="last", order_cols=order)
+    out = compact_rows(out, key_cols=[*WEEK_COLS, "key"], keep=keep, order_cols=order)
 
     monday = report_monday(F.col("report_week"), F.col("report_year"))
     out = out.withColumn("report_date", F.date_format(monday, "yyyy-MM-dd"))

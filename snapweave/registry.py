@@ -13,13 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 from snapweave.contracts import ALL_PRS, OPEN_PO
 from pyspark.sql import functions as F
 
+from snapweave.functions import (composite_key, iso_week, iso_year, key_complete, normalize_key,
+                                 report_monday, to_numeric, weeks_from_spec)
+from snapweave.operators import quality as dq
+from snapweave.operators.compact import compact_rows
 from snapweave.operators.header import body_rows, detect_headers, filled_cells
+from snapweave.operators.upsert import KEY_COLS, merge_snapshot
 from snapweave.operators.resolve import extract
 from snapweave.plans import cards, models
 from snapweave.sources.grid import grid_from_extract
 from snapweave.plans.snapshot import transform
 from snapweave.sources.seeds import load_rates
-from snapweave.sources.tables import all_prs_extract, open_po_extract
+from snapweave.sources.tables import all_prs_extract, open_po_extract, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +92,117 @@ def grid_snapshot_open_po(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snap.drop("_absent")
 
 
+# --- cleaning functions over the whole extract ---------------------------
+
+def to_numeric_messy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = open_po_extract(spark, sf_dir)
+    return e.select(F.col("order_quantity").alias("raw_quantity"), to_numeric("order_quantity").alias("order_quantity"),
+                    F.col("net_price").alias("raw_price"), to_numeric("net_price").alias("net_price"))
+
+
+def normalize_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = open_po_extract(spark, sf_dir)
+    return e.select(F.col("po_number").alias("raw_po_number"), F.col("po_item").alias("raw_po_item"),
+                    normalize_key("po_number").alias("po_number_key"), normalize_key("po_item").alias("po_item_key"))
+
+
+def zero_pad_material(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = open_po_extract(spark, sf_dir)
+    return e.select(F.col("material").alias("raw_material"), normalize_key("material", 8).alias("material"))
+
+
+def composite_key_incomplete_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = open_po_extract(spark, sf_dir)
+    parts = [normalize_key(k) for k in OPEN_PO.key]
+    return e.filter(key_complete(parts)).select("report_year", "report_week", composite_key(parts).alias("key"))
+
+
+def iso_week_monday(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = read_table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("order_date")).distinct()
+    return d.select("order_date", iso_year("order_date").alias("iso_year"), iso_week("order_date").alias("iso_week"),
+                    report_monday(iso_week("order_date"), iso_year("order_date")).alias("monday"))
+
+
+def week_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders")
+    span = o.groupBy(iso_year("o_orderdate").alias("report_year")).agg(
+        F.min(iso_week("o_orderdate")).alias("lo"), F.max(iso_week("o_orderdate")).alias("hi"))
+    spec = F.concat_ws("-", F.col("lo").cast("string"), F.col("hi").cast("string"))
+    return span.select("report_year", F.explode(weeks_from_spec(spec)).alias("report_week"))
+
+
+# --- compaction ---------------------------------------------------------------
+
+LINE_KEY = ["l_orderkey", "l_linenumber"]
+
+
+def compact_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compact_rows(read_table(spark, sf_dir, "lineitem", spread=True), LINE_KEY, ["l_shipdate"], keep="last")
+
+
+def compact_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compact_rows(read_table(spark, sf_dir, "lineitem", spread=True), LINE_KEY, ["l_shipdate"], keep="first")
+
+
+def compact_null_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = open_po_extract(spark, sf_dir).drop("_order", "_block")
+    return compact_rows(e, ["po_number"], ["po_item"], keep="last")
+
+
+# --- data quality -------------------------------------------------------------
+
+def _keyed_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = open_po_extract(spark, sf_dir)
+    parts = [normalize_key(k) for k in OPEN_PO.key]
+    return e.filter(key_complete(parts)).select("report_year", "report_week", composite_key(parts).alias("key"))
+
+
+def dq_unique_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    before = dq.unique_keys_report(_keyed_extract(spark, sf_dir), KEY_COLS).select(F.lit("extract").alias("stage"), "*")
+    after = dq.unique_keys_report(snapshot_open_po(spark, sf_dir), KEY_COLS).select(F.lit("snapshot").alias("stage"), "*")
+    return before.unionByName(after)
+
+
+def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    snap = snapshot_open_po(spark, sf_dir)
+    return dq.not_null_report(snap, snap.columns)
+
+
+def dq_row_count_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dq.row_count_delta_report(snapshot_open_po(spark, sf_dir))
+
+
+def dq_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dq.freshness_report(snapshot_open_po(spark, sf_dir))
+
+
+def dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dq.relationships_report(stg_open_po(spark, sf_dir), load_rates(spark))
+
+
+# --- upserts ------------------------------------------------------------------
+
+def _upsert_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Stored weeks 1-26 (last row per key), then a later load of weeks 20-53
+    built from the older rows (first per key) and only lines with a known rate."""
+    ext = open_po_extract(spark, sf_dir)
+    rates = load_rates(spark)
+    stored = transform(ext, OPEN_PO, rates).filter(F.col("report_week") <= 26)
+    incoming = transform(ext, OPEN_PO, rates, keep="first").filter(
+        (F.col("report_week") >= 20) & F.col("rate_to_eur").isNotNull())
+    return stored, incoming
+
+
+def upsert_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored, incoming = _upsert_inputs(spark, sf_dir)
+    return merge_snapshot(merge_snapshot(stored, incoming), incoming)
+
+
+def upsert_partial_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored, incoming = _upsert_inputs(spark, sf_dir)
+    return merge_snapshot(stored, incoming.select("report_year", "report_week", "key", "net_price"))
+
+
 QUERIES: dict[str, Query] = {
     "snapshot_open_po": snapshot_open_po,
     "snapshot_all_prs": snapshot_all_prs,
@@ -102,4 +218,20 @@ QUERIES: dict[str, Query] = {
     "grid_junk_filter": grid_junk_filter,
     "grid_resolve": grid_resolve,
     "grid_snapshot_open_po": grid_snapshot_open_po,
+    "to_numeric_messy": to_numeric_messy,
+    "normalize_keys": normalize_keys,
+    "zero_pad_material": zero_pad_material,
+    "composite_key_incomplete_drop": composite_key_incomplete_drop,
+    "iso_week_monday": iso_week_monday,
+    "week_sequence": week_sequence,
+    "compact_last": compact_last,
+    "compact_first": compact_first,
+    "compact_null_sort": compact_null_sort,
+    "dq_unique_keys": dq_unique_keys,
+    "dq_not_null": dq_not_null,
+    "dq_row_count_delta": dq_row_count_delta,
+    "dq_freshness": dq_freshness,
+    "dq_relationships": dq_relationships,
+    "upsert_twice": upsert_twice,
+    "upsert_partial_columns": upsert_partial_columns,
 }
