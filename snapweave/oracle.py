@@ -357,4 +357,9 @@ SELECT report_year, CAST(unnest(range(lo, hi + 1)) AS INTEGER) AS report_week FR
     "dq_relationships": _DQ_REL,
     "upsert_twice": _upsert_sql(False),
     "upsert_partial_columns": _upsert_sql(True),
+    "landed_listing": f"""WITH {LINES_CTE}
+SELECT DISTINCT 'open_po' AS dataset, report_year, report_week,
+       format('{{}}_{{}}_W{{:02d}}_b{{}}', 'open_po', report_year, report_week, _block) AS extract FROM lines""",
+    "backfill_weeks": _snap_sql("open_po"),
+    "stream_ingest_snapshot": _snap_sql("open_po"),
 }

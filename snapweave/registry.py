@@ -203,6 +203,50 @@ def upsert_partial_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_snapshot(stored, incoming.select("report_year", "report_week", "key", "net_price"))
 
 
+# --- landing, backfill, stream -------------------------------------------------
+
+def _landed_open_po(spark: SparkSession, sf_dir: str) -> str:
+    from snapweave.session import shared_dir
+    from snapweave.sources.landing import land_grid
+
+    root = shared_dir(spark, "landing", unique=True)
+    land_grid(open_po_grid(spark, sf_dir), root, width=len(OPEN_PO.columns))
+    return root
+
+
+def landed_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from snapweave.sources.landing import list_landed
+
+    files = list_landed(spark, _landed_open_po(spark, sf_dir))
+    return files.select("dataset", F.col("year").alias("report_year"), F.col("week").alias("report_week"),
+                        "extract").distinct()
+
+
+def backfill_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the extracts, then replay weeks 1-53 of every year from the files in one job."""
+    from snapweave.plans.jobs import run_weeks
+    from snapweave.session import shared_dir
+    from snapweave.sources.grid import read_text_grid
+
+    root = _landed_open_po(spark, sf_dir)
+    table = shared_dir(spark, "tables", unique=True) + "/open_po"
+    log = shared_dir(spark, "runlog", unique=True)
+    run_weeks(spark, read_text_grid(spark, f"{root}/dataset=open_po"), "open_po", table, "1-53",
+              load_rates(spark), log_path=log)
+    return spark.read.parquet(table)
+
+
+def stream_ingest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the extracts, ingest them with a file stream (available-now), read the table."""
+    from snapweave.session import shared_dir
+    from snapweave.streaming.ingest import ingest_available
+
+    root = _landed_open_po(spark, sf_dir)
+    base = shared_dir(spark, "stream", unique=True)
+    ingest_available(spark, root, "open_po", f"{base}/open_po", f"{base}/_checkpoint", load_rates(spark))
+    return spark.read.parquet(f"{base}/open_po")
+
+
 QUERIES: dict[str, Query] = {
     "snapshot_open_po": snapshot_open_po,
     "snapshot_all_prs": snapshot_all_prs,
@@ -234,4 +278,7 @@ QUERIES: dict[str, Query] = {
     "dq_relationships": dq_relationships,
     "upsert_twice": upsert_twice,
     "upsert_partial_columns": upsert_partial_columns,
+    "landed_listing": landed_listing,
+    "backfill_weeks": backfill_weeks,
+    "stream_ingest_snapshot": stream_ingest_snapshot,
 }
