@@ -1,0 +1,61 @@
+"""Idempotent week-partitioned upsert (sink) and the merge rule."""
+
+import pytest
+
+from snapweave.operators.upsert import count_rows, merge_snapshot, upsert
+
+SCHEMA = "report_year int, report_week int, key string, po_number string, net_price double"
+
+
+def snap(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def table(spark, path):
+    return {(r.report_year, r.report_week, r.key): (r.po_number, r.net_price)
+            for r in spark.read.parquet(path).collect()}
+
+
+def test_upsert_twice_is_idempotent(spark, tmp_path):
+    path, stage = str(tmp_path / "t"), str(tmp_path / "s")
+    s = snap(spark, [(2026, 29, "A|10", "A", 1.0), (2026, 29, "A|20", "A", 2.0), (2026, 30, "A|10", "A", 3.0)])
+    upsert(spark, s, path, stage + "1")
+    first = table(spark, path)
+    upsert(spark, s, path, stage + "2")
+    assert count_rows(spark, path) == 3 and table(spark, path) == first
+
+
+def test_upsert_updates_inserts_and_keeps(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert(spark, snap(spark, [(2026, 29, "A|10", "A", 1.0), (2026, 29, "A|20", "A", 2.0),
+                               (2026, 30, "A|10", "A", 3.0)]), path, str(tmp_path / "s1"))
+    # week 29 again: one key updated (to NULL price), one new, one missing -> kept
+    upsert(spark, snap(spark, [(2026, 29, "A|10", "A", None), (2026, 29, "B|10", "B", 9.0)]), path, str(tmp_path / "s2"))
+    assert table(spark, path) == {
+        (2026, 29, "A|10"): ("A", None), (2026, 29, "A|20"): ("A", 2.0),
+        (2026, 29, "B|10"): ("B", 9.0), (2026, 30, "A|10"): ("A", 3.0)}
+
+
+def test_absent_columns_keep_stored_values(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert(spark, snap(spark, [(2026, 29, "A|10", "A", 1.0)]), path, str(tmp_path / "s1"))
+    part = spark.createDataFrame([(2026, 29, "A|10", 5.0), (2026, 29, "C|10", 6.0)],
+                                 "report_year int, report_week int, key string, net_price double")
+    upsert(spark, part, path, str(tmp_path / "s2"))
+    assert table(spark, path) == {(2026, 29, "A|10"): ("A", 5.0), (2026, 29, "C|10"): (None, 6.0)}
+
+
+def test_per_row_absent_fields(spark):
+    target = snap(spark, [(2026, 29, "A|10", "A", 1.0)])
+    src = spark.createDataFrame([(2026, 29, "A|10", None, 2.0, ["po_number"])],
+                                SCHEMA + ", _absent array<string>")
+    r = merge_snapshot(target, src).first()
+    assert r.po_number == "A" and r.net_price == 2.0
+
+
+def test_duplicate_source_keys_are_refused(spark, tmp_path):
+    from snapweave.operators.quality import QualityError
+
+    dup = snap(spark, [(2026, 29, "A|10", "A", 1.0), (2026, 29, "A|10", "A", 2.0)])
+    with pytest.raises(QualityError):
+        upsert(spark, dup, str(tmp_path / "t"), str(tmp_path / "s"))
