@@ -205,12 +205,22 @@ def upsert_partial_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- landing, backfill, stream -------------------------------------------------
 
+_LANDED: dict[tuple[str, str], str] = {}
+
+
 def _landed_open_po(spark: SparkSession, sf_dir: str) -> str:
+    """Write the open_po extract files for ``sf_dir`` once per application;
+    landed files are immutable, so later queries read the same copy."""
     from snapweave.session import shared_dir
     from snapweave.sources.landing import land_grid
-
-    root = shared_dir(spark, "landing", unique=True)
-    land_grid(open_po_grid(spark, sf_dir), root, width=len(OPEN_PO.columns))
+    from snapweave.sources.seeds import path_exists
+
+    memo = (spark.sparkContext.applicationId, sf_dir)
+    root = _LANDED.get(memo)
+    if root is None or not path_exists(spark, root):
+        root = shared_dir(spark, "landing", unique=True)
+        land_grid(open_po_grid(spark, sf_dir), root, width=len(OPEN_PO.columns))
+        _LANDED[memo] = root
     return root
 
 
