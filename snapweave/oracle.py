@@ -334,6 +334,7 @@ ORACLE: dict[str, str] = {
     "grid_resolve": (f"WITH {grid_ctes()}\nSELECT dataset, report_year, report_week, file, row_idx, "
                      + ", ".join(OPEN_PO.fields()) + " FROM g_data"),
     "grid_snapshot_open_po": _snap_sql("open_po"),
+    "grid_snapshot_all_prs": _snap_sql("all_prs"),
     "to_numeric_messy": _ext(f"order_quantity AS raw_quantity, {to_num('order_quantity')} AS order_quantity, "
                              f"net_price AS raw_price, {to_num('net_price')} AS net_price"),
     "normalize_keys": _ext(f"po_number AS raw_po_number, po_item AS raw_po_item, "

@@ -87,6 +87,11 @@ def grid_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(open_po_grid(spark, sf_dir), OPEN_PO).drop("_absent", "_order")
 
 
+def grid_snapshot_all_prs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grid = grid_from_extract(all_prs_extract(spark, sf_dir), ALL_PRS)
+    return transform(extract(grid, ALL_PRS), ALL_PRS, load_rates(spark)).drop("_absent")
+
+
 def grid_snapshot_open_po(spark: SparkSession, sf_dir: str) -> DataFrame:
     snap = transform(extract(open_po_grid(spark, sf_dir), OPEN_PO), OPEN_PO, load_rates(spark))
     return snap.drop("_absent")
@@ -272,6 +277,7 @@ QUERIES: dict[str, Query] = {
     "grid_junk_filter": grid_junk_filter,
     "grid_resolve": grid_resolve,
     "grid_snapshot_open_po": grid_snapshot_open_po,
+    "grid_snapshot_all_prs": grid_snapshot_all_prs,
     "to_numeric_messy": to_numeric_messy,
     "normalize_keys": normalize_keys,
     "zero_pad_material": zero_pad_material,
