@@ -84,4 +84,8 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     sc = df.sparkSession.sparkContext
     want = min_partitions or sc.defaultParallelism
     have = df.rdd.getNumPartitions()
-    return df if have >= want else df.repartition(want)
+    if have >= want:
+        return df
+    # Hash of the whole row: deterministic on retry like round-robin, but
+    # without the local sort Spark adds before a round-robin repartition.
+    return df.repartition(want, *[F.col(c) for c in df.columns])
