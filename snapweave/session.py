@@ -48,10 +48,16 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
+        try:
+            base = spark.sparkContext.getCheckpointDir()
+        except Exception:  # no context handle (Spark Connect): conf only
+            base = None
     if not base:
         base = tempfile.mkdtemp(prefix="snapweave-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
+        try:
+            spark.sparkContext.setCheckpointDir(base)
+        except Exception:
+            pass
         spark.conf.set("spark.checkpoint.dir", base)
     path = base.rstrip("/")
     for p in parts:
@@ -81,9 +87,11 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     would otherwise run every row-wise step before the first shuffle in a
     single task; it gets a round-robin repartition instead.
     """
-    sc = df.sparkSession.sparkContext
-    want = min_partitions or sc.defaultParallelism
-    have = df.rdd.getNumPartitions()
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (Spark Connect): leave it to the planner
+        return df
     if have >= want:
         return df
     # Hash of the whole row: deterministic on retry like round-robin, but

@@ -20,8 +20,16 @@ def default_rates(spark: SparkSession) -> DataFrame:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    """Existence through the Hadoop file system (works for s3a://, hdfs://, file:)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # no JVM handle (Spark Connect): ask the data source
+        try:
+            spark.read.format("binaryFile").load(path).select("path").limit(1).collect()
+            return True
+        except Exception:
+            return False
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(conf).exists(p)
 
