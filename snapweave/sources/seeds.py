@@ -41,11 +41,10 @@ def load_rates(spark: SparkSession, path: str | None = None, validate: bool = Tr
     row per currency, otherwise the left join would multiply snapshot rows.
     """
     if path is None:
-        rates = default_rates(spark)
-    elif not path_exists(spark, path):
+        return default_rates(spark)  # fixed values above: one row per currency
+    if not path_exists(spark, path):
         return None
-    else:
-        rates = spark.read.schema(RATES_SCHEMA).option("header", True).csv(path)
+    rates = spark.read.schema(RATES_SCHEMA).option("header", True).csv(path)
     if validate:
         bad = rates.agg(
             F.count_if(F.col("currency").isNull()).alias("nulls"),
