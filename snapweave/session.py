@@ -53,12 +53,13 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
         except Exception:  # no context handle (Spark Connect): conf only
             base = None
     if not base:
+        # Only for bare local sessions; spark.checkpoint.dir itself cannot be
+        # changed at runtime, so the folder is registered on the context.
         base = tempfile.mkdtemp(prefix="snapweave-ckpt-")
         try:
             spark.sparkContext.setCheckpointDir(base)
         except Exception:
             pass
-        spark.conf.set("spark.checkpoint.dir", base)
     path = base.rstrip("/")
     for p in parts:
         path = f"{path}/{p}"

@@ -1,0 +1,30 @@
+"""Landing keys, shared folders and the landed-file listing."""
+
+from snapweave.session import shared_dir
+from snapweave.sources.landing import exists, list_landed, object_key
+
+from test_grid import HEAD, ROWS, write_csv
+
+
+def test_object_key_is_hive_partitioned():
+    assert object_key("open_po", 29, "open_po_W29.xlsx") == "raw/dataset=open_po/week=29/open_po_W29.xlsx"
+    assert object_key("all_prs", 5, "/some/dir/all_prs_W5.xlsx", year=2026) == \
+        "raw/dataset=all_prs/year=2026/week=5/all_prs_W5.xlsx"
+
+
+def test_shared_dir_uses_session_checkpoint_dir(spark):
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = shared_dir(spark, "staging", "open_po", unique=True)
+    assert base and d.startswith(base.rstrip("/") + "/staging/open_po/")
+    assert d != shared_dir(spark, "staging", "open_po", unique=True)
+
+
+def test_listing_is_sorted_and_skips_content(spark, tmp_path):
+    for w in (30, 29):
+        write_csv(tmp_path / f"dataset=open_po/year=2026/week={w}/f{w}.csv", [HEAD, *ROWS[:1]])
+    files = list_landed(spark, str(tmp_path))
+    assert "content" not in files.columns
+    paths = [r.path for r in files.collect()]
+    assert paths == sorted(paths) and len(paths) == 2
+    assert exists(spark, str(tmp_path), "dataset=open_po/year=2026/week=29/f29.csv")
+    assert not exists(spark, str(tmp_path), "dataset=open_po/year=2026/week=31/x.csv")
