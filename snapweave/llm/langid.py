@@ -146,7 +146,7 @@ def training_windows(docs: DataFrame, keep: Column, doc_id: str = "doc_id", text
     place = F.when(n > WINDOW, F.pmod(F.xxhash64("h"), (n - WINDOW).cast("bigint"))).otherwise(0).cast("int") + 1
     return (known.join(F.broadcast(chosen.select("id", "lang").distinct()), ["id", "lang"])  # languages x per_lang ids
             .select("lang", F.substring(F.col("text"), place, F.lit(WINDOW)).alias("piece"), "h")
-            .filter(F.col("piece").rlike(r"\p{L}")).dropDuplicates(["lang", "h"]))
+            .filter(F.col("piece").rlike(r"\p{L}")).groupBy("lang", "h").agg(F.min("piece").alias("piece")))
 
 
 def fit(docs: DataFrame, keep: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",

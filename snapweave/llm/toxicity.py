@@ -58,9 +58,8 @@ DROP_SEPARATOR_COST, KEEP_SEPARATOR_COST = 0.3, 1.0
 
 _LEET = re.escape("".join(LOOKALIKES))
 _SEP = re.escape(SEPARATORS.strip())
-# Inside one token: letters mixed with look-alikes or separators, or a letter three times in a row.
-MIXED = re.compile(r"[a-z" + _LEET + r"]*[a-z]*(?:[" + _LEET + r"]+[" + _SEP + r"]*[a-z]|[a-z][" + _SEP + r"]+[a-z"
-                   + _LEET + r"])[a-z" + _LEET + _SEP + r"]*|[a-z]*([a-z])\1\1[a-z]*")
+# Inside one token: a run of letters, look-alikes and separators.
+RUN = re.compile(r"[a-z" + _LEET + _SEP + r"]+")
 DOUBLED = re.compile(r"([a-z])\1")
 # Across tokens: three or more single characters set apart; looked for in the text's shape first.
 SPACED = re.compile(r"(?<![^\s.,;:!?\"(])[a-z@$](?:[ .\-_*~'/,:;]{1,3}[a-z0-9@$!|](?![a-z0-9@$])){2,}")
@@ -161,12 +160,26 @@ def decode(span: str, model: np.ndarray) -> str:
     return "".join(reversed(sent))
 
 
+def _restore_run(run: str, model: np.ndarray) -> str:
+    core = run.strip(SEPARATORS).rstrip("!|")
+    end = core.rstrip("".join(c for c in LOOKALIKES if not c.isdigit()) + SEPARATORS)
+    if len(core) - len(end) > 2:  # a tail of symbols is decoration
+        core = end
+    if sum(map(str.isalpha, core)) < 2 or core.isalpha() and not _stretched(core):
+        return run
+    before, _, after = run.partition(core)
+    return before + decode(core, model) + after
+
+
+def _stretched(word: str) -> bool:
+    return any(c * 3 in word for c in set(word)) or len(DOUBLED.findall(word)) > 2
+
+
 def restore_token(token: str, model: np.ndarray) -> str:
-    """One token with its suspicious spans decoded."""
+    """One token with its suspicious spans decoded; time grows with its length."""
     if token.isalpha():
-        odd = any(token[i] == token[i + 1] == token[i + 2] for i in range(len(token) - 2))
-        return decode(token, model) if odd or len(DOUBLED.findall(token)) > 2 else token
-    return MIXED.sub(lambda m: decode(m.group(), model), token)
+        return decode(token, model) if _stretched(token) else token
+    return RUN.sub(lambda m: _restore_run(m.group(), model), token)
 
 
 def join_spaced(text: str, model: np.ndarray) -> str:
