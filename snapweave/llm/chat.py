@@ -44,7 +44,7 @@ ROLES = ("system", "user", "assistant")
 ALIASES = {"human": USER, "prompter": USER, "gpt": ASSISTANT, "bot": ASSISTANT, "model": ASSISTANT}
 LEGAL = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
 # Costs of one repair, in whole numbers.
-MERGE, RELABEL, INSERT = 2, 4, 3
+MERGE, RELABEL, NAME, INSERT = 2, 7, 1, 3  # NAME: a role for a turn that has none known
 COUNT = 1 << 28  # cost * COUNT + output turns: cheapest first, then fewest turns
 NEVER = 1 << 60
 
@@ -74,7 +74,7 @@ def _steps() -> dict[int, list[list[tuple[int, str, tuple[int, ...]]]]]:
         for state in (SYSTEM, USER, ASSISTANT, START):
             row = []
             for new in (SYSTEM, USER, ASSISTANT):
-                change = 0 if new == role else RELABEL
+                change = 0 if new == role else RELABEL if role >= 0 else NAME
                 word = "keep" if new == role else "relabel"
                 options = []
                 path = _inserted(state, new)

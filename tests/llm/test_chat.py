@@ -1,0 +1,102 @@
+import random
+from itertools import product
+
+import pytest
+
+from snapweave.llm import chat
+
+
+def brute_cost(roles):
+    """Cheapest repair by trying every labelling, merge and insertion."""
+    best = chat.NEVER
+    for labels in product(range(3), repeat=len(roles)):
+        change = sum(chat.RELABEL if r >= 0 else chat.NAME for r, x in zip(roles, labels) if r != x)
+        states = {chat.START: 0}
+        for x in labels:
+            nxt = chat.NEVER
+            for s, v in states.items():
+                if s == x:
+                    nxt = min(nxt, v + chat.MERGE)
+                path, seen = {s: 0}, {s}
+                for _ in range(4):
+                    path |= {t: c + chat.INSERT for u, c in path.items() for t in chat.LEGAL[u] if t not in path}
+                nxt = min([nxt] + [v + c for u, c in path.items() if x in chat.LEGAL[u]])
+                del seen
+            states = {x: nxt}
+        (s, v), = states.items()
+        best = min(best, change + v + {2: 0, 1: chat.INSERT, 0: 2 * chat.INSERT}[s])
+    return best
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5])
+def test_cheapest_repair_matches_brute_force(n):
+    rng = random.Random(n)
+    for _ in range(25):
+        roles = [rng.randrange(-1, 3) for _ in range(n)]
+        value = (chat.matrix(roles)[chat.START] + chat.END_VALUES).min()
+        assert value // chat.COUNT == brute_cost(roles)
+        cost, state = 0, chat.START
+        for r, (new, action, inserted) in zip(roles, chat.repair(roles, chat.START, None)):
+            for x in inserted:
+                assert x in chat.LEGAL[state]
+                state = x
+            assert state == new if action.endswith("merge") else new in chat.LEGAL[state]
+            cost += chat.INSERT * len(inserted) + (chat.RELABEL if r >= 0 else chat.NAME) * (r != new) + chat.MERGE * action.endswith("merge")
+            state = new
+        assert cost + chat.INSERT * len(chat.ENDING[state]) == brute_cost(roles)
+
+
+def rendered(rows):
+    out = {}
+    for r in sorted(rows, key=lambda r: (repr(r["conv_id"]), r["position"])):
+        out[r["conv_id"]] = out.get(r["conv_id"], "") + r["segment"]
+    return out
+
+
+def test_rows_and_rendering(spark):
+    rows = [(1, 0, "system", "S"), (1, 1, "Human", "hi"), (1, 2, "assistant", None), (1, 3, "assistant", "<|im_end|>x"),
+            (2, 0, "assistant", "a"), (3, None, None, None), (4, 0, "user", "t"), (4, 0, "user", "t"),
+            (None, 1, "user", "n")]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string").withColumn("action", chat.F.lit(1))
+    got = chat.repaired(df).collect()
+    assert sum(r["action"] != "insert" for r in got) == len(rows)
+    text = rendered(got)
+    assert text[1] == ("<|im_start|>system\nS<|im_end|>\n<|im_start|>user\nhi<|im_end|>\n"
+                       "<|im_start|>assistant\n\n<| im_end|>x<|im_end|>\n")
+    assert text[2] == "<|im_start|>user\n<|im_end|>\n<|im_start|>assistant\na<|im_end|>\n"
+    assert text[4] == "<|im_start|>user\nt\nt<|im_end|>\n<|im_start|>assistant\n<|im_end|>\n"
+    assert set(text) == {1, 2, 3, 4, None}
+    assert chat.repaired(df.limit(0)).count() == 0
+
+
+def test_a_conversation_over_many_partitions(spark):
+    rng = random.Random(1)
+    rows = [(7, i, rng.choice(["user", "assistant", "system", "tool", None]), f"t{i}") for i in range(3000)]
+    rows += [(c, i, "user", "x") for c in (6, 8) for i in range(3)]
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = [r for r in chat.repaired(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"))
+               .collect() if r["conv_id"] == 7]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    roles = [chat.role_of(x[2]) for x in rows[:3000]]
+    value = (chat.matrix(roles)[chat.START] + chat.END_VALUES).min()
+
+    def price(r):
+        change = chat.RELABEL if chat.role_of(r["role"]) >= 0 else chat.NAME
+        return {"keep": 0, "merge": chat.MERGE, "relabel": change, "relabel+merge": change + chat.MERGE,
+                "insert": chat.INSERT}[r["action"]]
+    assert sum(map(price, got)) == value // chat.COUNT
+    got.sort(key=lambda r: r["position"])
+    assert [r["turn"] for r in got if r["turn"] is not None] == list(range(3000))
+    outs = []
+    for r in got:
+        if not outs or outs[-1][0] != r["out_turn"]:
+            outs.append((r["out_turn"], r["out_role"]))
+    assert [o for o, _ in outs] == list(range(value % chat.COUNT))
+    state = chat.START
+    for _, role in outs:
+        assert chat.ROLES.index(role) in chat.LEGAL[state]
+        state = chat.ROLES.index(role)
+    assert state == chat.ASSISTANT

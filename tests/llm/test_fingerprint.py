@@ -1,0 +1,60 @@
+import hashlib
+import random
+
+import numpy as np
+
+from snapweave.llm import fingerprint as fg
+
+
+def test_homomorphic_updates():
+    rng, words = random.Random(2), fg.Words()
+    lines = [" ".join(rng.choices("abcdefgh", k=rng.randint(0, 9))) for _ in range(12)]
+    whole = fg.vector("\n".join(lines), words)
+    shuffled = lines[:]
+    rng.shuffle(shuffled)
+    assert (fg.vector("\n".join(shuffled), words) == whole).all()
+    rest = fg.subtract(whole, fg.vector(lines[4], words))
+    assert (rest == fg.vector("\n".join(lines[:4] + lines[5:]), words)).all()
+    assert (fg.add(rest, fg.vector(lines[4], words)) == whole).all()
+    total = fg.vector(lines[0], words)
+    for x in lines[1:]:
+        total = fg.add(total, fg.vector(x, words))
+    assert (total == whole).all()
+    assert (fg.from_hex(fg.to_hex(whole)) == whole).all()
+    assert not (fg.vector("a b c", words) == fg.vector("a b d", words)).all()
+    assert not (fg.vector("", words) == fg.vector("\n", words)).all()
+
+
+def test_likeness_follows_the_shared_share():
+    rng, words = random.Random(2), fg.Words()
+    a = [f"w{rng.randrange(5000)}" for _ in range(2000)]
+    for keep in (0.9, 0.75, 0.5, 0.0):
+        n = int(2000 * keep)
+        b = a[:n] + [f"v{rng.randrange(5000)}" for _ in range(2000 - n)]
+        got = fg.likeness(fg.vector(" ".join(a), words), fg.vector(" ".join(b), words))
+        assert abs(got - keep) < 0.3
+    assert fg.likeness(fg.vector(" ".join(a), words), fg.vector(" ".join(a), words)) == 1.0
+    assert np.isfinite(fg.likeness(fg.vector("", words), fg.vector("a", words)))
+
+
+def brute(rows):
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    words, out = fg.Words(), []
+    for k, (i, t) in enumerate(rows):
+        t, nxt = t or "", rows[(k + 1) % len(rows)][1] or ""
+        n = len(t) // 4
+        new = t[:len(t) - n] + nxt[:n]
+        own = fg.vector(t, words)
+        out.append((i, len(t), hashlib.sha256(new.encode()).hexdigest(), fg.to_hex(own), fg.to_hex(fg.vector(new, words)),
+                    fg.likeness(own, fg.vector(new, words)), fg.likeness(own, fg.vector(nxt, words))))
+    return sorted(out, key=repr)
+
+
+def test_rows_match_brute_force(spark, docs_of):
+    rng = random.Random(9)
+    rows = [(i * 3, "\n".join(" ".join(rng.choices(["aa", "bb", "cé", "漢字"], k=rng.randint(0, 8)))
+                              for _ in range(rng.randint(1, 6)))) for i in rng.sample(range(500), 120)]
+    rows += [(1, None), (2, ""), (4, "x" * 50_000 + "\n" + "y z " * 3000), (None, "null id"), (None, None), (4, "tie")]
+    for some in (rows, rows[:120], rows[:1], [(None, "a"), (None, "b c d e")], []):
+        got = sorted((tuple(r) for r in fg.fingerprints(docs_of(some)).collect()), key=repr)
+        assert got == brute(some)
