@@ -266,10 +266,9 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column, doc_id: str = "doc_id"
     spark = docs.sparkSession
     model = language_model(char_counts(docs, text))
     sample = labelled_sample(labels, keep, doc_id, label, per_class)
-    share = sum(y for _, y in sample) / max(1, len(sample))
-    if not 0 < share < 1:
-        odds = 30.0 * (1 if share else -1)
-        return Scorer(model, {}, np.array([odds, 0.0, 0.0]))
+    certain = lambda y: Scorer(model, {}, np.array([30.0 if y else -30.0, 0.0, 0.0]))
+    if len({y for _, y in sample}) < 2:
+        return certain(bool(sample) and sample[0][1])
     kind = docs.schema[doc_id].dataType
     chosen = spark.createDataFrame(sample, T.StructType([T.StructField("id", kind), T.StructField("y", T.IntegerType())]))
     texts = (docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
@@ -294,7 +293,9 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column, doc_id: str = "doc_id"
             [pa.array(at, pa.int64()), pa.array(n[0, at], pa.int64()), pa.array(n[1, at], pa.int64())], ["b", "c", "t"])
 
     sizes = {r["y"]: r["count"] for r in texts.groupBy("y").count().collect()}
-    clean, toxic = max(1, sizes.get(0, 0)), max(1, sizes.get(1, 0))
+    if len(sizes) < 2:  # the other labelled ids have no document
+        return certain(sizes.get(1, 0))
+    clean, toxic = sizes[0], sizes[1]
     found = (texts.mapInArrow(gram_counts, "b bigint, c bigint, t bigint").groupBy("b")
              .agg(F.sum("c").alias("c"), F.sum("t").alias("t"))
              .withColumn("w", F.log((F.col("t") + F.lit(PRIOR) * toxic / (toxic + clean)) / toxic)
