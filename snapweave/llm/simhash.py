@@ -43,6 +43,7 @@ SHINGLE_WORDS = 3
 MAX_BITS = 2
 SEED = 42
 CELL_MAX = 64
+SALTS = 16
 BLOCKS = (6, 6, 5, 5, 5, 5)  # two-bit segments per block, 32 in all
 EVEN = 0x5555555555555555
 
@@ -181,7 +182,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     of_fp = distinct.join(moved, "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"),
         F.when(F.col("root").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"))
-    return keyed.join(of_fp, "fp").select("doc_id", "row_hash", "fp", "root", "component_id")
+    # a fingerprint may belong to a third of all rows: its rows are dealt over SALTS keys
+    salted = of_fp.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return (keyed.withColumn("salt", F.pmod(F.xxhash64("doc_id", "row_hash"), F.lit(SALTS)).cast("int"))
+            .join(salted, ["fp", "salt"]).select("doc_id", "row_hash", "fp", "root", "component_id"))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

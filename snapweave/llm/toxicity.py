@@ -44,7 +44,7 @@ SAMPLE_PER_CLASS = 8000
 BUCKETS = 1 << 22
 MIN_TEXTS = 4  # distinct toxic texts an n-gram must be seen in
 PRIOR = 2.0
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 
 # What a character may stand for besides itself.
 LOOKALIKES = {
