@@ -41,6 +41,15 @@ def zero_fill(c: Column | str, width: int) -> Column:
     )
 
 
+def _plain_text(c: Column) -> Column:
+    """Text of a cell; whole numbers in a DOUBLE column in full digits, NaN as missing."""
+    number = c.try_cast("double")
+    floating = F.typeof(c).isin("double", "float")  # folded away by the optimizer
+    whole = (number == F.floor(number)) & (F.abs(number) < 1e18)
+    return (F.when(floating & F.isnan(number), F.lit(None).cast("string"))
+            .when(floating & whole, c.try_cast("decimal(38,0)").cast("string")).otherwise(c.cast("string")))
+
+
 def normalize_key(c: Column | str, width: int | None = None) -> Column:
     """Raw key cell to a clean key string.
 
@@ -48,7 +57,7 @@ def normalize_key(c: Column | str, width: int | None = None) -> Column:
     drop a trailing ".0" when the rest is all digits, upper-case, zero fill.
     """
     # Each step reads the previous one once, so nested use stays linear in size.
-    t = F.coalesce(strip(_col(c).cast("string")), F.lit(""))
+    t = F.coalesce(strip(_plain_text(_col(c))), F.lit(""))
     t = F.upper(F.regexp_replace(t, r"^(\p{Nd}+)\.0$", "$1"))
     if width is not None:
         t = zero_fill(t, width)

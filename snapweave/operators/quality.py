@@ -103,11 +103,16 @@ def freshness_report(df: DataFrame, date_col: str = "report_date", expected: str
 def check_freshness(df: DataFrame, date_col: str, expected: str) -> str:
     r = freshness_report(df, date_col, expected).first()
     if not r["passed"]:
-        found = [x[0] for x in df.select(F.col(date_col).cast("string")).distinct().limit(20).collect()]
-        raise QualityError(f"stale/mismatched {date_col}: found {sorted(map(str, found))}, expected {expected}")
+        raise QualityError(f"{r['stale_rows']} of {r['rows']} rows are stale: {date_col} is not {expected} "
+                           "(date_counts() lists the dates)")
     return expected
 
 
+def date_counts(df: DataFrame, date_col: str) -> DataFrame:
+    """Every date found, with its rows."""
+    return df.groupBy(F.col(date_col).cast("string").alias(date_col)).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def relationships_report(child: DataFrame, parent: DataFrame, col: str = "currency") -> DataFrame:
     """Non-null child values without a parent row, with their row counts."""
     orphans = child.filter(F.col(col).isNotNull()).join(parent.select(col), col, "left_anti")

@@ -325,6 +325,9 @@ ORACLE: dict[str, str] = {
     "stg_all_prs": f"WITH {stg_ctes('all_prs')}\nSELECT * FROM stg_all_prs",
     "mart_open_po_weekly": f"WITH {MART_CTES}\nSELECT * FROM mart_open_po_weekly",
     "mart_top_suppliers": f"WITH {MART_CTES}\nSELECT * FROM mart_top_suppliers",
+    "mart_top_suppliers_ranked": f"""WITH {MART_CTES}
+SELECT *, row_number() OVER (PARTITION BY report_year, report_week
+  ORDER BY value_eur DESC NULLS FIRST, supplier ASC NULLS FIRST) AS supplier_rank FROM mart_top_suppliers""",
     "card_weekly_open_value": _card_sql("weekly_open_value"),
     "card_weekly_line_count": _card_sql("weekly_line_count"),
     "card_kpi_latest": _card_sql("kpi_latest_week"),

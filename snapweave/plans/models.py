@@ -7,7 +7,7 @@ the views and prunes what a mart does not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Money and quantity totals are summed as exact decimals (cents; rate with 4
@@ -67,9 +67,16 @@ def mart_top_suppliers(stg: DataFrame) -> DataFrame:
     )
 
 
+def ranked_suppliers(mart: DataFrame) -> DataFrame:
+    """Supplier mart with its place in the week: by value, NULL first, then by name."""
+    order = Window.partitionBy("report_year", "report_week").orderBy(
+        F.desc_nulls_first("value_eur"), F.asc_nulls_first("supplier"))
+    return mart.withColumn("supplier_rank", F.row_number().over(order))
+
+
 def materialize(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write a model as parquet (replacing it) and return the stored table."""
-    w = df.write.mode("overwrite")
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")  # whatever the session says
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

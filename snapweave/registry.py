@@ -18,7 +18,7 @@ from snapweave.functions import (composite_key, iso_week, iso_year, key_complete
 from snapweave.operators import quality as dq
 from snapweave.operators.compact import compact_rows
 from snapweave.operators.header import body_rows, detect_headers, filled_cells
-from snapweave.operators.upsert import KEY_COLS, merge_snapshot
+from snapweave.operators.upsert import KEY_COLS, merge_snapshot, read_stored
 from snapweave.operators.resolve import extract
 from snapweave.plans import cards, models
 from snapweave.sources.grid import grid_from_extract
@@ -53,6 +53,10 @@ def mart_top_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.mart_top_suppliers(stg_open_po(spark, sf_dir))
 
 
+def mart_top_suppliers_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return models.ranked_suppliers(mart_top_suppliers(spark, sf_dir))
+
+
 def _card(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         stg = stg_open_po(spark, sf_dir)
@@ -246,9 +250,9 @@ def backfill_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _landed_open_po(spark, sf_dir)
     table = shared_dir(spark, "tables", unique=True) + "/open_po"
     log = shared_dir(spark, "runlog", unique=True)
-    run_weeks(spark, read_text_grid(spark, f"{root}/dataset=open_po"), "open_po", table, "1-53",
+    run_weeks(spark, read_text_grid(spark, f"{root}/dataset=open_po", weeks=range(1, 54)), "open_po", table, "1-53",
               load_rates(spark), log_path=log)
-    return spark.read.parquet(table)
+    return read_stored(spark, table)
 
 
 def stream_ingest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,7 +263,7 @@ def stream_ingest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _landed_open_po(spark, sf_dir)
     base = shared_dir(spark, "stream", unique=True)
     ingest_available(spark, root, "open_po", f"{base}/open_po", f"{base}/_checkpoint", load_rates(spark))
-    return spark.read.parquet(f"{base}/open_po")
+    return read_stored(spark, f"{base}/open_po")
 
 
 QUERIES: dict[str, Query] = {
@@ -269,6 +273,7 @@ QUERIES: dict[str, Query] = {
     "stg_all_prs": stg_all_prs,
     "mart_open_po_weekly": mart_open_po_weekly,
     "mart_top_suppliers": mart_top_suppliers,
+    "mart_top_suppliers_ranked": mart_top_suppliers_ranked,
     "card_weekly_open_value": _card("weekly_open_value"),
     "card_weekly_line_count": _card("weekly_line_count"),
     "card_kpi_latest": _card("kpi_latest_week"),

@@ -53,6 +53,9 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
         except Exception:  # no context handle (Spark Connect): conf only
             base = None
     if not base:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         # Only for bare local sessions; spark.checkpoint.dir itself cannot be
         # changed at runtime, so the folder is registered on the context.
         base = tempfile.mkdtemp(prefix="snapweave-ckpt-")

@@ -88,3 +88,10 @@ def test_weeks_in_range_and_spec(spark):
     assert got == [25, 26, 27, 29]
     with pytest.raises(Exception, match="end_week must be >= start_week"):
         spark.range(1).select(weeks_sequence(30, 25)).collect()
+
+
+def test_double_keys_print_in_full(spark):
+    from snapweave.functions import normalize_key
+
+    df = spark.createDataFrame([(450012345.0,), (12.5,), (None,), (float("nan"),), (7.0,)], "k double")
+    assert [r[0] for r in df.select(normalize_key("k")).collect()] == ["450012345", "12.5", "", "", "7"]

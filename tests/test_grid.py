@@ -5,9 +5,9 @@ import io
 
 import pytest
 
-from snapweave.contracts import OPEN_PO, ColumnResolutionError
+from snapweave.contracts import OPEN_PO
 from snapweave.operators.header import detect_headers
-from snapweave.operators.resolve import extract, resolve_columns
+from snapweave.operators.resolve import extract
 from snapweave.plans.snapshot import transform
 from snapweave.sources.grid import read_text_grid, read_xlsx_grid
 from snapweave.sources.seeds import load_rates
@@ -86,12 +86,23 @@ def test_absent_optional_is_null_and_listed(spark, tmp_path):
     assert row.currency is None and "currency" in row._absent and row.po_number == "1"
 
 
-def test_driver_side_resolver():
-    res = resolve_columns(["PO No", "Item", "Material", "Vendor", "Qty", "Price"], OPEN_PO)
-    assert res["mapping"]["po_number"] == "PO No" and res["mapping"]["supplier"] == "Vendor"
-    assert res["mapping"]["order_quantity"] == "Qty" and "currency" in res["missing_optional"]
-    with pytest.raises(ColumnResolutionError, match="Available columns"):
-        resolve_columns(["PO Number", "PO Item"], OPEN_PO)
+def test_quoted_line_breaks_quotes_and_wide_rows(spark, tmp_path):
+    d = tmp_path / "dataset=open_po/year=2026/week=29"
+    d.mkdir(parents=True)
+    wide = [f"c{i}" for i in range(1500)]
+    write_csv(d / "a.csv", [HEAD, ["1", "10", "5", 'line one\nline "two", more', "S", "1", "2"], [], wide])
+    grid = {r.row_idx: r.cells for r in read_text_grid(spark, str(tmp_path)).collect()}
+    assert grid[1][3] == 'line one\nline "two", more' and grid[3] == wide and set(grid) == {0, 1, 3}
+    (tmp_path / "dataset=open_po/year=2026/week=30").mkdir()
+    (tmp_path / "dataset=open_po/year=2026/week=30/empty.csv").write_text("")
+    assert read_text_grid(spark, str(tmp_path)).filter("report_week = 30").count() <= 1
+
+
+def test_a_replay_opens_only_its_weeks(spark, landed):
+    grid = read_text_grid(spark, str(landed), weeks=[30], year=2026)
+    plan = grid._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "30" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert {r.report_week for r in grid.collect()} == {30}
 
 
 def test_xlsx_grid(spark, tmp_path):

@@ -1,7 +1,7 @@
 import pytest
 
 from snapweave.operators import quality as dq
-from snapweave.plans.runlog import StageTimer
+from snapweave.plans.runlog import counted, run_logged
 
 
 @pytest.fixture
@@ -53,21 +53,22 @@ def test_relationships(spark, snap):
     assert [(r.currency, r.rows) for r in rows] == [("CHF", 1)]
 
 
-def test_stage_timer(spark, snap):
-    with StageTimer("transform", "dedup", rows_in=3) as t:
-        snap.write.format("noop").mode("overwrite").save()
-        t.rows_out = 3
-    rec = t.record()
-    assert rec.status == "PASSED" and rec.rows_out == 3 and rec.duration_s >= 0
-    try:
-        with StageTimer("load", "upsert") as t2:
-            raise RuntimeError("boom")
-    except RuntimeError:
-        pass
-    assert t2.record().status == "FAILED"
-
-
-def test_stage_timer_observes_rows(spark, snap):
-    with StageTimer("load", "write") as t:
-        t.observe(snap).write.format("noop").mode("overwrite").save()
-    assert t.record().rows_out == 3
+def test_run_log_keeps_passed_and_failed_runs(spark, snap, tmp_path):
+    log = str(tmp_path / "log")
+    seen, rows_in = counted(snap)
+
+    def load():
+        seen.write.format("noop").mode("overwrite").save()
+        return 2
+
+    assert run_logged(spark, log, "load", "write", load, rows_in) == 2
+    with pytest.raises(RuntimeError, match="boom"):
+        run_logged(spark, log, "load", "upsert", lambda: (_ for _ in ()).throw(RuntimeError("boom")))
+    rows = {r.stage: r for r in spark.read.parquet(log).collect()}
+    assert (rows["write"].status, rows["write"].rows_in, rows["write"].rows_out) == ("PASSED", 3, 2)
+    assert rows["upsert"].status == "FAILED" and rows["write"].duration_s >= 0
+
+
+def test_date_counts_lists_every_date(spark):
+    df = spark.range(60).selectExpr("cast(date_add(date'2026-01-01', cast(id as int)) as string) as report_date")
+    assert dq.date_counts(df, "report_date").count() == 60

@@ -2,7 +2,7 @@
 
 import pytest
 
-from snapweave.operators.upsert import count_rows, merge_snapshot, upsert
+from snapweave.operators.upsert import count_rows, merge_snapshot, read_stored, touched_weeks, upsert
 
 SCHEMA = "report_year int, report_week int, key string, po_number string, net_price double"
 
@@ -59,3 +59,34 @@ def test_duplicate_source_keys_are_refused(spark, tmp_path):
     dup = snap(spark, [(2026, 29, "A|10", "A", 1.0), (2026, 29, "A|10", "A", 2.0)])
     with pytest.raises(QualityError):
         upsert(spark, dup, str(tmp_path / "t"), str(tmp_path / "s"))
+
+
+def test_later_columns_are_kept(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert(spark, snap(spark, [(2026, 28, "A|10", "A", 1.0), (2026, 29, "A|10", "A", 1.0)]), path, str(tmp_path / "s1"))
+    more = spark.createDataFrame([(2026, 29, "A|10", "A", 2.0, 0.92), (2026, 30, "B|10", "B", 3.0, None)],
+                                 SCHEMA + ", rate_to_eur double")
+    upsert(spark, more, path, str(tmp_path / "s2"))
+    rows = {(r.report_week, r.key): (r.net_price, r.rate_to_eur) for r in read_stored(spark, path).collect()}
+    assert rows == {(28, "A|10"): (1.0, None), (29, "A|10"): (2.0, 0.92), (30, "B|10"): (3.0, None)}
+
+
+def test_an_empty_load_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    none = snap(spark, []).filter("false")
+    assert upsert(spark, none, path, str(tmp_path / "s1")) == 0
+    one = snap(spark, [(2026, 29, "A|10", "A", 1.0)])
+    assert upsert(spark, one, path, str(tmp_path / "s2")) == 1
+    assert upsert(spark, none, path, str(tmp_path / "s3")) == 0 and count_rows(spark, path) == 1
+
+
+def test_only_touched_weeks_are_read(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert(spark, snap(spark, [(2026, w, "A|10", "A", 1.0) for w in (27, 28, 29)]), path, str(tmp_path / "s"))
+    cond = touched_weeks(snap(spark, [(2026, 29, "A|10", "A", 2.0)]))
+    df = read_stored(spark, path).filter(cond)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "29" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    for f in (tmp_path / "t" / "report_year=2026" / "report_week=27").glob("*.parquet"):
+        f.write_bytes(b"broken")
+    assert [r.report_week for r in df.collect()] == [29]
