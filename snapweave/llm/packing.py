@@ -26,7 +26,9 @@ Beyond ``MAX_QUEUES`` sources the smallest ones share the last queue.
 
 from __future__ import annotations
 
+import json
 import os
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,19 +44,30 @@ WINDOW = 4096
 END_ID = 2
 MAX_QUEUES = 4096
 BROADCAST_ROWS = 200_000  # of (task, queue) offsets, some 50 bytes each
-CACHE_CHUNKS = 600_000
+CACHE_CHUNKS = 500_000
+CACHE_WORDS = 500_000
 # Control characters that str.split() takes as white space and Unicode's White_Space doesn't.
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
 # Punctuation that is a token run of its own after a word (an apostrophe isn't: it starts contractions).
 TAIL = ".,!?;:|%&*#$()"
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: itself if printable, else the next one from U+0100."""
+    kept = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in kept]
+    return {b: chr(b) for b in kept} | {b: chr(0x100 + i) for i, b in enumerate(rest)}
+
+
 class Chunks(dict):
     """White-space chunk -> token ids (little-endian unsigned 32-bit).
 
     For tokenizers that lower-case, and whose tokens hold no white space and do not
     join letters with punctuation. So a chunk's ids are put together from those of its
     lower-case word and its trailing punctuation, and only words are ever tokenised.
+    A byte-level vocabulary's merges are applied to a word of letters directly, as
+    normalising and splitting would leave it as it is. Words are kept apart from chunks,
+    as one word stands in many chunks; either cache starts anew when full.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -62,6 +75,26 @@ class Chunks(dict):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        split = (json.loads(tokenizer_json).get("pre_tokenizer") or {}).get("pretokenizers", [])
+        self.words, self.merges = {}, None
+        if split and split[-1]["type"] == "ByteLevel" and not split[-1].get("add_prefix_space"):
+            self.merges = self.tokenizer.model
+            letters = byte_letters()
+            self.letters = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(0x80, 0x130)}
+
+    def word(self, word: str) -> bytes:
+        """Ids of lower-case letters below U+0130."""
+        got = self.words.get(word)
+        if got is None:
+            if self.merges is None:
+                got = self.encode(word)
+            else:
+                tokens = self.merges.tokenize(word if word.isascii() else word.translate(self.letters))
+                got = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+            if len(self.words) >= CACHE_WORDS:
+                self.words.clear()
+            self.words[word] = got
+        return got
 
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -72,9 +105,9 @@ class Chunks(dict):
         got = None
         if max(chunk) < "\u0130":  # below it lower() maps letter by letter and nothing combines
             word = chunk.lower().rstrip(TAIL)
-            if word and word != chunk and word.isalpha():
+            if word.isalpha():
                 tail = chunk[len(word):]
-                got = self[word] + self[tail] if tail else self[word]
+                got = self.word(word) + self[tail] if tail else self.word(word)
         if got is None:
             got = self.encode(chunk)
         if len(self) >= CACHE_CHUNKS:
