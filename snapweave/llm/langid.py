@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 UNKNOWN = "und"
 WINDOW = 256
 SAMPLE_PER_LANG = 2500
+SALTS = 64  # parts in which a language's ids are ranked before its smallest hashes are picked
 WIDTHS = (2, 3, 4)
 FILTERS = 16  # per width
 EMBED = 12
@@ -140,8 +141,12 @@ def training_windows(docs: DataFrame, keep: Column, doc_id: str = "doc_id", text
     known = docs.filter(keep & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.xxhash64(F.col(doc_id).cast("string")).alias("h"),
         F.col(text).alias("text"))
-    rank = Window.partitionBy("lang").orderBy("h", "id")
-    chosen = known.select("id", "lang", "h").withColumn("r", F.row_number().over(rank)).filter(F.col("r") <= per_lang)
+    ids = known.select("id", "lang", "h", F.pmod("h", F.lit(SALTS)).alias("salt"))
+    order = ["h", "id"]  # ranked within salts first, so that a language's ids don't meet in one task
+    few = (ids.withColumn("r", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order)))
+           .filter(F.col("r") <= per_lang))
+    chosen = (few.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+              .filter(F.col("r") <= per_lang))
     n = F.length("text")
     place = F.when(n > WINDOW, F.pmod(F.xxhash64("h"), (n - WINDOW).cast("bigint"))).otherwise(0).cast("int") + 1
     return (known.join(F.broadcast(chosen.select("id", "lang").distinct()), ["id", "lang"])  # languages x per_lang ids
