@@ -104,13 +104,13 @@ def snapshot_ctes(dataset: str, with_rates: bool = True, keep: str = "last", nam
     """CTEs up to ``<dataset>_snap``: the cleaned, deduplicated, stamped snapshot."""
     c: Contract = CONTRACTS[dataset]
     typed_cols = []
-    for spec in c.columns:
+    for spec in c.fields:
         if spec.numeric:
-            typed_cols.append(f"{to_num(spec.field)} AS {spec.field}")
-        elif spec.pad:
-            typed_cols.append(f"{norm_key(spec.field, spec.pad)} AS {spec.field}")
+            typed_cols.append(f"{to_num(spec.name)} AS {spec.name}")
+        elif spec.width:
+            typed_cols.append(f"{norm_key(spec.name, spec.width)} AS {spec.name}")
         else:
-            typed_cols.append(spec.field)
+            typed_cols.append(spec.name)
     parts = [norm_key(k) for k in c.key]
     key = " || '|' || ".join(parts)
     complete = " AND ".join(f"{p} <> ''" for p in parts)
@@ -123,7 +123,7 @@ def snapshot_ctes(dataset: str, with_rates: bool = True, keep: str = "last", nam
   SELECT * FROM {snap}_typed
   QUALIFY row_number() OVER (PARTITION BY report_year, report_week, key ORDER BY {order}) = 1)"""]
     def base(a: str) -> str:
-        cols = ", ".join(f"{a}{s.field}" for s in c.columns)
+        cols = ", ".join(f"{a}{f}" for f in c.names)
         return (f"SELECT {cols}, {a}key, strftime({monday(a + 'report_year', a + 'report_week')}, '%Y-%m-%d') "
                 f"AS report_date, {a}report_week, {a}report_year")
     if with_rates and dataset == "open_po":
@@ -138,8 +138,8 @@ def snapshot_ctes(dataset: str, with_rates: bool = True, keep: str = "last", nam
 
 
 SNAP_FIELDS = {
-    "open_po": ", ".join(OPEN_PO.fields()) + ", key, report_date, report_week, report_year, rate_to_eur, line_value_eur",
-    "all_prs": ", ".join(ALL_PRS.fields()) + ", key, report_date, report_week, report_year",
+    "open_po": ", ".join(OPEN_PO.names) + ", key, report_date, report_week, report_year, rate_to_eur, line_value_eur",
+    "all_prs": ", ".join(ALL_PRS.names) + ", key, report_date, report_week, report_year",
 }
 
 
@@ -175,12 +175,23 @@ mart_top_suppliers AS (
   FROM stg_open_po GROUP BY report_year, report_week, supplier)"""
 
 
-def _card_sql(name: str) -> str:
-    from snapweave.plans.cards import CARDS
+# The four cards, written out on their own: latest week = greatest (year, week).
+_LAST_WEEK = "ORDER BY report_year DESC, report_week DESC LIMIT 1"
+CARD_SQL = {
+    "weekly_open_value": "SELECT report_year, report_week, total_value_eur FROM mart_open_po_weekly",
+    "weekly_line_count": "SELECT report_year, report_week, line_count FROM mart_open_po_weekly",
+    "kpi_latest_week": ("SELECT report_year, report_week, line_count, total_quantity, total_value_eur "
+                        f"FROM mart_open_po_weekly {_LAST_WEEK}"),
+    "top_suppliers_latest": f"""SELECT supplier, value_eur FROM (
+  SELECT s.*, row_number() OVER (ORDER BY (value_eur IS NULL) DESC, value_eur DESC, supplier ASC NULLS FIRST) AS place
+  FROM mart_top_suppliers s
+  JOIN (SELECT report_year, report_week FROM mart_top_suppliers {_LAST_WEEK}) w USING (report_year, report_week))
+WHERE place <= 10""",
+}
+
 
-    which, sql = CARDS[name]
-    mart = "mart_open_po_weekly" if which == "weekly" else "mart_top_suppliers"
-    return f"WITH {MART_CTES}\n" + sql.replace("{mart}", mart)
+def _card_sql(name: str) -> str:
+    return f"WITH {MART_CTES}\n{CARD_SQL[name]}"
 
 
 def grid_ctes(dataset: str = "open_po") -> str:
@@ -188,10 +199,10 @@ def grid_ctes(dataset: str = "open_po") -> str:
     ``grid_from_extract``: title (odd weeks), header (aliases when week % 3 = 0),
     data rows in row order, two junk rows."""
     c = CONTRACTS[dataset]
-    fields = [s.field for s in c.columns]
+    fields = c.names
     nulls = ", ".join(["NULL"] * (len(fields) - 1))
-    headers = "[" + ", ".join(f"'{s.header}'" for s in c.columns) + "]"
-    aliases = "[" + ", ".join(f"'{(s.aliases or (s.header,))[0]}'" for s in c.columns) + "]"
+    headers = "[" + ", ".join(f"'{s.headers[0]}'" for s in c.fields) + "]"
+    aliases = "[" + ", ".join(f"'{s.headers[:2][-1]}'" for s in c.fields) + "]"
     start = "(CASE WHEN report_week % 2 = 1 THEN 2 ELSE 1 END)"
     file_cols = "dataset, report_year, report_week, file"
     mon = f"strftime({monday('report_year', 'report_week')}, '%Y-%m-%d')"
@@ -214,7 +225,7 @@ grid AS (
 g_head AS (
   SELECT {file_cols}, row_idx AS header_idx,
          CAST(len(list_distinct(list_filter(list_transform(cells, lambda x: trim(x)),
-              lambda x: list_contains({sorted(c.known_headers())}, x)))) AS INTEGER) AS header_hits
+              lambda x: list_contains({c.header_texts}, x)))) AS INTEGER) AS header_hits
   FROM grid WHERE row_idx < 15
   QUALIFY row_number() OVER (PARTITION BY file ORDER BY header_hits DESC, row_idx) = 1)"""
 
@@ -244,7 +255,7 @@ def _compact_lines(keep: str) -> str:
             f"QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {order}) = 1")
 
 
-EXT_COLS = OPEN_PO.fields() + ["report_year", "report_week"]
+EXT_COLS = OPEN_PO.names + ["report_year", "report_week"]
 
 
 def _compact_null_sort() -> str:
@@ -308,7 +319,7 @@ def _upsert_sql(partial: bool) -> str:
                   "AND x.report_week = {a}.report_week)")
     return f"""WITH {snapshot_ctes('open_po')},
 {snapshot_ctes('open_po', keep='first', name='open_po_first', with_extract=False)},
-stored AS (SELECT * FROM open_po_snap WHERE report_week <= 26),
+stored AS (SELECT * FROM open_po_snap),
 incoming AS (SELECT {src} FROM open_po_first WHERE report_week >= 20 AND rate_to_eur IS NOT NULL),
 touched AS (SELECT DISTINCT report_year, report_week FROM incoming),
 old AS (SELECT * FROM stored WHERE {in_touched.format(a='stored')}),
@@ -318,6 +329,30 @@ SELECT {', '.join(SNAP_COLS)} FROM stored WHERE NOT {in_touched.format(a='stored
 UNION ALL SELECT {', '.join(SNAP_COLS)} FROM merged"""
 
 
+def _dq_models() -> str:
+    """Each rule of each model as its own count over the model."""
+    week = ["report_year", "report_week"]
+    rules = {"stg_open_po": (["row_id"], ["row_id", *week, "key"], True),
+             "stg_all_prs": (["row_id"], ["row_id", *week, "key"], True),
+             "mart_open_po_weekly": (week, week, True),
+             "mart_top_suppliers": ([*week, "supplier"], [*week, "supplier"], False)}
+    out = []
+    for model, (unique, not_null, dated) in rules.items():
+        bad = {"rows": "0", **{f"not_null({c})": f"(SELECT count(*) FROM {model} WHERE {c} IS NULL)" for c in not_null}}
+        if dated:
+            bad["report_date"] = (f"(SELECT count(*) FROM {model} WHERE report_date IS DISTINCT FROM "
+                                  f"CAST({monday('report_year', 'report_week')} AS DATE))")
+        some = " AND ".join(f"{c} IS NOT NULL" for c in unique)
+        bad[f"unique({', '.join(unique)})"] = (
+            f"(SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM {model} WHERE {some} "
+            f"GROUP BY {', '.join(unique)} HAVING count(*) > 1))")
+        out += [f"SELECT '{model}' AS model, '{check}' AS \"check\", (SELECT count(*) FROM {model}) AS rows, "
+                f"CAST({n} AS BIGINT) AS bad_rows, {n} = 0 AS passed" for check, n in bad.items()]
+    prs = snapshot_ctes("all_prs").replace(LINES_CTE + ",", "", 1)
+    return (f"WITH {MART_CTES},\n{prs},\nstg_all_prs AS (SELECT {STG['all_prs']} FROM all_prs_snap)\n"
+            + "\nUNION ALL ".join(out))
+
+
 ORACLE: dict[str, str] = {
     "snapshot_open_po": _snap_sql("open_po"),
     "snapshot_all_prs": _snap_sql("all_prs"),
@@ -335,7 +370,7 @@ SELECT *, row_number() OVER (PARTITION BY report_year, report_week
     "grid_header_detect": f"WITH {grid_ctes()}\nSELECT * FROM g_head",
     "grid_junk_filter": f"WITH {grid_ctes()}\n{GRID_BODY}",
     "grid_resolve": (f"WITH {grid_ctes()}\nSELECT dataset, report_year, report_week, file, row_idx, "
-                     + ", ".join(OPEN_PO.fields()) + " FROM g_data"),
+                     + ", ".join(OPEN_PO.names) + " FROM g_data"),
     "grid_snapshot_open_po": _snap_sql("open_po"),
     "grid_snapshot_all_prs": _snap_sql("all_prs"),
     "to_numeric_messy": _ext(f"order_quantity AS raw_quantity, {to_num('order_quantity')} AS order_quantity, "
@@ -361,6 +396,18 @@ SELECT report_year, CAST(unnest(range(lo, hi + 1)) AS INTEGER) AS report_week FR
     "dq_relationships": _DQ_REL,
     "upsert_twice": _upsert_sql(False),
     "upsert_partial_columns": _upsert_sql(True),
+    "upsert_rates_later": f"""WITH {snapshot_ctes('open_po')}
+SELECT {', '.join(c for c in SNAP_COLS if c not in ('rate_to_eur', 'line_value_eur'))},
+       CASE WHEN report_week >= 20 THEN rate_to_eur END AS rate_to_eur,
+       CASE WHEN report_week >= 20 THEN line_value_eur END AS line_value_eur FROM open_po_snap""",
+    "quarantine_rows": _ext(f"report_year, report_week, {', '.join(OPEN_PO.names)}", f"WHERE NOT ({_COMPLETE})"),
+    "run_log_status": f"""WITH {snapshot_ctes('open_po')},
+n AS (SELECT (SELECT count(*) FROM open_po_ext) AS ext, (SELECT count(*) FROM open_po_snap_typed) AS typed,
+             (SELECT count(*) FROM open_po_snap) AS snap)
+SELECT 'open_po' AS module, 'files' AS stage, 0 AS rows_in, 0 AS rows_out, 'PASSED' AS status FROM n
+UNION ALL SELECT 'open_po', 'quarantine', ext, ext - typed, 'PASSED' FROM n
+UNION ALL SELECT 'open_po', 'load', ext, snap, 'PASSED' FROM n""",
+    "dq_model_tests": _dq_models(),
     "landed_listing": f"""WITH {LINES_CTE}
 SELECT DISTINCT 'open_po' AS dataset, report_year, report_week,
        format('{{}}_{{}}_W{{:02d}}_b{{}}', 'open_po', report_year, report_week, _block) AS extract FROM lines""",

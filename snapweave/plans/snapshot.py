@@ -1,15 +1,16 @@
 """Weekly snapshot: resolved extract -> one clean row per key and week.
 
-``transform`` is one lazy DataFrame function with no action inside. The week
-is a column, so any number of weeks (and years) go through in one job.
+``transform`` is one lazy DataFrame function; only the row count of the rates
+lookup is taken while it is built (it decides the broadcast). The week is a column, so any number of weeks (and years) go through in one job.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
-from snapweave.contracts import Contract, get_contract
+from snapweave.contracts import Contract, Field, find_contract
 from snapweave.functions.dates import DEFAULT_YEAR, report_monday
 from snapweave.functions.keys import composite_key, key_complete, normalize_key
 from snapweave.functions.numeric import to_numeric_any
@@ -22,12 +23,19 @@ ABSENT_COL = "_absent"    # optional fields a source file did not have
 
 
 def snapshot_columns(df: DataFrame, contract: Contract) -> list[str]:
-    fields = [f for f in contract.fields() if f in df.columns]
+    fields = [f for f in contract.names if f in df.columns]
     extra = [c for c in ("rate_to_eur", "line_value_eur") if c in df.columns]
     keep = [ABSENT_COL] if ABSENT_COL in df.columns else []
     return fields + ["key", "report_date", "report_week", "report_year"] + extra + keep
 
 
+def cleaned(field: Field, dtype: DataType) -> Column:
+    """A field's cell as the contract wants it: a number, a padded key, or as it is."""
+    if field.width:
+        return normalize_key(field.name, field.width)
+    return to_numeric_any(field.name, dtype) if field.numeric else F.col(field.name)
+
+
 def transform(df: DataFrame, contract: Contract, rates: DataFrame | None = None,
               week: int | None = None, year: int = DEFAULT_YEAR, keep: str = "last") -> DataFrame:
     """Coerce numbers, pad keys, key and drop incomplete rows, keep the last
@@ -39,11 +47,8 @@ def transform(df: DataFrame, contract: Contract, rates: DataFrame | None = None,
     out = df
     if week is not None:
         out = out.withColumns({"report_year": F.lit(year), "report_week": F.lit(week)})
-    types = dict((f.name, f.dataType) for f in out.schema.fields)
-
-    coerce = {f: to_numeric_any(f, types[f]) for f in contract.numeric_fields() if f in types}
-    pad = {f: normalize_key(f, w) for f, w in contract.pad_fields().items() if f in types}
-    out = out.withColumns({**coerce, **pad})
+    types = {c.name: c.dataType for c in out.schema.fields}
+    out = out.withColumns({f.name: cleaned(f, types[f.name]) for f in contract.fields if f.name in types})
 
     parts = [normalize_key(k) for k in contract.key]
     out = out.withColumn("key", composite_key(parts)).filter(key_complete(parts))
@@ -64,9 +69,9 @@ def incomplete_rows(df: DataFrame, contract: Contract) -> DataFrame:
 
 
 def build_snapshot(spark: SparkSession, grid: DataFrame, contract: Contract | str,
-                   rates: DataFrame | None = None, strict: bool = True) -> DataFrame:
+                   rates: DataFrame | None = None, strict: bool = True, config_dir: str | None = None) -> DataFrame:
     """Grid (cells per file and row) -> snapshot: extract, then transform."""
     from snapweave.operators.resolve import extract
 
-    contract = get_contract(contract) if isinstance(contract, str) else contract
+    contract = find_contract(spark, contract, config_dir)
     return transform(extract(grid, contract, strict=strict), contract, rates)

@@ -7,24 +7,28 @@ full; the matching DuckDB SQL lives in ``snapweave.oracle``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-
-from snapweave.contracts import ALL_PRS, OPEN_PO
 from pyspark.sql import functions as F
 
+from snapweave.contracts import ALL_PRS, OPEN_PO
 from snapweave.functions import (composite_key, iso_week, iso_year, key_complete, normalize_key,
                                  report_monday, to_numeric, weeks_from_spec)
 from snapweave.operators import quality as dq
 from snapweave.operators.compact import compact_rows
 from snapweave.operators.header import body_rows, detect_headers, filled_cells
-from snapweave.operators.upsert import KEY_COLS, merge_snapshot, read_stored
+from snapweave.operators.upsert import KEY_COLS, read_stored, upsert
 from snapweave.operators.resolve import extract
 from snapweave.plans import cards, models
-from snapweave.sources.grid import grid_from_extract
+from snapweave.plans.jobs import quarantined, run_weeks
 from snapweave.plans.snapshot import transform
+from snapweave.session import shared_dir
+from snapweave.sources.grid import grid_from_extract, read_extracts
+from snapweave.sources.landing import land_grid, list_landed
 from snapweave.sources.seeds import load_rates
 from snapweave.sources.tables import all_prs_extract, open_po_extract, read_table
+from snapweave.streaming.ingest import ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,9 +62,12 @@ def mart_top_suppliers_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _card(name: str) -> Query:
+    mart = {"weekly": models.mart_open_po_weekly, "suppliers": models.mart_top_suppliers}[cards.CARDS[name][0]]
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        stg = stg_open_po(spark, sf_dir)
-        return cards.run_card(spark, name, models.mart_open_po_weekly(stg), models.mart_top_suppliers(stg))
+        """The card, read from its stored mart."""
+        stored = models.materialize(mart(stg_open_po(spark, sf_dir)), shared_dir(spark, "marts", unique=True) + "/mart")
+        return cards.run_card(spark, name, stored, stored)
     run.__name__ = f"card_{name}"
     return run
 
@@ -75,13 +82,13 @@ def _file_info(grid: DataFrame) -> DataFrame:
 
 def grid_header_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
     grid = open_po_grid(spark, sf_dir)
-    heads = detect_headers(grid, OPEN_PO.known_headers())
+    heads = detect_headers(grid, OPEN_PO.header_texts)
     return _file_info(grid).join(heads.select("file", "header_idx", "header_hits"), "file")
 
 
 def grid_junk_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     grid = open_po_grid(spark, sf_dir)
-    body = body_rows(grid, detect_headers(grid, OPEN_PO.known_headers()))
+    body = body_rows(grid, detect_headers(grid, OPEN_PO.header_texts))
     kept = filled_cells(F.col("cells")) >= 2
     return body.groupBy("dataset", "report_year", "report_week", "file").agg(
         F.count_if(kept).alias("body_rows"), F.count_if(~kept).alias("junk_rows"))
@@ -189,77 +196,100 @@ def dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dq.relationships_report(stg_open_po(spark, sf_dir), load_rates(spark))
 
 
-# --- upserts ------------------------------------------------------------------
+def dq_model_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules of all four models, one pass a model."""
+    po, prs = stg_open_po(spark, sf_dir), stg_all_prs(spark, sf_dir)
+    week = ["report_year", "report_week"]
+    rules = {
+        "stg_open_po": (po, ["row_id"], ["row_id", *week, "key"], True),
+        "stg_all_prs": (prs, ["row_id"], ["row_id", *week, "key"], True),
+        "mart_open_po_weekly": (models.mart_open_po_weekly(po), week, week, True),
+        "mart_top_suppliers": (models.mart_top_suppliers(po), [*week, "supplier"], [*week, "supplier"], False),
+    }
+    reports = [dq.table_report(df, unique, not_null, dated, nulls_equal=False).select(F.lit(name).alias("model"), "*")
+               for name, (df, unique, not_null, dated) in rules.items()]
+    return reduce(DataFrame.unionByName, reports)
+
+
+# --- upserts through the sink ----------------------------------------------------
+
+def _upserted(spark: SparkSession, *loads: DataFrame) -> DataFrame:
+    """The stored table after loading the snapshots one after the other."""
+    table = shared_dir(spark, "tables", unique=True) + "/open_po"
+    for snap in loads:
+        upsert(spark, snap, table, shared_dir(spark, "staging", "open_po", unique=True))
+    return read_stored(spark, table)
+
 
 def _upsert_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Stored weeks 1-26 (last row per key), then a later load of weeks 20-53
-    built from the older rows (first per key) and only lines with a known rate."""
+    """All weeks (last row per key), then a second load: weeks from 20 on, built from
+    the older rows (first per key), lines with a known rate."""
     ext = open_po_extract(spark, sf_dir)
     rates = load_rates(spark)
-    stored = transform(ext, OPEN_PO, rates).filter(F.col("report_week") <= 26)
     incoming = transform(ext, OPEN_PO, rates, keep="first").filter(
         (F.col("report_week") >= 20) & F.col("rate_to_eur").isNotNull())
-    return stored, incoming
+    return transform(ext, OPEN_PO, rates), incoming
 
 
 def upsert_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored, incoming = _upsert_inputs(spark, sf_dir)
-    return merge_snapshot(merge_snapshot(stored, incoming), incoming)
+    return _upserted(spark, stored, incoming, incoming)
 
 
 def upsert_partial_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored, incoming = _upsert_inputs(spark, sf_dir)
-    return merge_snapshot(stored, incoming.select("report_year", "report_week", "key", "net_price"))
+    return _upserted(spark, stored, incoming.select("report_year", "report_week", "key", "net_price"))
 
 
-# --- landing, backfill, stream -------------------------------------------------
+def upsert_rates_later(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All weeks without rates, then weeks from 20 on with them: the columns are added."""
+    ext = open_po_extract(spark, sf_dir)
+    later = transform(ext, OPEN_PO, load_rates(spark)).filter(F.col("report_week") >= 20)
+    return _upserted(spark, transform(ext, OPEN_PO), later)
 
-_LANDED: dict[tuple[str, str], str] = {}
 
+# --- landing, backfill, stream -------------------------------------------------
 
 def _landed_open_po(spark: SparkSession, sf_dir: str) -> str:
-    """Write the open_po extract files for ``sf_dir`` once per application;
-    landed files are immutable, so later queries read the same copy."""
-    from snapweave.session import shared_dir
-    from snapweave.sources.landing import land_grid
-    from snapweave.sources.seeds import path_exists
-
-    memo = (spark.sparkContext.applicationId, sf_dir)
-    root = _LANDED.get(memo)
-    if root is None or not path_exists(spark, root):
-        root = shared_dir(spark, "landing", unique=True)
-        land_grid(open_po_grid(spark, sf_dir), root, width=len(OPEN_PO.columns))
-        _LANDED[memo] = root
-    return root
+    """Write the open_po extract files for ``sf_dir``."""
+    root = shared_dir(spark, "landing", unique=True)
+    return land_grid(open_po_grid(spark, sf_dir), root, width=len(OPEN_PO.fields))
 
 
 def landed_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from snapweave.sources.landing import list_landed
-
     files = list_landed(spark, _landed_open_po(spark, sf_dir))
     return files.select("dataset", F.col("year").alias("report_year"), F.col("week").alias("report_week"),
                         "extract").distinct()
 
 
-def backfill_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land the extracts, then replay weeks 1-53 of every year from the files in one job."""
-    from snapweave.plans.jobs import run_weeks
-    from snapweave.session import shared_dir
-    from snapweave.sources.grid import read_text_grid
-
+def _backfilled(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Land the extracts, replay weeks 1-53 of every year from the files in one job -> table, run log."""
     root = _landed_open_po(spark, sf_dir)
     table = shared_dir(spark, "tables", unique=True) + "/open_po"
     log = shared_dir(spark, "runlog", unique=True)
-    run_weeks(spark, read_text_grid(spark, f"{root}/dataset=open_po", weeks=range(1, 54)), "open_po", table, "1-53",
+    run_weeks(spark, read_extracts(spark, f"{root}/dataset=open_po", weeks=range(1, 54)), "open_po", table, "1-53",
               load_rates(spark), log_path=log)
-    return read_stored(spark, table)
+    return table, log
+
+
+def backfill_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_stored(spark, _backfilled(spark, sf_dir)[0])
+
+
+def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows a backfill left out for an incomplete key, as they were extracted."""
+    table, _ = _backfilled(spark, sf_dir)
+    return quarantined(spark, table).select("report_year", "report_week", *OPEN_PO.names)
+
+
+def run_log_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages a backfill logged, with the rows each took and gave."""
+    _, log = _backfilled(spark, sf_dir)
+    return spark.read.parquet(log).select("module", "stage", "rows_in", "rows_out", "status")
 
 
 def stream_ingest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land the extracts, ingest them with a file stream (available-now), read the table."""
-    from snapweave.session import shared_dir
-    from snapweave.streaming.ingest import ingest_available
-
     root = _landed_open_po(spark, sf_dir)
     base = shared_dir(spark, "stream", unique=True)
     ingest_available(spark, root, "open_po", f"{base}/open_po", f"{base}/_checkpoint", load_rates(spark))
@@ -297,9 +327,13 @@ QUERIES: dict[str, Query] = {
     "dq_row_count_delta": dq_row_count_delta,
     "dq_freshness": dq_freshness,
     "dq_relationships": dq_relationships,
+    "dq_model_tests": dq_model_tests,
     "upsert_twice": upsert_twice,
     "upsert_partial_columns": upsert_partial_columns,
+    "upsert_rates_later": upsert_rates_later,
     "landed_listing": landed_listing,
     "backfill_weeks": backfill_weeks,
+    "quarantine_rows": quarantine_rows,
+    "run_log_status": run_log_status,
     "stream_ingest_snapshot": stream_ingest_snapshot,
 }

@@ -73,6 +73,16 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     return path
 
 
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder that a job made for itself; without a JVM handle (Spark Connect) it stays."""
+    try:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:
+        return
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(conf).delete(folder, True)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast only after checking its row count.
 

@@ -3,8 +3,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from snapweave.functions import (normalize_key, parse_weeks, report_monday, to_numeric, week_from_logical_date,
-                                 weeks_from_spec, weeks_in_range, weeks_sequence, zero_fill)
+from snapweave.functions import normalize_key, report_monday, to_numeric, week_from_logical_date, week_list, zero_fill
 from snapweave.functions.keys import composite_key, key_complete
 
 
@@ -76,18 +75,14 @@ def test_week_from_logical_date_roundtrip(spark):
         assert spark.range(1).select(week_from_logical_date(report_monday(w))).first()[0] == w
 
 
-def test_weeks_in_range_and_spec(spark):
-    assert weeks_in_range(25, 30) == [25, 26, 27, 28, 29, 30]
-    assert weeks_in_range(29, 29) == [29]
-    with pytest.raises(ValueError):
-        weeks_in_range(30, 25)
-    assert parse_weeks("25-30") == [25, 26, 27, 28, 29, 30]
-    assert parse_weeks("29") == [29]
-    assert parse_weeks("25,27,29,27") == [25, 27, 29]
-    got = spark.range(1).select(weeks_from_spec(F.lit("25-27, 29,26")).alias("w")).first().w
-    assert got == [25, 26, 27, 29]
-    with pytest.raises(Exception, match="end_week must be >= start_week"):
-        spark.range(1).select(weeks_sequence(30, 25)).collect()
+def test_week_lists(spark):
+    assert week_list(spark, "12-17") == [12, 13, 14, 15, 16, 17] and week_list(spark, "8-8") == [8]
+    assert week_list(spark, " 4, 2 - 3,4") == [2, 3, 4]
+    with pytest.raises(Exception, match="week range 9-7 runs backwards"):
+        week_list(spark, "3,9-7")
+    for wrong in ("", "5,", "a", "1-2-3"):
+        with pytest.raises(Exception, match="not a list of weeks"):
+            week_list(spark, wrong)
 
 
 def test_double_keys_print_in_full(spark):

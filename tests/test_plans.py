@@ -14,9 +14,9 @@ def test_rates_lookup_is_broadcast(spark):
     assert "BroadcastHashJoin" in p and "LeftOuter" in p
 
 
-def test_dedup_combines_map_side(spark):
+def test_dedup_limits_keys_before_the_shuffle(spark):
     p = plan(QUERIES["compact_last"](spark, SF))
-    assert "partial_max_by" in p
+    assert "WindowGroupLimit" in p and "Partial" in p
 
 
 def test_top_suppliers_is_top_k(spark):

@@ -12,23 +12,33 @@ def snap(spark):
         "report_year int, report_week int, key string, report_date string, currency string")
 
 
-def test_unique_keys(spark, snap):
-    assert dq.check_unique_keys(snap, ["report_year", "report_week", "key"]) == 3
-    with pytest.raises(dq.QualityError, match="2 rows share"):
-        dq.check_unique_keys(snap.unionByName(snap.limit(1)), ["report_year", "report_week", "key"])
+def lines(report):
+    return {r.check: (r.rows, r.bad_rows) for r in report.collect()}
 
 
-def test_not_null(spark, snap):
-    assert dq.check_not_null(snap, ["key"]) == 3
-    with pytest.raises(dq.QualityError, match="currency"):
-        dq.check_not_null(snap, ["key", "currency"])
+def test_all_rules_of_a_table_in_one_report(spark, snap):
+    key = ["report_year", "report_week", "key"]
+    assert lines(dq.table_report(snap, key, ["key", "currency"], dated=True)) == {
+        "rows": (3, 0), "not_null(key)": (3, 0), "not_null(currency)": (3, 1), "report_date": (3, 0),
+        "unique(report_year, report_week, key)": (3, 0)}
+    twice = snap.unionByName(snap.filter("currency = 'EUR'"))
+    assert lines(dq.table_report(twice, key))["unique(report_year, report_week, key)"] == (4, 2)
+    assert lines(dq.table_report(snap.limit(0), key, key)) == {
+        "rows": (0, 0), **{f"not_null({c})": (0, 0) for c in key}, "unique(report_year, report_week, key)": (0, 0)}
 
 
-def test_row_count_delta():
-    assert dq.row_count_delta(100, 110) == pytest.approx(0.1)
-    assert dq.row_count_delta(0, 10) == 0.0
-    with pytest.raises(dq.QualityError):
-        dq.row_count_delta(100, 10)
+def test_null_keys_repeat_or_are_left_out(spark):
+    df = spark.createDataFrame([(None,), (None,), ("a",)], "key string")
+    assert lines(dq.table_report(df, ["key"]))["unique(key)"] == (3, 2)
+    assert lines(dq.table_report(df, ["key"], nulls_equal=False))["unique(key)"] == (3, 0)
+
+
+def test_enforce_names_what_failed(spark, snap):
+    assert dq.enforce(dq.table_report(snap, not_null=["key"]), "t")[0].rows == 3
+    with pytest.raises(dq.QualityError, match=r"t does not pass: check not_null\(currency\), rows 3, bad_rows 1"):
+        dq.enforce(dq.table_report(snap, not_null=["key", "currency"]), "t")
+    with pytest.raises(dq.QualityError, match="report_week 30"):
+        dq.enforce(dq.row_count_delta_report(snap, max_pct=0.4), "weeks")
 
 
 def test_row_count_delta_report(spark, snap):
@@ -38,11 +48,10 @@ def test_row_count_delta_report(spark, snap):
 
 def test_freshness(spark, snap):
     w29 = snap.filter("report_week = 29")
-    assert dq.check_freshness(w29, "report_date", "2026-07-13") == "2026-07-13"
-    with pytest.raises(dq.QualityError, match="stale"):
-        dq.check_freshness(snap, "report_date", "2026-07-13")
-    with pytest.raises(dq.QualityError):
-        dq.check_freshness(snap.limit(0), "report_date", "2026-07-13")
+    assert dq.freshness_report(w29, expected="2026-07-13").first().passed
+    for stale in (snap, snap.limit(0)):
+        with pytest.raises(dq.QualityError):
+            dq.enforce(dq.freshness_report(stale, expected="2026-07-13"), "snapshot")
     assert all(r.passed for r in dq.freshness_report(snap).collect())
 
 
