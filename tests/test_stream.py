@@ -19,3 +19,40 @@ def test_stream_ingest_and_rerun(spark, tmp_path):
     write_csv(root / "dataset=open_po/year=2026/week=29/b.csv", [HEAD, ["4500000009", "10", "1", "x", "S", "1", "1", "EUR", "", "P100", "Z"]])
     ingest_available(spark, str(root), "open_po", table, ckpt, load_rates(spark))
     assert spark.read.parquet(table).count() == 3
+
+
+def test_workbooks_bad_files_and_empty_batches(spark, tmp_path):
+    import os
+
+    from snapweave.plans.jobs import problem_files
+    from snapweave.sources.xlsx import write_workbook
+
+    folder = tmp_path / "landing/dataset=open_po/year=2026/week=29"
+    table, ckpt = str(tmp_path / "open_po"), str(tmp_path / "ckpt")
+    write_csv(folder / "a_title_only.csv", [["Report Date: 2026-07-13"], HEAD])
+    os.utime(folder / "a_title_only.csv", (1, 1))
+    ingest_available(spark, str(tmp_path / "landing"), "open_po", table, ckpt, load_rates(spark))
+    (folder / "b.xlsx").write_bytes(write_workbook([HEAD, ["4500000007", 10, 5, "x", "S", 2, 3, "EUR", "", "P100", "Z"]]))
+    (folder / "c.xlsx").write_bytes(b"no workbook")
+    write_csv(folder / "d.csv", [["PO Number", "PO Item"], ["1", "10"], ["2", "20"]])
+    ingest_available(spark, str(tmp_path / "landing"), "open_po", table, ckpt, load_rates(spark), max_files=1)
+    assert [(r.key, r.line_value_eur) for r in spark.read.parquet(table).collect()] == [("4500000007|10", 6.0)]
+    bad = {r.file.rsplit("/", 1)[-1]: r.problem for r in problem_files(spark, table).collect()}
+    assert set(bad) == {"c.xlsx", "d.csv"} and "BadZipFile" in bad["c.xlsx"] and "material" in bad["d.csv"]
+
+
+def test_the_last_arrived_file_wins_in_batch_and_stream(spark, tmp_path):
+    import os
+
+    from snapweave.operators.upsert import read_stored
+    from snapweave.plans.jobs import run_weeks
+    from snapweave.sources.grid import read_extracts
+
+    folder = tmp_path / "landing/dataset=open_po/year=2026/week=29"
+    for name, price, when in (("b.csv", "10", 1_000), ("a.csv", "99", 2_000)):
+        write_csv(folder / name, [HEAD, ["4500000001", "10", "1", "x", "S", "1", price, "EUR", "", "P100", "Z"]])
+        os.utime(folder / name, (when, when))
+    run_weeks(spark, read_extracts(spark, str(tmp_path / "landing")), "open_po", str(tmp_path / "batch"))
+    ingest_available(spark, str(tmp_path / "landing"), "open_po", str(tmp_path / "stream"), str(tmp_path / "ckpt"), max_files=1)
+    for table in ("batch", "stream"):
+        assert [r.net_price for r in read_stored(spark, str(tmp_path / table)).collect()] == [99.0]
