@@ -40,6 +40,7 @@ MIN_ITEM = 5
 BLOCK_CHARS = 16_000_000
 MASKS = ((0, 1, 2, 3, 5, 7, 8), (0, 1, 4, 7, 8, 9, 10), (0, 1, 2, 3, 5, 6, 7))
 BATCH_WORDS = 200_000
+GAP = -2  # stands between documents; 0 is a document's word that no item has
 CACHE_WORDS = 300_000
 WORD = re.compile(r"\w+")
 
@@ -124,7 +125,7 @@ class Seeds:
     def spans(self, words: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(item index, document start, document end, item start, words that agree) of verified overlaps.
 
-        ``words`` needs WINDOW zeros before and after each document.
+        ``words`` needs WINDOW times GAP before and after each document. A span lies inside one document.
         """
         d, q, whole = self.hits(words)
         if not len(d):
@@ -144,9 +145,9 @@ class Seeds:
             i = q[:, None] + reach
             inside = (i >= 0) & (i < len(self.words))
             other = self.words[np.where(inside, i, 0)]
-            same_item = inside & (self.owner[np.where(inside, i, 0)] == self.owner[q][:, None])
-            agree = np.cumsum(np.pad((w == other) & same_item, ((0, 0), (1, 0))), 1)
-            within = np.cumsum(np.pad(same_item, ((0, 0), (1, 0))), 1)
+            both = inside & (self.owner[np.where(inside, i, 0)] == self.owner[q][:, None]) & (w != GAP)
+            agree = np.cumsum(np.pad((w == other) & both, ((0, 0), (1, 0))), 1)
+            within = np.cumsum(np.pad(both, ((0, 0), (1, 0))), 1)
             good = ((agree[:, WINDOW:] - agree[:, :-WINDOW] >= WINDOW - MAX_SUBSTITUTIONS)
                     & (within[:, WINDOW:] - within[:, :-WINDOW] == WINDOW))
             row, k = np.nonzero(good)
@@ -169,8 +170,8 @@ class Seeds:
 
 
 def _numbered(texts: pa.Array, numbers: Numbers) -> Iterator[tuple[list[int], list[int], np.ndarray]]:
-    """Groups of rows: (row numbers, their first word's place, all words with gaps of zeros)."""
-    gap = (0,) * WINDOW
+    """Groups of rows: (row numbers, their first word's place, all words with gaps)."""
+    gap = (GAP,) * WINDOW
     rows, starts, words = [], [], list(gap)
     for i, t in enumerate(texts):
         rows.append(i)

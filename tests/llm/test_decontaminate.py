@@ -60,6 +60,19 @@ def test_spans_match_brute_force(spark, docs_of):
     assert len(parts) > 3 and sum(len(ids) for ids, _ in parts) == len([1 for _, t in items if t is not None])
 
 
+def test_windows_stay_inside_their_document(spark, docs_of):
+    w = [f"w{i}" for i in range(40)]
+    clean = " ".join(f"c{i}" for i in range(20))
+    # first, middle and last row start and end inside the item; 11 and 12 words are no overlap of 13
+    rows = [(1, " ".join(w[2:30])), (2, clean), (3, " ".join(w[1:20])), (4, clean), (5, " ".join(w[3:14])),
+            (6, " ".join(w[28:])), (7, " ".join(w[:12])), (8, ""), (9, "x " + " ".join(w[20:38]))]
+    docs = docs_of(rows).coalesce(1)
+    bench = spark.createDataFrame([(1, " ".join(w))], "item_id bigint, text string")
+    got = {(r["doc_id"], r["doc_start"], r["doc_end"], r["item_start"]) for r in dc.overlaps(docs, bench).collect()}
+    assert got == {(1, 0, 28, 2), (3, 0, 19, 1), (9, 0, 19, 19)}
+    assert {r["doc_id"] for r in docs.filter(dc.leaks("text", bench)).collect()} == {1, 3, 9}
+
+
 def test_empty_tables(spark, docs_of):
     docs, none = docs_of([(1, "a b c")]), spark.createDataFrame([], "item_id bigint, text string")
     assert dc.overlaps(docs, none).count() == 0
