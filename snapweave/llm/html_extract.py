@@ -3,7 +3,9 @@
 A page is parsed to a light tree (tolerant of unclosed and crossing tags). Parts
 that are boilerplate by their element, role or class words are cut out: menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments
-of readers. Every remaining paragraph earns points, one plus one per comma plus one
+of readers. A form, or an element with such a class word, is a wrapper and stays if
+it contains the page's article or main element or most of its text outside links
+(``settle``); then only its boilerplate parts are cut. Every remaining paragraph earns points, one plus one per comma plus one
 per hundred characters (three at most); its parent receives them in full, the
 grandparent half and higher ancestors less and less. A container's score is its
 points times the share of its text that is outside links. The best container wins;
@@ -46,6 +48,10 @@ PARAGRAPH = {"p", "pre", "blockquote", "td", "li", "dd", "figcaption"}
 KEPT_WHOLE = {"html", "body", "article", "main"}
 CUT = set("head script style noscript template iframe object embed svg canvas nav header footer aside menu form "
           "button select textarea input label fieldset dialog audio video noembed noframes xmp title".split())
+# cut by name or as a form, unless they turn out to wrap the text (``settle``)
+HARD, NAMED, READERS = 1, 2, 3
+READER_WORDS = set("comment comments commentlist discussion replies disqus respond".split())
+SAYS_OF_CONTENT = {"has", "have", "with", "without", "no"}  # "has-sidebar" is no name of a sidebar
 CUT_ROLES = set("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar "
                 "form status".split())
 CUT_WORDS = set("ad ads advert adverts advertisement advertising adsense adbox sponsor sponsored promo promotion banner "
@@ -61,29 +67,31 @@ WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "cut", "points", "chars", "linked")
+    __slots__ = ("tag", "parent", "children", "cut", "kind", "points", "chars", "linked", "holds", "free", "free_holds")
 
-    def __init__(self, tag: str, parent: Node | None, cut: bool = False):
-        self.tag, self.parent, self.cut = tag, parent, cut
+    def __init__(self, tag: str, parent: Node | None, cut: bool = False, kind: int = 0):
+        self.tag, self.parent, self.cut, self.kind = tag, parent, cut, kind
         self.children: list[Node | str] = []
         self.points, self.chars, self.linked = 0.0, 0, 0
 
 
-def boilerplate(tag: str, attributes: str) -> bool:
-    """Whether an element is cut out by its kind, role or class words."""
-    if tag in KEPT_WHOLE:
-        return False
-    if tag in CUT:
-        return True
+def boilerplate(tag: str, attributes: str) -> int:
+    """HARD by kind, role or being hidden; NAMED or READERS by class words or as a form; else 0."""
+    if tag in CUT and tag != "form":
+        return HARD
+    kind = NAMED if tag == "form" else 0
     if attributes and len(attributes) > 1:
         for m in ATTRIBUTE.finditer(attributes):
             name, value = m.group(1).lower(), m.group(2) or m.group(3) or m.group(4) or ""
             if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "role" and \
                     value.lower() in CUT_ROLES or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
-                return True
-            if name in ("class", "id") and any(w.lower() in CUT_WORDS for w in WORDS.findall(value)):
-                return True
-    return False
+                return HARD
+            if name in ("class", "id"):
+                for part in value.split():
+                    words = [w.lower() for w in WORDS.findall(part)]
+                    if words and words[0] not in SAYS_OF_CONTENT and not CUT_WORDS.isdisjoint(words):
+                        kind = max(kind, NAMED if READER_WORDS.isdisjoint(words) else READERS)
+    return kind
 
 
 def parse(html: str) -> Node:
@@ -136,7 +144,8 @@ def parse(html: str) -> Node:
                 to = to.parent
             if found is not None:
                 close(found)
-        node = Node(tag, at, at.cut or boilerplate(tag, attributes))
+        kind = boilerplate(tag, attributes)
+        node = Node(tag, at, at.cut or kind == HARD and tag not in KEPT_WHOLE, kind)
         at.children.append(node)
         if tag in RAW:  # up to its end tag, unparsed
             end = re.compile(rf"</{tag}\s*(?:>|\Z)", re.I).search(html, pos)
@@ -174,14 +183,54 @@ def own_text(node: Node) -> str:
     return " ".join("".join(out).split())
 
 
+def measure(node: Node) -> tuple[int, list[Node]]:
+    """Length of the node's own text and its elements; sets text and link lengths from those of its elements."""
+    text = sum(len(c) if c.isprintable() and " " not in c else len(" ".join(c.split()))
+               for c in node.children if isinstance(c, str))
+    inner = [c for c in node.children if isinstance(c, Node) and not c.cut]
+    node.chars = text + sum(c.chars for c in inner)
+    node.linked = node.chars if node.tag == "a" else sum(c.linked for c in inner)
+    return text, inner
+
+
+def settle(root: Node) -> None:
+    """Cuts what is boilerplate by name or a form, except wrappers of the text.
+
+    A wrapper contains a ``main``, or an ``article`` that is neither named as boilerplate nor mostly links; or, where
+    no such element stands outside it, more than half of the page's text outside links. What is named after comments
+    of readers counts as a wrapper only if no such element, or else no text, stands outside it.
+    """
+    named = lambda x: x.kind > HARD and x.tag not in KEPT_WHOLE
+    nodes = in_order(root)
+    if not any(map(named, nodes)):
+        return
+    for x in reversed(nodes):
+        text, inner = measure(x)
+        own = int(x.tag == "main" or x.tag == "article" and not x.kind and density(x) < 0.5)
+        x.holds = own + sum(c.holds for c in inner)
+        # the same and the text outside links, without what lies in named elements further down
+        x.free_holds = own + sum(c.free_holds for c in inner if not named(c))
+        x.free = 0 if x.tag == "a" else text + sum(c.free for c in inner if not named(c))
+    whole = root.chars - root.linked
+    stack = [(root, root.free, root.free_holds)]  # with the text and holders outside what is named, or in its wrappers
+    while stack:
+        x, free, holds = stack.pop()
+        if named(x):
+            others = holds > 0
+            if x.holds:
+                x.cut = x.kind == READERS and others
+            else:
+                x.cut = others or 2 * (x.chars - x.linked) <= whole or density(x) >= 0.5 or x.kind == READERS and free > 0
+            if x.cut:
+                continue
+            free, holds = free + x.free, holds + x.free_holds
+        stack += [(c, free, holds) for c in x.children if isinstance(c, Node) and not c.cut]
+
+
 def score(nodes: list[Node]) -> None:
     """Points, text and link lengths of all nodes."""
     for node in reversed(nodes):
-        text = sum(len(c) if c.isprintable() and " " not in c else len(" ".join(c.split()))
-                   for c in node.children if isinstance(c, str))
-        inner = [c for c in node.children if isinstance(c, Node) and not c.cut]
-        node.chars = text + sum(c.chars for c in inner)
-        node.linked = node.chars if node.tag == "a" else sum(c.linked for c in inner)
+        text, inner = measure(node)
         blocks = any(c.tag in BLOCK for c in inner)
         if node.chars and (node.tag in PARAGRAPH and not blocks or node.tag in ("div", "section", "p") and text
                            and not (node.tag != "p" and blocks and text < 25)):
@@ -200,6 +249,7 @@ def density(node: Node) -> float:
 
 def chosen(root: Node) -> list[Node]:
     """Best container with its siblings that look like text, in page order."""
+    settle(root)
     nodes = in_order(root)
     score(nodes)
     total = lambda x: x.points * (1 - density(x))

@@ -36,6 +36,25 @@ def test_links_discount_a_container():
     assert hx.main_text(f"<body><div>{links}</div><div>{text}</div></body>").startswith("Some words")
 
 
+def test_wrappers_of_the_text_are_no_boilerplate():
+    text = "".join(f"<p>Words of the text, no links, part {i}.</p>" for i in range(6))
+    want = " ".join(f"Words of the text, no links, part {i}." for i in range(6))
+    ad, says = '<div class="ad">Buy, now, please.</div>', '<div id="comments"><p>Reader, says, things.</p></div>'
+    for wrap in ('<div class="content has-sidebar">%s</div>', '<div id="page" class="with-comments">%s</div>',
+                 '<form action="/">%s</form>', '<div class="sidebar-left">%s</div>', '<div class="page comments">%s</div>',
+                 '<form><div class="widget-area">%s</div></form>'):
+        for inner in ("<div>%s</div>", "<article>%s</article>", "<main>%s</main>"):
+            page = wrap % ("<nav>Menu</nav>" + inner % text + ad + says)
+            assert hx.main_text(f"<body>{ad}{page}</body>") == want, page
+    # comments longer than the article, as articles or not, and boilerplate longer than it, are still cut
+    for one in ('<article class="comment">%s</article>', "<article>%s</article>", "<div>%s</div>"):
+        thread = '<div id="comments">%s</div>' % "".join(one % "<p>Reader, says, much, more, than, this</p>" for _ in range(9))
+        assert hx.main_text(f"<main>{text}{thread}</main>") == want
+        assert hx.main_text(f"<article>{text}</article>{thread}") == want
+    assert hx.main_text(f"<div><div>{text}</div>{thread}</div>") == want
+    assert hx.main_text("<article><p>Short.</p></article><div class=ad>Long, long, long, long, long, words</div>") == "Short."
+
+
 def test_query_matches_the_articles(spark):
     sf = "/root/testdata/sf0.01"
     pages = {r["page_id"]: r for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
