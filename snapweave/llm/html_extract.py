@@ -9,9 +9,10 @@ it contains the page's article or main element or most of its text outside links
 per hundred characters (three at most); its parent receives them in full, the
 grandparent half and higher ancestors less and less. A container's score is its
 points times the share of its text that is outside links. The best container wins;
-if it lies in an ``article`` or ``main`` element, that element stands for it.
-Siblings that look like text join it: headings, containers with a fifth of the best
-score, and paragraphs with few links.
+if it lies in an ``article`` or ``main`` element, that element stands for it, and
+headings and containers with a fifth of its score beside it join it. On other pages
+all that is left of the page joins the best container, however short and far from
+it, except blocks whose text is mostly links.
 
 The text of the chosen parts is written out block by block in page order: character
 references are decoded, white space inside a block becomes one space, blocks are
@@ -247,8 +248,48 @@ def density(node: Node) -> float:
     return node.linked / node.chars if node.chars else 0.0
 
 
+def runs(node: Node, apart: Node | None = None) -> Iterator[Node]:
+    """Block children of ``node`` (and ``apart``), and in their places the runs of text and inline elements between."""
+    run: list[Node | str] = []
+    for x in [*node.children, None]:
+        block = x is None or isinstance(x, Node) and (x is apart or x.tag in BLOCK or any(
+            isinstance(c, Node) and c.tag in BLOCK for c in x.children))
+        if block and run:
+            out = Node("span", node)
+            out.children = run
+            measure(out)
+            yield out
+            run = []
+        if isinstance(x, str) or x is not None and not x.cut and not block:
+            run.append(x)
+        elif x is not None and not x.cut:
+            yield x
+
+
+def around(best: Node) -> list[Node]:
+    """``best`` and all other text of the page that isn't mostly links, in page order."""
+    before: list[list[Node]] = []
+    after: list[Node] = []
+    node = best
+    while node.parent is not None:
+        found: list[Node] = []
+        stack = list(reversed([*runs(node.parent, node)]))
+        while stack:
+            x = stack.pop()
+            if x is node:
+                before.append(found)
+                found = []
+            elif x.linked < x.chars and density(x) < 0.5:
+                found.append(x)
+            elif x.linked < x.chars and x.tag != "span":  # the text among the links
+                stack += reversed([*runs(x)])
+        after += found
+        node = node.parent
+    return [x for part in reversed(before) for x in part] + [best] + after
+
+
 def chosen(root: Node) -> list[Node]:
-    """Best container with its siblings that look like text, in page order."""
+    """Best container with the text around it, in page order."""
     settle(root)
     nodes = in_order(root)
     score(nodes)
@@ -257,21 +298,17 @@ def chosen(root: Node) -> list[Node]:
     if not holders:
         return [root]
     best = max(holders, key=total)  # the first of equals
-    up = best
-    while up is not None and up.tag not in ("article", "main"):
-        up = up.parent
+    up, outer = best, None
     while up is not None:
-        best = up
+        if up.tag in ("article", "main"):
+            outer = up
         up = up.parent
-        while up is not None and up.tag not in ("article", "main"):
-            up = up.parent
-    if best.parent is None or best.tag in ("html", "body"):
-        return [best]
-    least, out = 0.2 * total(best), []
-    for x in best.parent.children:
+    if outer is None:
+        return around(best)
+    least, out = 0.2 * total(outer), []
+    for x in outer.parent.children:
         if isinstance(x, Node) and not x.cut and (
-                x is best or x.tag in HEADINGS and density(x) < 0.5 or x.points > 0 and total(x) >= least
-                or x.tag in PARAGRAPH and x.chars >= 25 and density(x) < 0.25 and best.tag not in ("article", "main")):
+                x is outer or x.tag in HEADINGS and density(x) < 0.5 or x.points > 0 and total(x) >= least):
             out.append(x)
     return out
 

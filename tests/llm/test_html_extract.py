@@ -55,6 +55,17 @@ def test_wrappers_of_the_text_are_no_boilerplate():
     assert hx.main_text("<article><p>Short.</p></article><div class=ad>Long, long, long, long, long, words</div>") == "Short."
 
 
+def test_short_and_distant_parts_join_without_an_article():
+    part = lambda n, k: f"<section>{''.join(f'<p>Part {n}, words {i}.</p>' for i in range(k))}</section>"
+    links = "<div><a href=a>One link</a> | <a href=b>Another link</a></div><ul><li><a href=c>Third link</a></ul>"
+    page = (f"{links}<div><h1>Head</h1>{part(1, 1)}{part(2, 10)}{part(3, 1)}<p>Short.</p>bare <b>te</b>xt<br>here</div>"
+            f"<div><div>{links}<p>Cousin.</p></div>x <a href=d>y</a> zz</div>{links}<p><a href=e>Last link</a>")
+    want = " ".join(["Head", "Part 1, words 0.", *(f"Part 2, words {i}." for i in range(10)), "Part 3, words 0.",
+                     "Short. bare text here Cousin. x y zz"])
+    assert hx.main_text(f"<html><body>{page}</body></html>") == want
+    assert hx.main_text("<span>a</span> b <span><p>c, d</p></span> e") == "a b c, d e"
+
+
 def test_query_matches_the_articles(spark):
     sf = "/root/testdata/sf0.01"
     pages = {r["page_id"]: r for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
