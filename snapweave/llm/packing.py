@@ -42,6 +42,7 @@ from snapweave.llm.common import stored
 
 WINDOW = 4096
 END_ID = 2
+CELLS = 1_000_000  # windows x queues whose boundaries are held at a time
 MAX_QUEUES = 4096
 BROADCAST_ROWS = 200_000  # of (task, queue) offsets, some 50 bytes each
 CACHE_CHUNKS = 500_000
@@ -191,25 +192,46 @@ class Mixture:
                 at += 1 << bit
         return out
 
+    def blocks(self, first: np.ndarray, last: np.ndarray) -> Iterator[np.ndarray]:
+        """All windows from ``first`` to ``last`` (inclusive) in order, at most ``CELLS`` (windows x queues) at a time.
+
+        A block that breaks off inside such a range begins the next one with its last window.
+        """
+        most, got, size = max(2, CELLS // len(self.sizes)), [], 0
+        order = np.argsort(first, kind="stable")
+        starts, ends = first[order], np.maximum.accumulate(last[order])
+        new = np.flatnonzero(np.concatenate(([True], starts[1:] > ends[:-1])))
+        for at, end in zip(starts[new].tolist(), ends[np.concatenate((new[1:], [len(ends)])) - 1].tolist()):
+            while True:
+                got.append(np.arange(at, min(end + 1, at + most - size)))
+                size += len(got[-1])
+                if size < most:
+                    break
+                yield np.concatenate(got)
+                at, got, size = int(got[-1][-1]), [], 0
+                if at == end:
+                    break
+        if got:
+            yield np.concatenate(got)
+
     def cut(self, queue: np.ndarray, start: np.ndarray, n: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """Pieces (row, from, length, sequence_id, offset) of documents given by queue, start and size."""
         when = lambda x: np.clip((x + 0.5) / self.rates[queue], 0, self.end)
         guess = lambda x: self.due(when(x)).sum(1) // self.window
         first = np.clip(guess(start) - 2, 0, self.windows)
         last = np.clip(guess(start + n) + 3, 0, self.windows)
-        needed = np.unique(np.concatenate([np.arange(a, b + 1) for a, b in zip(first, last)]))
-        edges = self.before(needed)
-        sent = np.cumsum(np.diff(edges, axis=0), 1) if len(needed) > 1 else np.zeros((0, edges.shape[1]), np.int64)
         tail, out = self.tail(), []
-        for row in range(len(queue)):
-            q, x, end = int(queue[row]), int(start[row]), int(start[row] + n[row])
-            lo = int(np.searchsorted(needed, first[row]))
-            hi = int(np.searchsorted(needed, last[row]))
-            column = edges[lo:hi + 1, q]
-            k = int(np.searchsorted(column, x, "right")) - 1
-            while x < end:
-                stop = min(end, int(column[k + 1]))
-                if stop > x:
+        done, ends = start.astype(np.int64), start + n  # tokens before done are cut
+        for needed in self.blocks(first, last):
+            edges = self.before(needed)
+            sent = np.cumsum(np.diff(edges, axis=0), 1)
+            lows, highs = np.searchsorted(needed, first), np.searchsorted(needed, last, "right")
+            for row in np.flatnonzero((done < ends) & (highs - lows > 1)).tolist():
+                q, x, end, lo = int(queue[row]), int(done[row]), int(ends[row]), int(lows[row])
+                column = edges[lo:highs[row], q]
+                while x < end and column[0] <= x < column[-1]:
+                    k = int(np.searchsorted(column, x, "right")) - 1
+                    stop = min(end, int(column[k + 1]))
                     w, before = int(needed[lo + k]), int(sent[lo + k, q] - (column[k + 1] - column[k]))
                     offset = before + x - int(column[k])
                     if tail and w == self.windows - 1:
@@ -219,9 +241,11 @@ class Mixture:
                                 out.append((row, x + u - offset - int(start[row]), v - u, w + j, u - a))
                     else:
                         out.append((row, x - int(start[row]), stop - x, w, offset))
-                x = max(x, stop)
-                k += 1
-        return out
+                    x = stop
+                done[row] = x
+        if (done < ends).any():
+            raise ValueError("tokens outside the windows expected for their document")
+        return sorted(out)
 
 
 def pack(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: str = "text", source: str = "source",

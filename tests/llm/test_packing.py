@@ -68,3 +68,18 @@ def test_query_crc(spark):
     for r in queries.op9_packing(spark, sf).collect():
         part = ids[r["doc_id"]][r["start"]:r["start"] + r["length"]]
         assert zlib.crc32(np.array(part, "<u4").tobytes()) == r["ids_crc32"]
+
+
+def test_a_rare_source_takes_bounded_memory(monkeypatch):
+    # one document of two tokens in a source of its own beside 20,000 windows of a large corpus
+    sizes, window = [1_000_000, 2, 280_003], 64
+    mixture = packing.Mixture(sizes, [float(n) for n in sizes], window)
+    queue = np.array([0, 1, 2, 0, 2, 0])
+    start, n = np.array([5, 0, 0, 600_000, 280_000, 999_990]), np.array([300, 2, 200, 1, 3, 10])
+    asked, whole = [], mixture.before
+    monkeypatch.setattr(mixture, "before", lambda w: asked.append(len(w) * len(sizes)) or whole(w))
+    pieces = {cells: monkeypatch.setattr(packing, "CELLS", cells, raising=False) or mixture.cut(queue, start, n)
+              for cells in (10**9, 600)}
+    assert pieces[600] == pieces[10**9] and len({p[3] for p in pieces[600] if p[0] == 1}) == 2
+    assert [sum(p[2] for p in pieces[600] if p[0] == r) for r in range(len(n))] == n.tolist()
+    assert max(asked[1:]) <= 600
