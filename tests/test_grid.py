@@ -2,6 +2,9 @@
 
 import csv
 import io
+import re
+import struct
+import zipfile
 
 import pytest
 
@@ -9,7 +12,7 @@ from snapweave.contracts import OPEN_PO
 from snapweave.operators.header import detect_headers
 from snapweave.operators.resolve import extract
 from snapweave.plans.snapshot import transform
-from snapweave.sources.grid import read_text_grid, read_xlsx_grid
+from snapweave.sources.grid import read_extracts, read_text_grid, read_xlsx_grid
 from snapweave.sources.seeds import load_rates
 from snapweave.sources.xlsx import decode_workbook, write_workbook
 
@@ -116,3 +119,40 @@ def test_xlsx_grid(spark, tmp_path):
     assert grid.count() == 4
     ext = extract(grid, OPEN_PO).collect()
     assert len(ext) == 1 and ext[0].net_price == "1234.5" and ext[0].report_week == 29
+
+
+def repacked(book, change=lambda name, data: data):
+    buf = io.BytesIO()
+    with zipfile.ZipFile(io.BytesIO(book)) as old, zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as new:
+        for name in old.namelist():
+            new.writestr(name, change(name, old.read(name)))
+    return buf.getvalue()
+
+
+def test_rows_and_cells_without_numbers_and_broken_workbooks(spark, tmp_path):
+    rows = [["a", "b"], ["1", "2"], ["3", "4"]]
+    book = write_workbook(rows)
+    bare = repacked(book, lambda name, data: re.sub(rb' r="[A-Z]*[0-9]+"', b"", data) if "sheet1" in name else data)
+    some = repacked(book, lambda name, data: data.replace(b'<row r="2">', b'<row r="5">').replace(b'<row r="3">', b"<row>")
+                    if "sheet1" in name else data)
+    assert decode_workbook(bare) == rows
+    assert decode_workbook(some) == [rows[0], *[[None, None]] * 3, *rows[1:]]
+    deflated = repacked(book)
+    with zipfile.ZipFile(io.BytesIO(deflated)) as z:
+        info = z.getinfo("xl/worksheets/sheet1.xml")
+    at = info.header_offset + 30 + len(info.filename)
+    entry = deflated.index(b"PK\x01\x02")  # the list of members
+    member = deflated.rindex(b"PK\x01\x02")
+    patched = lambda place, value: deflated[:place] + struct.pack("<H", value) + deflated[place + 2:]
+    files = {"good": book, "bare": bare, "cut": deflated[:len(deflated) // 2], "words": b"no workbook",
+             "stream": deflated[:at] + b"\xff" * 8 + deflated[at + 8:],  # damaged deflate stream
+             "locked": patched(member + 8, 1), "method": patched(entry + 10, 99)}
+    d = tmp_path / "dataset=open_po/year=2026/week=29"
+    d.mkdir(parents=True)
+    for name, data in files.items():
+        (d / f"{name}.xlsx").write_bytes(data)
+    got = read_extracts(spark, str(tmp_path)).collect()
+    said = {r.file.rsplit("/", 1)[-1][:-5]: r.error for r in got if r.error}
+    assert set(said) == {"cut", "words", "stream", "locked", "method"}
+    assert [said[k].split(":")[0] for k in ("stream", "locked", "method")] == ["error", "RuntimeError", "NotImplementedError"]
+    assert sum(r.error is None for r in got) == 6
