@@ -1,6 +1,7 @@
 """Benchmark decontamination with spaced seeds.
 
-Texts become lower-case word sequences. A document leaks an item if, on one
+Texts become lower-case word sequences; in scripts written without spaces every
+letter is a word. A document leaks an item if, on one
 alignment, some ``WINDOW`` (13) consecutive words of both agree in all but
 ``MAX_SUBSTITUTIONS`` (2) places; an item shorter than that only if it occurs
 whole and unchanged, and an item below ``MIN_ITEM`` words is no evidence at all.
@@ -42,7 +43,10 @@ MASKS = ((0, 1, 2, 3, 5, 7, 8), (0, 1, 4, 7, 8, 9, 10), (0, 1, 2, 3, 5, 6, 7))
 BATCH_WORDS = 200_000
 GAP = -2  # stands between documents; 0 is a document's word that no item has
 CACHE_WORDS = 300_000
-WORD = re.compile(r"\w+")
+# Scripts written without spaces: Thai and Lao, Myanmar, Khmer, kana (without sound marks), Han and their extensions.
+UNSPACED = ("\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+            "\uf900-\ufaff\uff66-\uff9d\U00020000-\U0003ffff")
+WORD = re.compile(rf"(?=\w)[{UNSPACED}]|[^\W{UNSPACED}]+")
 
 
 class Numbers(dict):

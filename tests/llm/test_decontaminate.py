@@ -73,6 +73,19 @@ def test_windows_stay_inside_their_document(spark, docs_of):
     assert {r["doc_id"] for r in docs.filter(dc.leaks("text", bench)).collect()} == {1, 3, 9}
 
 
+def test_scripts_without_spaces(spark, docs_of):
+    assert dc.WORD.findall("Über_1 x漢字かなカナ ไทย, don't") == ["Über_1", "x", *"漢字かなカナไทย", "don", "t"]
+    zh, th = "数据清洗需要完整地检查每一个文档的内容是否重复", "กขคงจฉชซฌญฎฏฐฑฒณดตถท"
+    assert len(set(zh)) > 20
+    rows = [(1, "前面的话" + zh[3:20] + "后面还有别的话。"), (2, "前面" + zh[3:15] + "后面"), (3, "x " + th[2:8] + "ๆ" + th[9:17]),
+            (4, zh[2:9] + "错" + zh[10:17])]
+    bench = spark.createDataFrame([(1, zh), (2, th), (3, "完全不同的句子")], "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"], r["doc_start"], r["doc_end"], r["item_start"], r["agreeing"])
+           for r in dc.overlaps(docs_of(rows), bench).collect()}
+    # the two substitutions may lie at the ends of a span
+    assert got == {(1, 1, 2, 23, 1, 17), (2, 1, 0, 16, 1, 12), (3, 2, 0, 16, 1, 14), (4, 1, 0, 15, 2, 14)}
+
+
 def test_empty_tables(spark, docs_of):
     docs, none = docs_of([(1, "a b c")]), spark.createDataFrame([], "item_id bigint, text string")
     assert dc.overlaps(docs, none).count() == 0
