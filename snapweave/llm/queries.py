@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapweave.llm import (chat, decontaminate, fingerprint, html_extract, langid, packing, simhash, toxicity,
-                           url_filter, warc)
+from snapweave.llm import (chat, decontaminate, fingerprint, html_extract, langid, ngram_join, packing, resample,
+                           simhash, toxicity, url_filter, warc)
 from snapweave.llm.common import fold, scratch_path, table
 
 TOXIC_FOLDS, TOXIC_HELD_OUT = 5, 0
@@ -89,9 +89,17 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("refers_to").cast(kind).alias("refers_to"))
 
 
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.linked(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_simhash, op3_html_text, op4_url_filter, op5_chat_repair, op6_decontaminate, op7_fingerprint,
-    op8_language, op9_packing, op10_warc)}
+    op8_language, op9_packing, op10_warc, op12_resample, op13_ngram_join)}
 
 ORACLE = {
     "op10_warc": """
@@ -103,5 +111,40 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
        CASE WHEN m IS NOT NULL AND page_id IS DISTINCT FROM m THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN page_id IS DISTINCT FROM m THEN m END AS refers_to
 FROM p LEFT JOIN first ON payload_digest = d
+""",
+    "op12_resample": r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+found AS (
+  SELECT r, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM docs),
+aimed AS (
+  SELECT unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+bytes AS (
+  SELECT word, flatten(list_transform(range(CAST(octet_length(encode(word)) AS BIGINT)), lambda i:
+      list_concat([CAST('0x' || substr(hex(encode(word)), CAST(2 * i + 1 AS INT), 2) AS BIGINT)],
+                  CAST([-1, -1, -1, -1, -1, -1, -1, -1] AS BIGINT[])))) AS steps
+  FROM (SELECT word FROM found UNION SELECT word FROM aimed)),
+hashed AS (
+  SELECT word, xor(list_reduce(steps, lambda c, v: CASE WHEN v >= 0 THEN xor(c, v) WHEN c % 2 = 1
+      THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, CAST(4294967295 AS BIGINT)), 4294967295) % 10000 AS bucket
+  FROM bytes),
+s AS (SELECT bucket, count(*) AS s FROM found JOIN hashed USING (word) GROUP BY 1),
+t AS (SELECT bucket, count(*) AS t FROM aimed JOIN hashed USING (word) GROUP BY 1),
+gain AS (
+  SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * ((SELECT coalesce(sum(s), 0) FROM s) + 10000.0::DOUBLE)
+      / ((coalesce(s, 0) + 1.0::DOUBLE) * ((SELECT coalesce(sum(t), 0) FROM t) + 10000.0::DOUBLE)))) AS BIGINT) AS gain
+  FROM s FULL JOIN t USING (bucket)),
+weighed AS (SELECT r, count(*) AS n, CAST(sum(gain) AS BIGINT) AS w
+            FROM found JOIN hashed USING (word) JOIN gain USING (bucket) GROUP BY 1),
+scored AS (
+  SELECT r, doc_id, coalesce(n, 0) AS n_features, coalesce(w, 0) AS weight, coalesce(w, 0) + CAST(floor(-1000 * ln(-ln(
+      (CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+      / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM docs LEFT JOIN weighed USING (r)),
+ranked AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS k, 10 * count(*) OVER () // 100 AS drawn
+           FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN k <= drawn THEN k END AS rank
+FROM scored LEFT JOIN ranked USING (r)
 """,
 }
