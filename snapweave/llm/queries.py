@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapweave.llm import (chat, decontaminate, fingerprint, html_extract, langid, ngram_join, packing, resample,
-                           simhash, toxicity, url_filter, warc)
+from snapweave.llm import (chat, decontaminate, fingerprint, hard_negatives, html_extract, langid, ngram_join, packing,
+                           resample, simhash, toxicity, url_filter, warc)
 from snapweave.llm.common import fold, scratch_path, table
 
 TOXIC_FOLDS, TOXIC_HELD_OUT = 5, 0
@@ -89,6 +89,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("refers_to").cast(kind).alias("refers_to"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(table(spark, sf_dir, "embeddings"), label=label)
+
+
 def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -99,7 +104,8 @@ def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_simhash, op3_html_text, op4_url_filter, op5_chat_repair, op6_decontaminate, op7_fingerprint,
-    op8_language, op9_packing, op10_warc, op12_resample, op13_ngram_join)}
+    op8_language, op9_packing, op10_warc, op11_hard_negatives,
+    op12_resample, op13_ngram_join)}
 
 ORACLE = {
     "op10_warc": """
@@ -111,6 +117,26 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
        CASE WHEN m IS NOT NULL AND page_id IS DISTINCT FROM m THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN page_id IS DISTINCT FROM m THEN m END AS refers_to
 FROM p LEFT JOIN first ON payload_digest = d
+""",
+    "op11_hard_negatives": """
+WITH e AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.r AS a, a.vec_id AS anchor_id, b.vec_id, b.r, a.label = b.label AS same,
+         CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.r <> b.r WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT a, anchor_id, vec_id AS positive_id, score AS positive_score, r AS p FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.a, p.p ORDER BY score DESC, vec_id) AS INT) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scores s ON p.a = s.a AND NOT same
+  AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
 """,
     "op12_resample": r"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
