@@ -3,20 +3,23 @@
 Texts become lower-case word sequences; in scripts written without spaces every
 letter is a word. A document leaks an item if, on one
 alignment, some ``WINDOW`` (13) consecutive words of both agree in all but
-``MAX_SUBSTITUTIONS`` (2) places; an item shorter than that only if it occurs
-whole and unchanged, and an item below ``MIN_ITEM`` words is no evidence at all.
+``MAX_SUBSTITUTIONS`` (2) places. A shorter item must occur whole: from
+``TOLERANT_WORDS`` (8) words on one word may differ, below that none. Items of any
+length count, one word included.
 
 Seeds. ``MASKS`` select 7 of the words of a short stretch and ignore the others.
 Wherever two substitutions fall in 13 words, one of the masks fits between them
-(a test tries all placings), so seeding loses no overlap. The selected words of
-every place in a document are hashed and joined with the hashes of the benchmark;
-around each hit the alignment is then verified word by word, and overlapping
-verified windows are merged to spans.
-
-The benchmark is the build side of the join: it is taken in blocks of at most
-``BLOCK_CHARS`` characters, whatever its size, and every block is joined with all
-documents in one pass over them. Only words of the benchmark get a number, so
-most places of a clean document are dismissed without hashing.
+(a test tries all placings), so seeding loses no overlap. Over an item of 8 to 12
+words lie two masks, its even and its odd places: one substitution spares one of
+them. The selected words of every place in a document are hashed and joined with
+the hashes of the benchmark; around each hit the alignment is then verified word
+by word, and overlapping verified windows are merged to spans.
+
+The benchmark is the build side of the join. It is taken in blocks of about
+``BLOCK_CHARS`` characters, one after the other: a block is joined with all
+documents in one pass over them, its result is stored, and only then the next
+block is built. Only words of the benchmark get a number, so most places of a
+clean document are dismissed without hashing.
 
 Defined results: null or empty texts and items match nothing; equal items are all
 reported; repeated documents are reported each.
@@ -35,9 +38,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from snapweave.llm.common import stored
+
 WINDOW = 13
 MAX_SUBSTITUTIONS = 2
-MIN_ITEM = 5
+TOLERANT_WORDS = 8
 BLOCK_CHARS = 16_000_000
 MASKS = ((0, 1, 2, 3, 5, 7, 8), (0, 1, 4, 7, 8, 9, 10), (0, 1, 2, 3, 5, 6, 7))
 BATCH_WORDS = 200_000
@@ -63,6 +68,11 @@ class Numbers(dict):
         return got
 
 
+def tolerance(n: int) -> int:
+    """Words that may differ in a window over an item of ``n`` words."""
+    return MAX_SUBSTITUTIONS if n >= WINDOW else int(n >= TOLERANT_WORDS)
+
+
 def _hash(words: np.ndarray, at: np.ndarray, mask: tuple[int, ...], salt: int) -> np.ndarray:
     h = np.full(len(at), salt + 1, np.uint64)
     for o in mask:
@@ -80,7 +90,7 @@ class Seeds:
         self.vocabulary = {w: n + 1 for n, w in enumerate(sorted({w for _, ws in texts for w in ws}))}
         words, self.starts, self.lengths, self.index = [], [], [], []
         for i, ws in texts:
-            if len(ws) >= MIN_ITEM:
+            if ws:
                 self.starts.append(len(words))
                 self.lengths.append(len(ws))
                 self.index.append(i)
@@ -89,28 +99,29 @@ class Seeds:
         self.owner = np.full(len(self.words), -1, np.int64)
         for k, (s, n) in enumerate(zip(self.starts, self.lengths)):
             self.owner[s:s + n] = k
-        # the masks over long items; over each short one its whole length
-        self.masks = [(m, False) for m in MASKS]
-        self.masks += [(tuple(range(n)), True) for n in sorted({n for n in self.lengths if n < WINDOW})]
+        # (mask, 0) lies anywhere in a long item, (mask, n) over a whole item of n words
+        self.masks = [(m, 0) for m in MASKS]
+        for n in sorted({n for n in self.lengths if n < WINDOW}):
+            self.masks += [(tuple(range(part, n, 1 + tolerance(n))), n) for part in range(1 + tolerance(n))]
         self.tables = []
         for salt, (mask, whole) in enumerate(self.masks):
-            span = mask[-1] + 1
+            span = whole or mask[-1] + 1
             places = [np.arange(s, s + n - span + 1) for s, n in zip(self.starts, self.lengths)
-                      if (n == span if whole else n >= WINDOW)]
+                      if (n == whole if whole else n >= WINDOW)]
             at = np.concatenate(places) if places else np.zeros(0, np.int64)
             h = _hash(self.words, at, mask, salt)
             order = np.argsort(h, kind="stable")
             self.tables.append((h[order], at[order]))
 
     def hits(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(document place, item place, whole-item flag) of all seeds that join."""
+        """(document place, item place, the item's words if it must occur whole, else 0) of all seeds that join."""
         known = words > 0
         out = []
         for salt, ((mask, whole), (table, places)) in enumerate(zip(self.masks, self.tables)):
-            n = len(words) - mask[-1]
+            n = len(words) - (whole or mask[-1] + 1) + 1
             if n <= 0 or not len(table):
                 continue
-            fit = known[:n].copy()
+            fit = known[mask[0]:mask[0] + n].copy()
             for o in mask[1:]:
                 fit &= known[o:o + n]
             at = np.flatnonzero(fit)
@@ -120,7 +131,7 @@ class Seeds:
             if count.any():
                 d = np.repeat(at, count)
                 first = np.repeat(lo - np.concatenate(([0], np.cumsum(count)[:-1])), count)
-                out.append((d, places[first + np.arange(len(d))], np.full(len(d), mask[-1] + 1 if whole else 0)))
+                out.append((d, places[first + np.arange(len(d))], np.full(len(d), whole)))
         if not out:
             z = np.zeros(0, np.int64)
             return z, z, z
@@ -139,9 +150,12 @@ class Seeds:
         diagonal, d, q, whole = key.T
         found = []
         short = whole > 0
-        for x, y, n in zip(d[short], q[short], whole[short]):
-            if (words[x:x + n] == self.words[y:y + n]).all():
-                found.append((int(y - x), int(x), int(n)))
+        for n in np.unique(whole[short]).tolist():
+            x, y = d[whole == n], q[whole == n]
+            w = words[x[:, None] + np.arange(n)]
+            other = (w != self.words[y[:, None] + np.arange(n)]).sum(1)
+            good = (other <= tolerance(n)) & (w != GAP).all(1)
+            found += [(int(b - a), int(a), n) for a, b in zip(x[good], y[good])]
         d, q, diagonal = d[~short], q[~short], diagonal[~short]
         if len(d):
             reach = np.arange(-(WINDOW - 1), WINDOW)
@@ -190,15 +204,15 @@ def _numbered(texts: pa.Array, numbers: Numbers) -> Iterator[tuple[list[int], li
 
 
 def blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text",
-           block_chars: int = BLOCK_CHARS) -> Iterator[tuple[list, Seeds]]:
-    """(item ids, seed table) of each block of the benchmark."""
+           block_chars: int = BLOCK_CHARS) -> Iterator[tuple[list, Seeds, bool]]:
+    """(item ids, seed table, whether it is the last) of each block of the benchmark."""
     b = benchmark.select(F.col(item_id).alias("item_id"), F.col(text).alias("text")).filter("text is not null")
     chars = b.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, -(-chars // block_chars))
     for k in range(n):
         rows = sorted(b.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect(),
                       key=lambda r: (r["item_id"] is None, r["item_id"], r["text"]))
-        yield [r["item_id"] for r in rows], Seeds(list(enumerate(r["text"] for r in rows)))
+        yield [r["item_id"] for r in rows], Seeds(list(enumerate(r["text"] for r in rows))), k == n - 1
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -228,28 +242,40 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text
         return find
 
     result = None
-    for ids, seeds in blocks(benchmark, item_id, item_text):
+    for ids, seeds, last in blocks(benchmark, item_id, item_text):
         part = d.mapInArrow(finder(ids, seeds), schema)
+        part = part if last and result is None else stored(part, "overlaps")
         result = part if result is None else result.unionByName(part)
     return result
 
 
+def _flag(text: str | Column, seeds: Seeds) -> Column:
+    @F.arrow_udf("boolean")
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        numbers = Numbers(seeds.vocabulary)
+        for texts in batches:
+            hit = np.zeros(len(texts), bool)
+            for rows, starts, words in _numbered(texts, numbers):
+                for span in seeds.spans(words):
+                    hit[rows[int(np.searchsorted(starts, span[1], "right")) - 1]] = True
+            yield pa.array(hit)
+    return of(text)
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
+                  item_text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text leaks no item of the benchmark."""
+    for _, seeds, last in blocks(benchmark, item_id, item_text):
+        docs = docs.filter(~_flag(text, seeds))
+        if not last:
+            docs = stored(docs, "without-leaks")
+    return docs
+
+
 def leaks(text: str | Column, benchmark: DataFrame, item_id: str = "item_id", item_text: str = "text") -> Column:
     """True where a text leaks any item of the benchmark."""
 
-    def flag(seeds: Seeds) -> Column:
-        @F.arrow_udf("boolean")
-        def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            numbers = Numbers(seeds.vocabulary)
-            for texts in batches:
-                hit = np.zeros(len(texts), bool)
-                for rows, starts, words in _numbered(texts, numbers):
-                    for span in seeds.spans(words):
-                        hit[rows[int(np.searchsorted(starts, span[1], "right")) - 1]] = True
-                yield pa.array(hit)
-        return of(text)
-
     result = None
-    for _, seeds in blocks(benchmark, item_id, item_text):
-        result = flag(seeds) if result is None else result | flag(seeds)
+    for _, seeds, _ in blocks(benchmark, item_id, item_text):
+        result = _flag(text, seeds) if result is None else result | _flag(text, seeds)
     return result
