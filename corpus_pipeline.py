@@ -43,7 +43,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a verified overlap with the benchmark."""
-    return docs.filter(~decontaminate.leaks(docs["text"], table(spark, sf_dir, "benchmark")))
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
