@@ -270,12 +270,3 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
         if not last:
             docs = stored(docs, "without-leaks")
     return docs
-
-
-def leaks(text: str | Column, benchmark: DataFrame, item_id: str = "item_id", item_text: str = "text") -> Column:
-    """True where a text leaks any item of the benchmark."""
-
-    result = None
-    for _, seeds, _ in blocks(benchmark, item_id, item_text):
-        result = _flag(text, seeds) if result is None else result | _flag(text, seeds)
-    return result
