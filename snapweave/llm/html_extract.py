@@ -5,12 +5,15 @@ that are boilerplate by their element, role or class words are cut out: menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments
 of readers. A form, or an element with such a class word, is a wrapper and stays if
 it contains the page's article or main element or most of its text outside links
-(``settle``); then only its boilerplate parts are cut. Every remaining paragraph earns points, one plus one per comma plus one
+(``settle``); then only its boilerplate parts are cut. A name counts by its whole words;
+one with other words beside it ("share-price"), or on a paragraph, is doubtful: such an element
+goes only if it is mostly links or, no paragraph itself, has under ``LITTLE`` characters. Every remaining paragraph earns points, one plus one per comma plus one
 per hundred characters (three at most); its parent receives them in full, the
 grandparent half and higher ancestors less and less. A container's score is its
 points times the share of its text that is outside links. The best container wins;
 if it lies in an ``article`` or ``main`` element, that element stands for it, and
-headings and containers with a fifth of its score beside it join it. On other pages
+headings, paragraphs, articles and containers of paragraphs beside it join it if they
+are not mostly links. On other pages
 all that is left of the page joins the best container, however short and far from
 it, except blocks whose text is mostly links.
 
@@ -25,6 +28,7 @@ any paragraph gives what text is left after the cut.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html import unescape
 
@@ -49,8 +53,9 @@ PARAGRAPH = {"p", "pre", "blockquote", "td", "li", "dd", "figcaption"}
 KEPT_WHOLE = {"html", "body", "article", "main"}
 CUT = set("head script style noscript template iframe object embed svg canvas nav header footer aside menu form "
           "button select textarea input label fieldset dialog audio video noembed noframes xmp title".split())
-# cut by name or as a form, unless they turn out to wrap the text (``settle``)
-HARD, NAMED, READERS = 1, 2, 3
+# cut by name or as a form, unless they turn out to wrap the text (``settle``); MAYBE: only if links or few words
+HARD, MAYBE, NAMED, READERS = 1, 2, 3, 4
+LITTLE = 80  # characters
 READER_WORDS = set("comment comments commentlist discussion replies disqus respond".split())
 SAYS_OF_CONTENT = {"has", "have", "with", "without", "no"}  # "has-sidebar" is no name of a sidebar
 CUT_ROLES = set("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar "
@@ -60,11 +65,22 @@ CUT_WORDS = set("ad ads advert adverts advertisement advertising adsense adbox s
                 "menus nav navbar navigation breadcrumb breadcrumbs pagination pager toolbar masthead header footer "
                 "comment comments commentlist discussion replies disqus respond share sharing social related "
                 "recommended newsletter subscribe subscription signup login search skip".split())
-
+# words that may stand beside a cut word in a name of boilerplate; any other word ("lead-social-policy") makes it doubtful
+BESIDE_WORDS = set("box container wrapper wrap inner outer left right top bottom main site page global primary secondary "
+                   "section area block list bar slot unit panel link links button buttons icon icons item items text "
+                   "content post posts article articles story stories news entry blog user reader view mobile desktop "
+                   "sticky fixed small large wide row col column group the and of in for js".split())
+# a paragraph with such a name is boilerplate however much it says; with another one it is only if it is links
+ADVERT_WORDS = set("ad ads advert adverts advertisement advertising adsense adbox sponsor sponsored promo promotion "
+                   "banner cookie cookies consent gdpr notice notices notification popup modal overlay newsletter "
+                   "subscribe subscription signup login comment comments".split())
+
+# In a tag a quote opens a value only after an equals sign; one that is never closed is an ordinary character.
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
-WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
+                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*)(?:>|\Z)", re.S)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=][^\s>/=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+PART = re.compile(r"[^\W_]+")
+WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 class Node:
@@ -76,8 +92,23 @@ class Node:
         self.points, self.chars, self.linked = 0.0, 0, 0
 
 
+def name_kind(name: str, paragraph: bool) -> int:
+    """What one class word or id says: READERS, NAMED, MAYBE or nothing (0)."""
+    words: list[str] = []
+    for part in PART.findall(name):
+        letters = part.rstrip("0123456789")  # "ad2" is a name, "x5ad3" and "12ad" are not
+        words += [w.lower() for w in WORD.findall(letters)] if letters.isascii() and letters.isalpha() else [part]
+    if not words or words[0] in SAYS_OF_CONTENT or CUT_WORDS.isdisjoint(words):
+        return 0
+    if not CUT_WORDS.union(BESIDE_WORDS).issuperset(w for w in words if not w.isdigit()):
+        return MAYBE
+    if paragraph and ADVERT_WORDS.isdisjoint(words):
+        return MAYBE
+    return NAMED if READER_WORDS.isdisjoint(words) else READERS
+
+
 def boilerplate(tag: str, attributes: str) -> int:
-    """HARD by kind, role or being hidden; NAMED or READERS by class words or as a form; else 0."""
+    """HARD by element, role or being hidden; READERS, NAMED or MAYBE by class words, NAMED as a form; else 0."""
     if tag in CUT and tag != "form":
         return HARD
     kind = NAMED if tag == "form" else 0
@@ -88,10 +119,7 @@ def boilerplate(tag: str, attributes: str) -> int:
                     value.lower() in CUT_ROLES or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
                 return HARD
             if name in ("class", "id"):
-                for part in value.split():
-                    words = [w.lower() for w in WORDS.findall(part)]
-                    if words and words[0] not in SAYS_OF_CONTENT and not CUT_WORDS.isdisjoint(words):
-                        kind = max(kind, NAMED if READER_WORDS.isdisjoint(words) else READERS)
+                kind = max([kind, *(name_kind(one, tag in PARAGRAPH or tag in HEADINGS) for one in value.split())])
     return kind
 
 
@@ -99,15 +127,14 @@ def parse(html: str) -> Node:
     """Light tree of a page."""
     root = Node("#root", None)
     at, pos, n = root, 0, len(html)
-    opened: dict[str, int] = {}
+    path: list[Node] = []  # open elements
+    opened: dict[str, list[int]] = {}  # places in ``path`` of the open elements of a kind
 
-    def close(to: Node) -> None:
+    def close(place: int) -> None:
         nonlocal at
-        while at is not to:
-            opened[at.tag] -= 1
-            at = at.parent
-        opened[at.tag] -= 1
-        at = at.parent
+        while len(path) > place:
+            opened[path.pop().tag].pop()
+        at = path[-1] if path else root
 
     while pos < n:
         m = TOKEN.search(html, pos)
@@ -124,27 +151,19 @@ def parse(html: str) -> Node:
         tag, attributes = m.group(3).lower(), m.group(4)
         if m.group(2):
             if opened.get(tag):
-                to = at
-                while to.tag != tag:
-                    to = to.parent
-                close(to)
+                close(opened[tag][-1])
             elif tag == "p" or tag == "br":
                 at.children.append(Node("br", at))
             continue
         if tag in CLOSES_P and opened.get("p"):
-            to = at
-            while to.tag != "p":
-                to = to.parent
-            close(to)
+            close(opened["p"][-1])
         if tag in IMPLIED:
             group, border = IMPLIED[tag]
-            to, found = at, None
-            while to.parent is not None and to.tag not in border:
-                if to.tag in group:
-                    found = to
-                to = to.parent
-            if found is not None:
-                close(found)
+            edge = max((opened[b][-1] for b in border if opened.get(b)), default=-1)
+            inside = [places[k] for places in (opened.get(g, ()) for g in group)
+                      if (k := bisect_right(places, edge)) < len(places)]
+            if inside:
+                close(min(inside))
         kind = boilerplate(tag, attributes)
         node = Node(tag, at, at.cut or kind == HARD and tag not in KEPT_WHOLE, kind)
         at.children.append(node)
@@ -153,7 +172,8 @@ def parse(html: str) -> Node:
             stop, pos = (end.start(), end.end()) if end else (n, n)
             node.children.append(html[m.end():stop])
         elif tag not in VOID and not attributes.endswith("/"):
-            opened[tag] = opened.get(tag, 0) + 1
+            opened.setdefault(tag, []).append(len(path))
+            path.append(node)
             at = node
     return root
 
@@ -207,7 +227,7 @@ def settle(root: Node) -> None:
         return
     for x in reversed(nodes):
         text, inner = measure(x)
-        own = int(x.tag == "main" or x.tag == "article" and not x.kind and density(x) < 0.5)
+        own = int(x.tag == "main" or x.tag == "article" and x.kind in (0, MAYBE) and density(x) < 0.5)
         x.holds = own + sum(c.holds for c in inner)
         # the same and the text outside links, without what lies in named elements further down
         x.free_holds = own + sum(c.free_holds for c in inner if not named(c))
@@ -218,7 +238,10 @@ def settle(root: Node) -> None:
         x, free, holds = stack.pop()
         if named(x):
             others = holds > 0
-            if x.holds:
+            if x.kind == MAYBE:
+                x.cut = not x.holds and (density(x) >= 0.5 or x.chars < LITTLE and not (
+                    x.tag in PARAGRAPH or x.tag in HEADINGS))
+            elif x.holds:
                 x.cut = x.kind == READERS and others
             else:
                 x.cut = others or 2 * (x.chars - x.linked) <= whole or density(x) >= 0.5 or x.kind == READERS and free > 0
@@ -305,12 +328,9 @@ def chosen(root: Node) -> list[Node]:
         up = up.parent
     if outer is None:
         return around(best)
-    least, out = 0.2 * total(outer), []
-    for x in outer.parent.children:
-        if isinstance(x, Node) and not x.cut and (
-                x is outer or x.tag in HEADINGS and density(x) < 0.5 or x.points > 0 and total(x) >= least):
-            out.append(x)
-    return out
+    beside = lambda x: x.tag in HEADINGS or x.points > 0 or x.tag in PARAGRAPH and x.chars > 0
+    return [x for x in outer.parent.children if isinstance(x, Node) and not x.cut and (
+        x is outer or beside(x) and density(x) < 0.5)]
 
 
 def main_text(html: str | None) -> str:
