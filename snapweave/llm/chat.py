@@ -5,11 +5,12 @@ and assistant turns alternate, user first, and the last turn is the assistant's.
 turn that does not fit can be merged into the turn before, given another role, or
 have empty turns inserted before it; each has a cost, and dynamic programming
 chooses the cheapest repair of the whole conversation (fewest output turns among
-equals, then a fixed order). The result is rendered turn by turn.
+equals, then the first in the order of its roles: system, user, assistant). The result is rendered turn by turn.
 
 The state of the automaton is the role of the last output turn (or the start), so a
 stretch of turns is a small min-plus matrix from state to state, and matrices of
-adjacent stretches multiply. Rows are range-partitioned and sorted by
+adjacent stretches multiply. Beside each row stands the order of its best role
+sequences, which multiplies as well, so ties fall alike however turns are dealt. Rows are range-partitioned and sorted by
 conversation and turn; a conversation may span any number of partitions. A first pass
 gives the matrices of the first and last conversation of each partition (two rows a
 partition reach the driver), which fixes the states at the borders; a second pass
@@ -19,8 +20,8 @@ Output: one row per turn that came in or was inserted, with ``segment``, its sha
 the rendered conversation: the segments of a conversation in order of ``position``
 are the rendered text. A merged turn continues the output turn before it.
 
-Defined results: conversations are ordered by turn (null first), equal turns by role
-and text; repeated rows count as turns; a null or unknown role must be relabelled;
+Defined results: conversations are ordered by turn (null first), equal turns by role and
+text (its first ``HEAD`` characters, then a hash of all of it); repeated rows count as turns; a null or unknown role must be relabelled;
 null text is empty; rows with a null conversation id form one conversation. The
 template's markers in a text are broken up by a space.
 """
@@ -45,8 +46,9 @@ ALIASES = {"human": USER, "prompter": USER, "gpt": ASSISTANT, "bot": ASSISTANT,
 LEGAL = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
 # Costs of one repair, in whole numbers.
 MERGE, RELABEL, NAME, INSERT = 2, 7, 1, 3  # NAME: a role for a turn that has none known
+HEAD = 64
 COUNT = 1 << 28  # cost * COUNT + output turns: cheapest first, then fewest turns
-NEVER = 1 << 60
+NEVER = 1 << 58
 
 
 def role_of(name: str | None) -> int:
@@ -89,6 +91,7 @@ def _steps() -> dict[int, list[list[tuple[int, str, tuple[int, ...]]]]]:
 
 
 STEPS = _steps()
+STEP_INSERTED = {r: np.array([[len(c[2]) for c in row] for row in rows], np.int64) for r, rows in STEPS.items()}
 STEP_VALUES = {r: np.array([[c[0] for c in row] for row in rows], np.int64) for r, rows in STEPS.items()}
 #: after the last turn: roles to insert until the assistant has spoken
 ENDING = {ASSISTANT: (), USER: (ASSISTANT,), SYSTEM: (USER, ASSISTANT)}
@@ -97,10 +100,31 @@ END_VALUES = np.array([len(ENDING[s]) * (INSERT * COUNT + 1) for s in (SYSTEM, U
 
 def matrix(roles: list[int]) -> np.ndarray:
     """(4, 3) values from each entry state to each last role over a non-empty stretch."""
-    m = STEP_VALUES[roles[0]].copy()
+    return matrices(roles)[0]
+
+
+def _joined(value: np.ndarray, rank: np.ndarray, step: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, ...]:
+    """One product: (rows, 3) values and ranks times a (3, 3) step. Gives values, ranks and the state passed through.
+
+    Of equal sums the one whose first half ranks first is taken; the new rank compares first halves, then ``order``.
+    """
+    every = value[:, :, None] + step[None]
+    by = (every * 4 + rank[:, :, None]).argmin(1)
+    best = np.minimum(np.take_along_axis(every, by[:, None], 1)[:, 0], NEVER)
+    place = np.take_along_axis(rank, by, 1) * 3 + order[by, np.arange(3)]
+    return best, place.argsort(1).argsort(1), by
+
+
+IN_ORDER = np.tile(np.arange(3), (4, 1))  # after one turn: the order of the roles
+
+
+def matrices(roles: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``matrix`` and, of the same cheapest paths, their ranks by entry state and the turns they insert."""
+    m, rank, inserted = STEP_VALUES[roles[0]].copy(), IN_ORDER, STEP_INSERTED[roles[0]].copy()
     for r in roles[1:]:
-        m = np.minimum((m[:, :, None] + STEP_VALUES[r][None, :3]).min(1), NEVER)
-    return m
+        m, rank, by = _joined(m, rank, STEP_VALUES[r][:3], IN_ORDER[:3])
+        inserted = np.take_along_axis(inserted, by, 1) + STEP_INSERTED[r][by, np.arange(3)]
+    return m, rank, inserted
 
 
 def repair(roles: list[int], entry: int, leave: int | None) -> list[tuple[int, str, tuple[int, ...]]]:
@@ -108,12 +132,11 @@ def repair(roles: list[int], entry: int, leave: int | None) -> list[tuple[int, s
 
     ``leave`` is the role to end on, or None where the conversation ends.
     """
-    value, back = STEP_VALUES[roles[0]][entry], []
+    value, rank, back = STEP_VALUES[roles[0]][entry:entry + 1], IN_ORDER[:1], []
     for r in roles[1:]:
-        every = value[:, None] + STEP_VALUES[r][:3]
-        back.append(every.argmin(0))
-        value = every.min(0)
-    at = int((value + END_VALUES).argmin()) if leave is None else leave
+        value, rank, by = _joined(value, rank, STEP_VALUES[r][:3], IN_ORDER[:3])
+        back.append(by[0])
+    at = int(((value + END_VALUES) * 4 + rank).argmin()) if leave is None else leave
     path = [at]
     for b in reversed(back):
         path.append(int(b[path[-1]]))
@@ -160,13 +183,15 @@ def repaired(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", rol
     t = turns.select(F.col(conv_id).alias("conv_id"), F.col(turn).cast("bigint").alias("turn"),
                      F.col(role).cast("string").alias("role"), F.col(text).cast("string").alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = ["conv_id", "turn", "role", "text"]
-    rows = (t.withColumn("h", F.xxhash64("role", "text")).repartitionByRange(parts, "conv_id", "turn", "h").drop("h")
-            .sortWithinPartitions(*order).checkpoint())
+    # ranges and order have the same columns, so the order is one, whatever the ranges; equal rows may be parted
+    order = ["conv_id", "turn", "role", F.substring("text", 1, HEAD), F.xxhash64("text")]
+    rows = (t.withColumn("at", F.monotonically_increasing_id()).repartitionByRange(parts, *order, "at")
+            .sortWithinPartitions(*order).drop("at").checkpoint())
 
     def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, edge, last, n = TaskContext.get().partitionId(), [], None, 0
-        value = lambda cid, names: (cid, len(names), matrix([role_of(x) for x in names]).ravel().tolist())
+        value = lambda cid, names: (cid, len(names), np.stack(
+            matrices([role_of(x) for x in names])).ravel().tolist())
         for cid, _, names, _ in _pieces(batches):
             last, n = (cid, names), n + 1
             if n == 1:
@@ -183,7 +208,7 @@ def repaired(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", rol
     summaries = T.StructType([*T.StructType.fromDDL("task int, piece int").fields, rows.schema["conv_id"],
                               *T.StructType.fromDDL("n bigint, values array<bigint>").fields])
     edges = sorted(rows.mapInArrow(summary, summaries).collect(), key=lambda r: (r["task"], r["piece"]))
-    borders = _stitch([(r["task"], r["piece"], r["conv_id"], r["n"], np.array(r["values"]).reshape(4, 3)) for r in edges])
+    borders = _stitch([(r["task"], r["piece"], r["conv_id"], r["n"], *np.array(r["values"]).reshape(3, 4, 3)) for r in edges])
     schema = T.StructType([rows.schema["conv_id"], *T.StructType.fromDDL(
         "position bigint, turn bigint, role string, action string, out_turn bigint, out_role string, "
         "segment string").fields])
@@ -224,7 +249,7 @@ def _stitch(edges: list[tuple]) -> dict[tuple[int, int], tuple[int, int | None,
     """(task, piece) -> entry state, role to end on (None at the end), output turns and positions before.
 
     Only conversations that span tasks need it. A position is given to each turn and to
-    every turn inserted before it.
+    every turn inserted.
     """
     out, i = {}, 0
     while i < len(edges):
@@ -233,22 +258,19 @@ def _stitch(edges: list[tuple]) -> dict[tuple[int, int], tuple[int, int | None,
             j += 1
         chain = edges[i:j]
         if len(chain) > 1:
-            values, back = np.full(4, NEVER, np.int64), []
-            values[START] = 0
-            for _, _, _, _, m in chain:
-                every = np.minimum(values[:len(values), None] + m[:len(values)], NEVER)
-                back.append(every.argmin(0))
-                values = every.min(0)
-            at = int((values + END_VALUES).argmin())
-            ends = [at]
-            for b in reversed(back[1:]):
+            value, rank, back = chain[0][4][START:], chain[0][5][START:], []
+            for _, _, _, _, m, order, _ in chain[1:]:
+                value, rank, by = _joined(value, rank, m[:3], order[:3])
+                back.append(by[0])
+            ends = [int(((value + END_VALUES) * 4 + rank).argmin())]
+            for b in reversed(back):
                 ends.append(int(b[ends[-1]]))
             ends.reverse()
             entry, turns, position = START, 0, 0
-            for k, ((task, piece, _, n, m), leave) in enumerate(zip(chain, ends)):
+            for k, ((task, piece, _, n, m, _, inserted), leave) in enumerate(zip(chain, ends)):
                 out[task, piece] = (entry, None if k == len(chain) - 1 else leave, turns, position)
                 turns += int(m[entry, leave]) % COUNT
-                position += 2 * n + 2  # room for the turns inserted, at most one before each
+                position += n + int(inserted[entry, leave])
                 entry = leave
         i = j
     return out

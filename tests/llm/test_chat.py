@@ -46,6 +46,63 @@ def test_cheapest_repair_matches_brute_force(n):
         assert cost + chat.INSERT * len(chat.ENDING[state]) == brute_cost(roles)
 
 
+def test_inserted_turns_are_counted():
+    rng = random.Random(9)
+    for _ in range(300):
+        roles = [rng.randrange(-1, 3) for _ in range(rng.randint(1, 40))]
+        values, _, inserted = chat.matrices(roles)
+        for entry in range(4):
+            for leave in range(3):
+                if values[entry, leave] < chat.NEVER:
+                    assert inserted[entry, leave] == sum(len(x[2]) for x in chat.repair(roles, entry, leave))
+
+
+def test_ties_fall_alike_however_turns_are_dealt():
+    rng = random.Random(11)
+    for _ in range(400):
+        roles = [rng.choice([-1, -1, 0, 1, 2]) for _ in range(rng.randint(2, 14))]
+        whole = chat.repair(roles, chat.START, None)
+        cuts = sorted({rng.randrange(1, len(roles)) for _ in range(3)})
+        parts = [roles[a:b] for a, b in zip([0, *cuts], [*cuts, len(roles)])]
+        borders = chat._stitch([(k, 0, 1, len(p), *chat.matrices(p)) for k, p in enumerate(parts)])
+        dealt = [x for k, p in enumerate(parts) for x in chat.repair(p, *borders[k, 0][:2])]
+        assert dealt == whole
+        price = lambda path: sum(chat.STEPS[r][s][n][0] for r, s, n in zip(roles, [chat.START, *path], path))
+        best = min(product(range(3), repeat=min(len(roles), 7)), key=lambda p: (price(p) + chat.END_VALUES[p[-1]], p))
+        if len(roles) <= 7:
+            assert tuple(x[0] for x in whole) == best
+
+
+def test_result_is_the_same_for_any_number_of_partitions(spark):
+    rng = random.Random(3)
+    long = "the same beginning of many texts " * 4
+    rows = [(7, rng.choice([None, None, i % 40]), rng.choice(["user", "assistant", "system", None]),
+             rng.choice(["a", "b", None, "", long + "x", long + "y", f"t{i}"])) for i in range(2500)]
+    rows += [(7, None, "user", "same")] * 600 + [(c, 0, "user", f"{c}") for c in range(20)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    seen = []
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for parts in (1, 8, 61):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got = chat.repaired(df.repartition(3)).collect()
+            of = sorted(r["position"] for r in got if r["conv_id"] == 7)
+            assert of == list(range(len(of)))
+            seen.append((rendered(got), sorted(map(str, got))))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert seen[0] == seen[1] == seen[2]
+
+
+def test_long_texts_and_clashing_columns(spark):
+    df = spark.createDataFrame([(1, 0, "user", "w " * 700_000, 5, "x")],
+                               "conv_id bigint, turn bigint, role string, text string, position int, at string")
+    (r,) = [r for r in chat.repaired(df).collect() if r["action"] == "keep"]
+    assert r["segment"].endswith("w " * 700_000)
+
+
 def rendered(rows):
     out = {}
     for r in sorted(rows, key=lambda r: (repr(r["conv_id"]), r["position"])):
