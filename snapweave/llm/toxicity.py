@@ -1,7 +1,8 @@
 """Toxicity scores of texts restored from obfuscation by a noisy-channel decoder.
 
-1. Folding. Text is case-folded, accents are stripped (NFKD) and what is left
-   outside ASCII is dropped, so the alphabet is a-z, digits and ASCII symbols.
+1. Folding. Text is case-folded, accents are stripped (NFKD), Cyrillic and Greek
+   letters that look like Latin ones become those in words that hold a Latin letter,
+   and what is left outside ASCII is dropped, so the alphabet is a-z, digits and ASCII symbols.
 2. Character language model. Trigram counts over a-z and the word boundary of
    *all* documents, summed by Spark (27**3 numbers at most), smoothed by
    interpolation with bigrams and unigrams.
@@ -11,7 +12,10 @@
    letters it resembles, a repeated letter may have been sent once, and a
    separator inside a span may have been sent as nothing or as a word boundary.
    Viterbi finds the likeliest sent string under the language model plus channel
-   costs; that string replaces the span. Other text passes through unchanged.
+   costs; that string replaces the span. Symbols and digits at a span's edge may be
+   punctuation: the span is also decoded without them, the reading of the higher mean
+   likelihood is the restored one, and the score takes the evidence of both. Other
+   text passes through unchanged.
 4. Score. Every distinct word of the restored text gets the evidence of its
    boundary-anchored character n-grams, the log-odds learnt from labelled rows; a
    logistic model on the strongest words gives the score. It does not dilute with
@@ -51,7 +55,10 @@ LOOKALIKES = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "<": "c", "&": "a", "#": "h",
 }
-SEPARATORS = " .-_*~'/,:;`^\""
+SEPARATORS = " \n\r\t.-_*~'/,:;`^\""
+# Cyrillic and Greek letters (folded) and the Latin ones they look like.
+HOMOGLYPHS = str.maketrans("\u0430\u0435\u043e\u0440\u0441\u0445\u0443\u0456\u0455\u0458\u04bb\u043a\u0442\u043c\u0432\u043d\u0501\u051b\u051d"
+                           "\u03b1\u03bf\u03c1\u03bd\u03b9\u03ba\u03c4\u03c5\u03c7\u03b5", "aeopcxyisjhktmbhdqwaopvikt" "uxe")
 # Channel costs in nats.
 LOOKALIKE_COST, DROP_LOOKALIKE_COST, DROP_SYMBOL_COST, REPEAT_COST = 0.7, 12.0, 4.0, 0.4
 DROP_SEPARATOR_COST, KEEP_SEPARATOR_COST = 0.3, 1.0
@@ -62,15 +69,23 @@ _SEP = re.escape(SEPARATORS.strip())
 RUN = re.compile(r"[a-z" + _LEET + _SEP + r"]+")
 DOUBLED = re.compile(r"([a-z])\1")
 # Across tokens: three or more single characters set apart; looked for in the text's shape first.
-SPACED = re.compile(r"(?<![^\s.,;:!?\"(])[a-z@$](?:[ .\-_*~'/,:;]{1,3}[a-z0-9@$!|](?![a-z0-9@$])){2,}")
+SPACED = re.compile(r"(?<![^\s.,;:!?\"(])[a-z0-9@$](?:[ \n\r\t.\-_*~'/,:;]{1,3}[a-z0-9@$!|](?![a-z0-9@$])){2,}")
+EDGE = "0123456789" + "".join(c for c in LOOKALIKES if not c.isdigit())
 WORD = re.compile(r"[a-z]+")
+MIXED = re.compile(r"(?=[^\W\d_]*[a-z])[^\W\d_]*[\u0370-\u052f][^\W\d_]*")
+BEYOND = re.compile(r"[\u0370-\u052f]")
 _SHAPE = bytes(97 if 97 <= c <= 122 or 48 <= c <= 57 or c in b"@$!|" else 32 for c in range(256))
 _APART = (b" a a a ", b" a  a  a ", b" a   a   a ")
 
 
 def fold(text: str | None) -> str:
     """Case-folded ASCII form; sharp s and ligatures become their letters."""
-    return unicodedata.normalize("NFKD", (text or "").casefold()).encode("ascii", "ignore").decode("ascii")
+    x = (text or "").casefold()
+    if not x.isascii():
+        x = unicodedata.normalize("NFKD", x)
+        if BEYOND.search(x):
+            x = MIXED.sub(lambda m: m.group().translate(HOMOGLYPHS), x)
+    return x.encode("ascii", "ignore").decode("ascii")
 
 
 # --- character language model -------------------------------------------------
@@ -160,15 +175,35 @@ def decode(span: str, model: np.ndarray) -> str:
     return "".join(reversed(sent))
 
 
-def _restore_run(run: str, model: np.ndarray) -> str:
+def _decoded(core: str, model: np.ndarray) -> str:
+    return core if core.isalpha() and not _stretched(core) else decode(core, model)
+
+
+def _readings(run: str, model: np.ndarray) -> list[str]:
+    """What a run may stand for: with its edge symbols as letters, and as punctuation."""
     core = run.strip(SEPARATORS).rstrip("!|")
     end = core.rstrip("".join(c for c in LOOKALIKES if not c.isdigit()) + SEPARATORS)
     if len(core) - len(end) > 2:  # a tail of symbols is decoration
         core = end
-    if sum(map(str.isalpha, core)) < 2 or core.isalpha() and not _stretched(core):
-        return run
-    before, _, after = run.partition(core)
-    return before + decode(core, model) + after
+    if len(core) < 3 or not any(map(str.isalpha, core)) or core.isalpha() and not _stretched(core):
+        return [run]
+    out = []
+    for one in dict.fromkeys((core, core.strip(EDGE + SEPARATORS))):
+        if len(one) > 2 or one is core:
+            before, _, after = run.partition(one)
+            out.append(before + _decoded(one, model) + after)
+    return out
+
+
+def likelihood(text: str, model: np.ndarray) -> float:
+    """Mean log-probability of the letters and word boundaries of ``text``."""
+    codes = [0, 0, *(ord(c) - 96 for c in "`".join(WORD.findall(text))), 0]
+    return float(np.mean([model[a, b, c] for a, b, c in zip(codes, codes[1:], codes[2:])]))
+
+
+def _restore_run(run: str, model: np.ndarray) -> str:
+    found = _readings(run, model)
+    return found[0] if len(found) == 1 else max(found, key=lambda x: likelihood(x, model))
 
 
 def _stretched(word: str) -> bool:
@@ -182,6 +217,13 @@ def restore_token(token: str, model: np.ndarray) -> str:
     return RUN.sub(lambda m: _restore_run(m.group(), model), token)
 
 
+def token_words(token: str, model: np.ndarray) -> list[str]:
+    """Words of all readings of a token."""
+    if token.isalpha():
+        return WORD.findall(restore_token(token, model))
+    return [w for m in RUN.finditer(token) for x in _readings(m.group(), model) for w in WORD.findall(x)]
+
+
 def join_spaced(text: str, model: np.ndarray) -> str:
     """Folded text with letters that were set apart decoded to words."""
     shape = b" " + text.encode().translate(_SHAPE) + b" "
@@ -214,7 +256,7 @@ class Scorer:
     def token(self, t: str) -> float:
         """Strongest word of a token. A word counts by its second strongest piece, so one chance hit is none."""
         best, get = 0.0, self.evidence.get
-        for word in WORD.findall(t if t.isalpha() and not DOUBLED.search(t) else restore_token(t, self.model)):
+        for word in [t] if t.isalpha() and not DOUBLED.search(t) else token_words(t, self.model):
             found = sorted([get(b, 0.0) for b in gram_buckets(word)])
             if len(found) > 1 and found[-2] > best:
                 best = found[-2]
@@ -285,7 +327,7 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column, doc_id: str = "doc_id"
                     if (got := memo.get(token)) is None:
                         if len(memo) >= CACHE_WORDS:
                             memo.clear()
-                        got = memo[token] = [b for w in WORD.findall(restore_token(token, model)) for b in gram_buckets(w)]
+                        got = memo[token] = [b for w in token_words(token, model) for b in gram_buckets(w)]
                     seen.update(got)
                 n[y, np.fromiter(seen, np.int64, len(seen))] += 1
         at = np.flatnonzero(n.sum(0))

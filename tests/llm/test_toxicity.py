@@ -34,6 +34,18 @@ def test_decoder_restores_obfuscated_words(spark):
     assert tx.restore(None, model) == "" == tx.restore("", model)
 
 
+def test_edges_and_look_alike_letters(spark):
+    model = model_of(spark)
+    for form in ("(%s)", "@%s", "&%s", "<%s>", "1%s", "%s2", "[%s]", '"%s"', "(%s", "$%s$"):
+        for word in ("idiot", "moron", "losers"):
+            assert word in tx.token_words(form % word, model), form
+    assert tx.restore("the (idiot) and <moron>", model) == "the (idiot) and <moron>"
+    assert "idiot" in tx.restore("1 d 1 o t", model) and "idiot" in tx.restore("an i\nd\ni\no\nt", model)
+    assert tx.fold("idi\u043et \u0456diot m\u03bfron") == "idiot idiot moron"
+    assert tx.fold("\u0441\u043b\u043e\u0432\u043e Stra\u00dfe") == " strasse"  # a word wholly in another script is no Latin one
+    assert tx.restore("(plain) @words 5th a1 <b>, 3 & 4", model) is not None
+
+
 def test_viterbi_is_the_best_path(spark):
     model = model_of(spark)
 
@@ -70,11 +82,13 @@ def test_scores_on_planted_rows(spark):
         text = f"the garden of number{i} and the weather is fine today, {'you ' + ['idiot', 'moron'][i // 4 % 2] if bad else 'friend'} said x{i % 37}"
         rows.append((i, text))
         labels.append((i, int(bad)))
+    rows += [(910 + k, f"the garden ({w}) said, or <b>{w}</b>, @{w} &{w} 1{w}") for k, w in enumerate(("idiot", "friend", "number"))]
     rows += [(900, None), (901, ""), (902, "12 34 !!"), (903, "the garden i d 1 o t said"), (904, "die Straße — 漢字")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     scorer = tx.fit(docs, spark.createDataFrame(labels + [(None, 1), (7, None)], "doc_id bigint, toxic int"), fold("doc_id", 5) != 0)
     got = {r["doc_id"]: r["s"] for r in docs.select("doc_id", tx.scored("text", scorer).alias("s")).collect()}
     assert all((got[i] >= 0.5) == (i % 4 == 0) for i in range(400))
+    assert got[910] >= 0.5 > max(got[911], got[912])
     assert got[903] >= 0.5 and max(got[900], got[901], got[902], got[904]) < 0.5
 
 
