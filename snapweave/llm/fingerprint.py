@@ -158,7 +158,7 @@ def with_successor(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     return (d.select("doc_id", "text", F.explode(places("doc_id")).alias("at"))
             .select("doc_id", "text", "at.bucket", "at.guest")
-            .repartition(parts, "bucket").sortWithinPartitions("bucket", "guest", "doc_id", "text"))
+            .repartitionById(parts, F.col("bucket")).sortWithinPartitions("bucket", "guest", "doc_id", "text"))
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

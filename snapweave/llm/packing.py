@@ -44,6 +44,7 @@ WINDOW = 4096
 END_ID = 2
 CELLS = 1_000_000  # windows x queues whose boundaries are held at a time
 MAX_QUEUES = 4096
+THIN = 8  # windows a token on the way from a document's first token to its last
 BROADCAST_ROWS = 200_000  # of (task, queue) offsets, some 50 bytes each
 CACHE_CHUNKS = 500_000
 CACHE_WORDS = 500_000
@@ -214,12 +215,39 @@ class Mixture:
         if got:
             yield np.concatenate(got)
 
+    def near(self, queue: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """About the window of each queue's token ``x``."""
+        out, step = [], max(1, CELLS // len(self.sizes))
+        for a in range(0, len(x), step):
+            when = np.clip((x[a:a + step] + 0.5) / self.rates[queue[a:a + step]], 0, self.end)
+            out.append(self.due(when).sum(1) // self.window)
+        return np.concatenate(out)
+
     def cut(self, queue: np.ndarray, start: np.ndarray, n: np.ndarray) -> list[tuple[int, int, int, int, int]]:
-        """Pieces (row, from, length, sequence_id, offset) of documents given by queue, start and size."""
-        when = lambda x: np.clip((x + 0.5) / self.rates[queue], 0, self.end)
-        guess = lambda x: self.due(when(x)).sum(1) // self.window
-        first = np.clip(guess(start) - 2, 0, self.windows)
-        last = np.clip(guess(start + n) + 3, 0, self.windows)
+        """Pieces (row, from, length, sequence_id, offset) of documents given by queue, start and size.
+
+        A document whose tokens lie in few of the windows between its first and last one (of a rare source) is
+        looked up token by token, so its cost is its tokens and not the corpus.
+        """
+        thin = self.near(queue, start + n) - self.near(queue, start) > THIN * n
+        if not thin.any():
+            return sorted(self._cut(queue, start, n))
+        row = np.concatenate([np.flatnonzero(~thin), np.repeat(np.flatnonzero(thin), n[thin])])
+        begin = np.concatenate([start[~thin], *[np.arange(a, a + m) for a, m in zip(start[thin], n[thin])]])
+        size = np.concatenate([n[~thin], np.ones(int(n[thin].sum()), np.int64)])
+        pieces = sorted((int(row[r]), int(begin[r] - start[row[r]]) + a, m, w, o)
+                        for r, a, m, w, o in self._cut(queue[row], begin, size))
+        out: list[tuple[int, int, int, int, int]] = []
+        for r, a, m, w, o in pieces:
+            if out and out[-1][0] == r and out[-1][1] + out[-1][2] == a and out[-1][3] == w and out[-1][4] + out[-1][2] == o:
+                r, a, before, w, o = out.pop()
+                m += before
+            out.append((r, a, m, w, o))
+        return out
+
+    def _cut(self, queue: np.ndarray, start: np.ndarray, n: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+        first = np.clip(self.near(queue, start) - 2, 0, self.windows)
+        last = np.clip(self.near(queue, start + n) + 3, 0, self.windows)
         tail, out = self.tail(), []
         done, ends = start.astype(np.int64), start + n  # tokens before done are cut
         for needed in self.blocks(first, last):
@@ -245,7 +273,7 @@ class Mixture:
                 done[row] = x
         if (done < ends).any():
             raise ValueError("tokens outside the windows expected for their document")
-        return sorted(out)
+        return out
 
 
 def pack(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: str = "text", source: str = "source",

@@ -1,4 +1,5 @@
 import random
+import time
 import zlib
 
 import numpy as np
@@ -83,3 +84,22 @@ def test_a_rare_source_takes_bounded_memory(monkeypatch):
     assert pieces[600] == pieces[10**9] and len({p[3] for p in pieces[600] if p[0] == 1}) == 2
     assert [sum(p[2] for p in pieces[600] if p[0] == r) for r in range(len(n))] == n.tolist()
     assert max(asked[1:]) <= 600
+
+
+def test_a_rare_document_costs_its_tokens_and_not_the_corpus():
+    rng = np.random.default_rng(4)
+    seconds, cut = [], []
+    for windows in (300, 3_000, 1_000_000):
+        sizes = [int(x) for x in rng.multinomial(windows * 4096, np.ones(20) / 20)] + [2000, 3]
+        mixture = packing.Mixture(sizes, [float(s) for s in sizes], 4096)
+        queue, start, n = np.array([20, 20, 21, 3]), np.array([0, 1500, 0, 500]), np.array([1500, 500, 3, 900])
+        began = time.time()
+        got = mixture.cut(queue, start, n)
+        seconds.append(time.time() - began)
+        if windows < 10_000:
+            assert got == sorted(mixture._cut(queue, start, n))
+        for row, size in enumerate(n):
+            own = [p for p in got if p[0] == row]
+            assert [p[1] for p in own] == np.cumsum([0, *[p[2] for p in own]])[:-1].tolist() and sum(p[2] for p in own) == size
+        cut.append(len(got))
+    assert seconds[2] < 10 and cut[2] > 2000
