@@ -18,13 +18,17 @@ index prefix (its partners are no smaller); the larger one probes the one or two
 partners may be in. The cells' counts steer only the cost: any order gives the same links.
 
 Verification. In a bucket of equal combinations every set is first verified against the
-bucket's smallest index set, which is linear. Where a bucket then still holds several
-components, sets of different components are verified against each other. Pairs within a
-component are never listed; no link between components is lost, so the components are exact.
+bucket's smallest index set, its hub, which is linear. Buckets of one hub form a group. While
+links are found and a group still holds several components, all sets outside the component of
+another hub are verified against that (``HUB_ROUNDS`` times at most, linear as well). Sets
+that are then still in different components of a group are compared with each other in blocks.
+Pairs within a component are never listed; no link between components is lost, so the
+components are exact. Each check compares sizes, then parity sketches (they bound the
+similarity from above), then the sets themselves.
 Copies of frequent combinations are dealt over ``SALTS`` keys.
 
-Texts are read three times (set keys and cell counts, combinations, sets that may be in a pair)
-and never shuffled. To the driver: the cell counts and a bitmap of the nodes in pairs
+Texts are read three or more times (set keys, sketches and cell counts; combinations; sets of
+pairs that their sketches allow) and never shuffled. To the driver: the cell counts and a bitmap of the nodes in pairs
 (``BITMAP`` bits, whatever the corpus; where it is full more sets are shuffled, none is lost).
 
 Defined results: a text without words (or null) has an empty set and is linked with nothing, its
@@ -41,7 +45,6 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,10 +58,9 @@ CELL_BITS, CHUNK_BITS = 22, 16
 CELLS = 1 << CELL_BITS
 BITMAP = 1 << 27
 SALTS = 16
-CACHE_WORDS = 300_000
-FLUSH = 1 << 20
-
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+HUB_ROUNDS = 2
+BLOCK = 512
+FLUSH = SLICE = 1 << 20
 _U = np.uint64
 
 
@@ -70,28 +72,74 @@ def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-class Words(dict):
-    """Word -> 64-bit hash."""
+SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+# a random number for each byte; A-Z have those of a-z
+BYTES = mixed(np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint64), 9)
+BASE = _U(0xA24BAED4963EE407)
+POWERS = np.cumprod(np.full(256, BASE))
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        got = self[word] = xxhash.xxh64_intdigest(word, 11)
-        return got
 
+def word_hashes(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first byte of every word of a buffer; a word also ends at each of ``breaks``.
 
-def token_set(text: str | None, words: Words, shingle_words: int = SHINGLE_WORDS) -> np.ndarray:
-    """Sorted distinct shingle hashes of a text."""
-    parts = (text or "").encode().translate(_LOWER).split()  # bytes split at ASCII white space only
-    if not parts:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(words.__getitem__, parts), np.uint64, len(parts))
-    k = min(shingle_words, len(h))
+    A word's hash is a polynomial of random numbers for its bytes, spread over all bits.
+    """
+    space = SPACE[data]
+    begins = ~space
+    after_letter = ~space[:-1]
+    after_letter[breaks[(breaks > 0) & (breaks < len(data))] - 1] = False
+    begins[1:] &= ~after_letter
+    kept = np.flatnonzero(~space)
+    if not len(kept):
+        return np.zeros(0, np.uint64), kept
+    first = np.flatnonzero(begins[kept])
+    length = np.diff(np.append(first, len(kept)))
+    place = np.arange(len(kept)) - np.repeat(first, length)
+    longest = int(length.max())
+    power = POWERS if longest <= len(POWERS) else np.cumprod(np.full(longest, BASE))
+    h = np.add.reduceat(BYTES[data[kept]] * power[place], first)
+    return mixed(h + length.astype(np.uint64)), kept[first]
+
+
+def token_sets(texts: pa.Array, shingle_words: int = SHINGLE_WORDS) -> Iterator[np.ndarray]:
+    """Sorted distinct shingle hashes of each text, worked out for ``SLICE`` bytes of texts at a time."""
+    texts = texts.fill_null("").cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    row = 0
+    while row < len(texts):
+        end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + SLICE, "right")) - 1)
+        lo, hi, hashes, starts = int(offsets[row]), int(offsets[end]), [], []
+        while lo < hi:  # a text longer than a slice is cut at white space
+            stop = min(hi, lo + SLICE)
+            while stop < hi and not SPACE[data[stop - 1]]:
+                gap = np.flatnonzero(SPACE[data[stop:stop + SLICE]])
+                stop = min(hi, stop + int(gap[0]) + 1 if len(gap) else stop + SLICE)
+            h, s = word_hashes(data[lo:stop], offsets[row:end] - lo)
+            hashes.append(h)
+            starts.append(s + lo)
+            lo = stop
+        h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+        first = np.searchsorted(np.concatenate(starts) if starts else np.zeros(0, np.int64), offsets[row:end + 1])
+        whole = _shingled(h, shingle_words)
+        for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
+            if b - a >= shingle_words:
+                x = np.sort(whole[a:b - shingle_words + 1])
+                yield x[np.concatenate(([True], x[1:] != x[:-1]))]
+            else:
+                yield _shingled(h[a:b], b - a)
+        row = end
+
+
+def _shingled(h: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of all runs of ``k`` words."""
     m = len(h) - k + 1
+    if m < 1 or not k:
+        return np.zeros(0, np.uint64)
     total = np.full(m, k, np.uint64)
     for j in range(k):
         total = (total + h[j:j + m]) * _U(0xD6E8FEB86659FD93 + 2 * j)
-    return np.unique(mixed(total))
+    return mixed(total)
 
 
 def set_keys(tokens: np.ndarray) -> tuple[int, int]:
@@ -99,6 +147,31 @@ def set_keys(tokens: np.ndarray) -> tuple[int, int]:
     return tuple(int(mixed(tokens, s).sum(dtype=np.uint64).astype(np.int64)) for s in (1, 2))
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """Parity of the tokens in each of 64 or more cells, about as many as tokens.
+
+    The cells in which two sketches differ are at most as many as the tokens that only one of the sets holds. The
+    number of cells is a power of two; halves put together by XOR are the sketch of half the size.
+    """
+    bits = max(64, 1 << (len(tokens) - 1).bit_length()) if len(tokens) else 64
+    return np.packbits((np.bincount((tokens & _U(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def folded(x: bytes, width: int) -> bytes:
+    """A sketch brought down to ``width`` bytes."""
+    value, n = int.from_bytes(x), len(x)
+    while n > width:
+        n //= 2
+        value = value >> 8 * n ^ value & (1 << 8 * n) - 1
+    return value.to_bytes(n)
+
+
+def sketches_differ(x: bytes, y: bytes) -> int:
+    """Least number of tokens that only one of two sets holds."""
+    width = min(len(x), len(y))
+    return (int.from_bytes(folded(x, width)) ^ int.from_bytes(folded(y, width))).bit_count()
+
+
 class Prefixes:
     """Token combinations of a set, from the cell counts and the similarity."""
 
@@ -166,12 +239,13 @@ class Prefixes:
 
 
 def _keyed(docs: DataFrame, shingle_words: int) -> DataFrame:
-    """One row a document (doc_id, k1, k2, size), and rows (chunk, cells) with a task's cell counts."""
+    """One row a document (doc_id, k1, k2, size, and as data the sketch of a set that its task had not met before),
+    and rows (chunk, data) with a task's cell counts."""
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *T.StructType.fromDDL(
-        "k1 bigint, k2 bigint, size bigint, chunk int, cells binary").fields])
+        "k1 bigint, k2 bigint, size bigint, chunk int, data binary").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, seen, waiting, held = Words(), set(), [], 0
+        seen, waiting, held = set(), [], 0
         counts = np.zeros(CELLS, np.uint32)
 
         def count() -> None:
@@ -183,20 +257,20 @@ def _keyed(docs: DataFrame, shingle_words: int) -> DataFrame:
         for batch in batches:
             rows = []
             kind = batch.column(0).type
-            for t in batch.column(1):
-                tokens = token_set(t.as_py(), words, shingle_words)
+            for tokens in token_sets(batch.column(1), shingle_words):
                 keys = set_keys(tokens)
-                rows.append((*keys, len(tokens)))
-                if keys not in seen:
+                new = len(tokens) > 0 and keys not in seen
+                rows.append((*keys, len(tokens), sketch(tokens) if new else None))
+                if new:
                     seen.add(keys)
                     waiting.append((tokens >> _U(64 - CELL_BITS)).astype(np.int32))
                     held += len(tokens)
                     if held >= FLUSH:
                         count()
                         held = 0
-            n, cols = len(rows), list(zip(*rows)) or [()] * 3
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.int64()) for c in cols],
-                                              pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema.names)
+            n, cols = len(rows), list(zip(*rows)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.int64()) for c in cols[:3]],
+                                              pa.nulls(n, pa.int32()), pa.array(cols[3], pa.binary())], schema.names)
         count()
         for c in range(CELLS >> CHUNK_BITS if kind is not None else 0):
             part = counts[c << CHUNK_BITS:(c + 1) << CHUNK_BITS]
@@ -235,11 +309,10 @@ def _combinations(docs: DataFrame, prefixes: Prefixes, clashing: frozenset[int],
     """(sig, node, meta) of the distinct sets of every task; meta orders index rows first, then by size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, seen = Words(), set()
+        seen: set[int] = set()
         for batch in batches:
             out: tuple[list, list, list] = ([], [], [])
-            for t in batch.column(0):
-                tokens = token_set(t.as_py(), words, shingle_words)
+            for tokens in token_sets(batch.column(0), shingle_words):
                 node = _node(set_keys(tokens), clashing)
                 if not len(tokens) or node in seen:
                     continue
@@ -261,7 +334,7 @@ def _node(keys: tuple[int, int], clashing: frozenset[int]) -> int:
 
 
 def _members(sigs: DataFrame) -> DataFrame:
-    """Rows of shared combinations: sig, node, size, indexed, hot, hub and hub_size.
+    """Rows of shared combinations: sig, node, size, indexed, hub, hub_size, hub_indexed and hot.
 
     The hub is the smallest index set of the rows dealt to one key.
     """
@@ -273,7 +346,8 @@ def _members(sigs: DataFrame) -> DataFrame:
                     F.first("meta").over(together).alias("hub_meta"))
             .filter("hub_meta < (1L << 40) AND node <> hub OR meta % 2 = 1")
             .select("sig", "node", size(F.col("meta")).alias("size"), (F.col("meta") < 1 << 40).alias("indexed"),
-                    "hub", size(F.col("hub_meta")).alias("hub_size"), (F.col("hub_meta") < 1 << 40).alias("hub_indexed")))
+                    "hub", size(F.col("hub_meta")).alias("hub_size"), (F.col("hub_meta") < 1 << 40).alias("hub_indexed"),
+                    (F.col("meta") % 2 == 1).alias("hot")))
 
 
 def _bitmap(nodes: DataFrame, bits: int = BITMAP) -> np.ndarray:
@@ -296,11 +370,10 @@ def _sets(docs: DataFrame, bitmap: np.ndarray, clashing: frozenset[int], shingle
     """(node, tokens) of the sets whose node the bitmap names."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, seen = Words(), set()
+        seen: set[int] = set()
         for batch in batches:
             nodes, sets = [], []
-            for t in batch.column(0):
-                tokens = token_set(t.as_py(), words, shingle_words)
+            for tokens in token_sets(batch.column(0), shingle_words):
                 node = _node(set_keys(tokens), clashing)
                 if len(tokens) and node not in seen and _bit(bitmap, node):
                     seen.add(node)
@@ -312,13 +385,119 @@ def _sets(docs: DataFrame, bitmap: np.ndarray, clashing: frozenset[int], shingle
     return docs.select("text").mapInArrow(run, "node bigint, tokens array<bigint>")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity."""
-    left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
-    common = F.size(F.array_intersect("x", "y"))
-    return (pairs.join(left, "a").join(right, "b")
-            .filter(common * (100 + percent) >= (F.size("x") + F.size("y")) * percent).select("a", "b"))
+def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and sketches allow the similarity."""
+
+    @F.arrow_udf("boolean")
+    def allowed(sizes: pa.Array, x: pa.Array, y: pa.Array) -> pa.Array:
+        return pa.array([sketches_differ(p.as_py(), q.as_py()) * (100 + percent) <= s.as_py() * (100 - percent)
+                         for s, p, q in zip(sizes, x, y)], pa.bool_())
+
+    left = nodes.select(F.col("node").alias("a"), F.col("size").alias("m"), F.col("sketch").alias("x"))
+    right = nodes.select(F.col("node").alias("b"), F.col("size").alias("n"), F.col("sketch").alias("y"))
+    return (pairs.join(left, "a").join(right, "b").filter(F.least("m", "n") * 100 >= F.greatest("m", "n") * percent)
+            .filter(allowed(F.col("m") + F.col("n"), F.col("x"), F.col("y"))).select("a", "b"))
+
+
+class Verifier:
+    """Exact check of candidate pairs. Sets of texts are worked out when a pair first needs them, and stored."""
+
+    def __init__(self, docs: DataFrame, nodes: DataFrame, clashing: frozenset[int], shingle_words: int, percent: int):
+        self.docs, self.nodes, self.clashing = docs, nodes, clashing
+        self.shingle_words, self.percent = shingle_words, percent
+        self.sets: DataFrame | None = None
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """Stored: of pairs (a, b) that sizes and sketches allow, those whose sets reach the similarity."""
+        pairs = stored(pairs, "ngram-possible")
+        missing = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        if self.sets is not None:
+            missing = missing.join(self.sets.select("node"), "node", "left_anti")
+        missing = stored(missing, "ngram-missing")
+        if self.sets is None or not missing.isEmpty():
+            more = stored(_sets(self.docs, _bitmap(missing), self.clashing, self.shingle_words)
+                          .join(missing, "node", "left_semi").dropDuplicates(["node"]), "ngram-sets")
+            self.sets = more if self.sets is None else self.sets.unionByName(more)
+        left = self.sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
+        right = self.sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
+        common = F.size(F.array_intersect("x", "y"))
+        similar = common * (100 + self.percent) >= (F.size("x") + F.size("y")) * self.percent
+        return stored(pairs.join(left, "a").join(right, "b").filter(similar).select("a", "b"), "ngram-links")
+
+
+def _groups(members: DataFrame) -> DataFrame:
+    """(hub, node, size, indexed): buckets of one hub put together, the hub included.
+
+    Frequent combinations were dealt over several keys; here each has one hub again.
+    """
+    hot = members.filter("hot")
+    one = (hot.filter("hub_indexed").groupBy("sig").agg(F.min(F.struct("hub_size", "hub")).alias("h"))
+           .select("sig", F.col("h.hub").alias("hub"), F.col("h.hub_size").alias("hub_size")))
+    rows = members.filter("NOT hot").select("hub", "hub_size", "node", "size", "indexed").unionByName(
+        hot.drop("hub", "hub_size").join(one, "sig").select("hub", "hub_size", "node", "size", "indexed"))
+    hubs = rows.select("hub", "hub_size", F.col("hub").alias("node"), F.col("hub_size").alias("size"),
+                       F.lit(True).alias("indexed"))
+    return rows.unionByName(hubs).groupBy("hub", "node", "size").agg(F.max("indexed").alias("indexed"))
+
+
+def _open(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """Stored: rows of the groups that hold several components, with the root of each."""
+    roots = stored(components(links, "ngram-cc"), "ngram-roots")
+    placed = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = (placed.groupBy("hub").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+               .filter("lo <> hi").select("hub"))
+    return stored(placed.join(several, "hub"), "ngram-open")
+
+
+def _across(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components of a group that sizes and sketches allow, ``a`` no smaller than ``b``.
+
+    A group's rows are dealt over blocks of about ``BLOCK``; each pair of blocks is a unit of work of its own.
+    """
+    n = rows.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = (rows.join(n, "hub").join(nodes.select("node", "sketch"), "node")
+             .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("hub", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node",
+                     "size", "indexed", "root", "sketch")
+             .repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j"))
+
+    def unit(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        node, size, root, own = (group[c].to_numpy() for c in ("node", "size", "root", "own"))
+        small = group["indexed"].to_numpy()
+        i, j = group["i"][0].as_py(), group["j"][0].as_py()
+        width = min(len(x) for x in group["sketch"].to_pylist())
+        cells = np.array([np.frombuffer(folded(x, width), np.uint64) for x in group["sketch"].to_pylist()])
+        out: tuple[list, list] = ([], [])
+        for x in range(len(node)):
+            fits = small & (root != root[x]) & (size <= size[x]) & (size * 100 >= size[x] * percent)
+            if i != j:
+                fits &= own != own[x]
+            at = np.flatnonzero(fits)
+            if len(at):
+                differ = np.bitwise_count(cells[at] ^ cells[x]).sum(1, dtype=np.int64)
+                at = at[differ * (100 + percent) <= (size[at] + size[x]) * (100 - percent)]
+                out[0].append(np.full(len(at), node[x]))
+                out[1].append(node[at])
+        return tuple(np.concatenate(c) if c else np.zeros(0, np.int64) for c in out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            keys = np.stack([table[c].to_numpy() for c in ("hub", "i", "j")]) if len(batch) else np.zeros((3, 0))
+            edges = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist(), len(batch)]
+            for a, b in zip(edges, edges[1:]):
+                part = table.slice(a, b - a)
+                if held and part.num_rows and any(held[0][c][0] != part[c][0] for c in ("hub", "i", "j")):
+                    yield pa.RecordBatch.from_arrays(list(map(pa.array, unit(pa.concat_tables(held)))), ["a", "b"])
+                    held = []
+                if part.num_rows:
+                    held.append(part)
+        if held:
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, unit(pa.concat_tables(held)))), ["a", "b"])
+
+    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle_words: int = SHINGLE_WORDS,
@@ -332,31 +511,36 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle_
     # different sets with one key: about N**2 / 2**65 of N sets
     clashing = frozenset(r["k1"] for r in keys.groupBy("k1").agg(F.min("k2").alias("x"), F.max("k2").alias("y"))
                          .filter("x <> y").select("k1").collect())
-    prefixes = Prefixes(_summed(first.filter("chunk IS NOT NULL").select("chunk", "cells")), percent)
+    node = F.when(F.col("k1").isin(list(clashing)), F.col("k2")).otherwise(F.col("k1")) if clashing else F.col("k1")
+    nodes = (first.filter("size > 0 AND data IS NOT NULL").select(node.alias("node"), "size", F.col("data").alias("sketch"))
+             .dropDuplicates(["node"]))
+    prefixes = Prefixes(_summed(first.filter("chunk IS NOT NULL").select("chunk", F.col("data").alias("cells"))), percent)
     members = stored(_members(_combinations(d, prefixes, clashing, shingle_words)), "ngram-members")
 
     pairs = (members.filter("hub_indexed AND node <> hub").filter(
         F.least("size", "hub_size") * 100 >= F.greatest("size", "hub_size") * percent)
         .select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
-    nodes = members.select("node").unionByName(members.select(F.col("hub").alias("node")))
-    sets = stored(_sets(d, _bitmap(nodes), clashing, shingle_words).dropDuplicates(["node"]), "ngram-sets")
-    links = stored(_verified(pairs, sets, percent), "ngram-links")
-    roots = stored(components(links, "ngram-cc"), "ngram-roots")
+    verifier = Verifier(d, nodes, clashing, shingle_words, percent)
+    links = found = verifier.links(_possible(pairs, nodes, percent))
+    groups = stored(_groups(members), "ngram-groups")
+    several = _open(groups, links)
+    fits = f"big.size >= small.size AND small.indexed AND small.size * 100 >= big.size * {percent}"
+    for turn in range(HUB_ROUNDS):
+        if found.isEmpty() or several.isEmpty():
+            break
+        # another hub for each group: whatever lies in another component is verified against it
+        hubs = (several.filter("indexed").groupBy("hub").agg(F.min_by(
+            F.struct("node", "size", "root", "indexed"), F.xxhash64("node", F.lit(turn))).alias("h")).select("hub", "h.*"))
+        pairs = []
+        for big, small in ((several.alias("big"), hubs.alias("small")), (hubs.alias("big"), several.alias("small"))):
+            pairs.append(big.join(small, F.expr(f"big.hub = small.hub AND big.root <> small.root AND {fits}"))
+                         .select(F.col("big.node").alias("a"), F.col("small.node").alias("b")))
+        found = verifier.links(_possible(pairs[0].unionByName(pairs[1]).distinct(), nodes, percent))
+        links = stored(links.unionByName(found), "ngram-links")
+        several = _open(groups, links)
+    found = verifier.links(_across(several, nodes, percent))
+    roots = stored(components(links.unionByName(found), "ngram-cc"), "ngram-roots")
 
-    # buckets that still hold several components
-    every = members.select("sig", "node", "size", "indexed").unionByName(members.select(
-        "sig", F.col("hub").alias("node"), F.col("hub_size").alias("size"), F.col("hub_indexed").alias("indexed")))
-    placed = every.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_sigs = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("sig")
-    left = stored(placed.join(open_sigs, "sig").distinct(), "ngram-open")
-    x, y = left.alias("x"), left.filter("indexed").alias("y")
-    across = (x.join(y, F.expr("x.sig = y.sig AND x.root <> y.root AND x.size >= y.size "
-                               f"AND y.size * 100 >= x.size * {percent}"))
-              .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
-    more = stored(_verified(across, sets, percent), "ngram-across")
-    roots = stored(components(links.unionByName(more), "ngram-cc2"), "ngram-roots2")
-
-    node = F.when(F.col("k1").isin(list(clashing)), F.col("k2")).otherwise(F.col("k1")) if clashing else F.col("k1")
     rows = keys.withColumn("node", node)
     ids = rows.filter("size > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"))
     rooted = ids.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

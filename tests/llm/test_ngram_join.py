@@ -39,7 +39,7 @@ def near_copies(rng, base, n, words, most):
     for _ in range(n):
         t = rng.choice(base).split(" ")
         for _ in range(rng.randint(0, most)):
-            at = rng.randrange(len(t))
+            at = rng.randrange(len(t) + 1)
             t[at:at + rng.randint(0, 2)] = rng.choices(words, k=rng.randint(0, 2))
         out.append(" ".join(t))
     return out
@@ -123,6 +123,38 @@ def test_same_first_key_of_different_sets_is_told_apart(spark, docs_of, monkeypa
     assert as_rows(nj.linked(docs_of(rows))) == brute(rows)
 
 
+def test_tokens_match_the_words(monkeypatch):
+    rng = random.Random(3)
+    texts = ["", None, " ", "a", "A b", "a  b\tc\nd e", "a b c d e f", "x" * 3000 + " y", "Ä ä É \u00a0 z\u2003w 中文 字 é f g"]
+    texts += [" ".join(rng.choices(["Aa", "aA", "b", "cc", "Ünï"], k=rng.randint(0, 40))) for _ in range(200)]
+    for size in (1 << 20, 16):
+        monkeypatch.setattr(nj, "SLICE", size)
+        got = list(nj.token_sets(nj.pa.array(["skipped", *texts])[1:]))
+        assert [len(g) for g in got] == [len(brute_set(t)) for t in texts]
+        by_set = {}
+        for t, g in zip(texts, got):
+            assert by_set.setdefault(frozenset(brute_set(t)), g.tobytes()) == g.tobytes()
+        assert len(set(by_set.values())) == len(by_set)
+
+
+def test_sketches_bound_the_difference():
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        a = np.unique(rng.integers(0, 1 << 63, int(rng.integers(1, 400)), dtype=np.uint64))
+        b = np.unique(np.concatenate([rng.permutation(a)[:int(rng.integers(0, len(a) + 1))],
+                                      rng.integers(0, 1 << 63, int(rng.integers(1, 300)), dtype=np.uint64)]))
+        differ = len(np.setxor1d(a, b))
+        assert nj.sketches_differ(nj.sketch(a), nj.sketch(b)) <= differ
+        assert nj.sketches_differ(nj.sketch(a), nj.sketch(a)) == 0
+
+
+def test_blocks_and_no_hub_rounds_give_the_same(spark, docs_of, monkeypatch):
+    rows = corpus(random.Random(12))
+    monkeypatch.setattr(nj, "BLOCK", 7)
+    monkeypatch.setattr(nj, "HUB_ROUNDS", 0)
+    assert as_rows(nj.linked(docs_of(rows).repartition(4))) == brute(rows)
+
+
 def test_bitmap_names_every_node(spark):
     nodes = [0, 1, 4095, 4096, 32767, 32768, (1 << 27) - 1, 1 << 27, -1, -(1 << 27), 1 << 62]
     bitmap = nj._bitmap(spark.createDataFrame([(n,) for n in nodes], "node bigint"))
