@@ -1,34 +1,36 @@
-"""FX lookup: rate per currency and the line value in EUR."""
+"""Lookups that a contract declares: a column from a reference table, and a value worked out with it."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snapweave.contracts import FX, Lookup
 from snapweave.session import broadcast_if_small
 
 RATES_MAX_ROWS = 10_000  # a currency table never comes close; larger is refused for broadcast
 
 
-# What the lookup needs and what the value is a product of.
-LOOKUP_KEY, FACTORS = "currency", ("order_quantity", "net_price", "rate_to_eur")
+def lookup_value(lookup: Lookup, columns: list[str]) -> dict[str, Column]:
+    """The value's column, if the frame has every factor (NULL where a factor is NULL)."""
+    product = " * ".join(f"`{f}`" for f in lookup.factors)
+    return {lookup.value: F.expr(product)} if set(lookup.factors) <= set(columns) else {}
 
 
-def enrich_rates(df: DataFrame, rates: DataFrame | None) -> DataFrame:
-    """Add ``rate_to_eur`` and, where quantity and price are there, ``line_value_eur``.
+def with_lookup(df: DataFrame, reference: DataFrame, lookup: Lookup) -> DataFrame:
+    """``df`` with the lookup's column and value.
 
-    A contract without a currency, or a run without rates, leaves the frame as
-    it is. Unknown or NULL currencies get a NULL rate and value. The rates side
-    is broadcast after its row count is checked; ``load_rates`` has already
-    checked it is unique per currency, so no snapshot row can fan out.
+    A frame without the lookup's field has nothing to look up and stays as it is.
+    Unknown or NULL keys get NULL. The reference side is broadcast after its row
+    count is checked; it must be unique per key (``load_rates`` checks that), so
+    no row can fan out.
     """
-    applies = rates is not None and LOOKUP_KEY in df.columns
-    if not applies:
-        return df
-    lookup = broadcast_if_small(rates.select(LOOKUP_KEY, "rate_to_eur"), RATES_MAX_ROWS)
-    priced = df.join(lookup, LOOKUP_KEY, "left").select(*df.columns, "rate_to_eur")
-    if any(f not in priced.columns for f in FACTORS):
-        return priced
-    return priced.withColumn("line_value_eur", reduce(lambda a, b: a * b, [F.col(f) for f in FACTORS]))
+    for key in {lookup.on}.intersection(df.columns):
+        side = broadcast_if_small(reference.select(key, lookup.adds), RATES_MAX_ROWS)
+        df = df.join(side, key, "left").select(*df.columns, lookup.adds)
+    return df.withColumns(lookup_value(lookup, df.columns))
+
+
+def enrich_rates(df: DataFrame, rates: DataFrame | None, lookup: Lookup = FX) -> DataFrame:
+    """FX rates by currency and the value of a line; without rates (an absent file) nothing is added."""
+    return df if rates is None else with_lookup(df, rates, lookup)

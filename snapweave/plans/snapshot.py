@@ -24,7 +24,8 @@ ABSENT_COL = "_absent"    # optional fields a source file did not have
 
 def snapshot_columns(df: DataFrame, contract: Contract) -> list[str]:
     fields = [f for f in contract.names if f in df.columns]
-    extra = [c for c in ("rate_to_eur", "line_value_eur") if c in df.columns]
+    added = (contract.lookup.adds, contract.lookup.value) if contract.lookup is not None else ()
+    extra = [c for c in added if c in df.columns]
     keep = [ABSENT_COL] if ABSENT_COL in df.columns else []
     return fields + ["key", "report_date", "report_week", "report_year"] + extra + keep
 
@@ -58,7 +59,8 @@ def transform(df: DataFrame, contract: Contract, rates: DataFrame | None = None,
 
     monday = report_monday(F.col("report_week"), F.col("report_year"))
     out = out.withColumn("report_date", F.date_format(monday, "yyyy-MM-dd"))
-    out = enrich_rates(out, rates)
+    if contract.lookup is not None:
+        out = enrich_rates(out, rates, contract.lookup)
     return out.select(*snapshot_columns(out, contract))
 
 

@@ -90,3 +90,80 @@ def test_only_touched_weeks_are_read(spark, tmp_path):
     for f in (tmp_path / "t" / "report_year=2026" / "report_week=27").glob("*.parquet"):
         f.write_bytes(b"broken")
     assert [r.report_week for r in df.collect()] == [29]
+
+
+def test_a_load_lost_at_any_step_loses_nothing(spark, tmp_path, monkeypatch):
+    from snapweave.files import SharedFiles
+
+    base = snap(spark, [(2026, w, f"{k}|10", "A", float(w)) for w in (1, 2) for k in "ABC"])
+    change = snap(spark, [(2026, 2, "A|10", "new", 9.0), (2026, 3, "D|10", "new", 9.0), (2027, 4, "E|10", "new", 9.0)])
+    later = snap(spark, [(2026, 5, "F|10", "later", 1.0)])
+    real = {n: getattr(SharedFiles, n) for n in ("put", "move", "remove")}
+    seen, k = set(), 0
+    while True:
+        path, calls = str(tmp_path / f"t{k}"), []
+
+        def lost(name, k=k, calls=calls):
+            def run(self, *args):
+                calls.append(name)
+                if len(calls) > k:
+                    raise ConnectionError("driver lost")
+                return real[name](self, *args)
+            return run
+        upsert(spark, base, path, str(tmp_path / f"a{k}"))
+        before = {tuple(r) for r in read_stored(spark, path).collect()}
+        for n in real:
+            monkeypatch.setattr(SharedFiles, n, lost(n))
+        try:
+            upsert(spark, change, path, str(tmp_path / f"b{k}"))
+            ended = True
+        except ConnectionError:
+            ended = False
+        for n, f in real.items():
+            monkeypatch.setattr(SharedFiles, n, f)
+        now = {tuple(r) for r in read_stored(spark, path).collect()}
+        after = {r for r in before if not (2 in r and "A|10" in r)} | \
+            {tuple(r) for r in change.select(*read_stored(spark, path).columns).collect()}
+        assert now in (before, after), k
+        seen.add(now == after)
+        upsert(spark, later, path, str(tmp_path / f"c{k}"))
+        kept = {tuple(r) for r in read_stored(spark, path).filter("report_week <> 5").collect()}
+        assert kept in ([after] if now == after else [before, after]), k
+        assert count_rows(spark, path) == len(kept) + 1
+        if ended:
+            break
+        k += 1
+    assert seen == {True, False} and k > 8
+
+
+def test_a_lost_journal_stops_the_load(spark, tmp_path):
+    import shutil
+
+    from snapweave.operators.journal import TableError
+
+    path = str(tmp_path / "t")
+    upsert(spark, snap(spark, [(2026, 1, "A|10", "A", 1.0)]), path, str(tmp_path / "s1"))
+    (tmp_path / "t/_state").rename(tmp_path / "gone")
+    with pytest.raises(TableError, match="no journal"):
+        upsert(spark, snap(spark, [(2026, 2, "A|10", "A", 1.0)]), path, str(tmp_path / "s2"))
+    assert spark.read.parquet(path).count() == 1
+    shutil.copytree(tmp_path / "gone", tmp_path / "t/_state")
+    # a table of the layout before: a schema folder and no journal
+    old = str(tmp_path / "old")
+    snap(spark, [(2026, 1, "A|10", "A", 1.0)]).write.partitionBy("report_year", "report_week").parquet(old)
+    spark.createDataFrame([(read_stored(spark, path).schema.json(),)], "value string").coalesce(1).write.text(f"{old}/_schema")
+    upsert(spark, snap(spark, [(2026, 1, "B|10", "B", 2.0)]), old, str(tmp_path / "s3"))
+    assert table(spark, old) == {(2026, 1, "A|10"): ("A", 1.0), (2026, 1, "B|10"): ("B", 2.0)}
+
+
+def test_a_shrunken_week_is_reported(spark, tmp_path):
+    from snapweave.operators.upsert import row_count_changes
+
+    path = str(tmp_path / "t")
+    many = [(2026, 29, f"{i}|10", "A", 1.0) for i in range(10)]
+    upsert(spark, snap(spark, [*many, (2026, 30, "A|10", "A", 1.0)]), path, str(tmp_path / "s1"))
+    assert {r.passed for r in row_count_changes(spark, path).collect()} == {True}
+    upsert(spark, snap(spark, [*many[:4], (2026, 30, "A|10", "A", 1.0)]), path, str(tmp_path / "s2"))
+    got = {r.report_week: (r.rows, r.prev_rows, r.passed) for r in row_count_changes(spark, path).collect()}
+    assert got == {29: (4, 10, False), 30: (1, 1, True)}
+    assert row_count_changes(spark, str(tmp_path / "none")).count() == 0
