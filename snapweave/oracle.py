@@ -406,7 +406,8 @@ n AS (SELECT (SELECT count(*) FROM open_po_ext) AS ext, (SELECT count(*) FROM op
              (SELECT count(*) FROM open_po_snap) AS snap)
 SELECT 'open_po' AS module, 'files' AS stage, 0 AS rows_in, 0 AS rows_out, 'PASSED' AS status FROM n
 UNION ALL SELECT 'open_po', 'quarantine', ext, ext - typed, 'PASSED' FROM n
-UNION ALL SELECT 'open_po', 'load', ext, snap, 'PASSED' FROM n""",
+UNION ALL SELECT 'open_po', 'load', ext, snap, 'PASSED' FROM n
+UNION ALL SELECT 'open_po', 'row_counts', 0, 0, 'PASSED' FROM n""",
     "dq_model_tests": _dq_models(),
     "landed_listing": f"""WITH {LINES_CTE}
 SELECT DISTINCT 'open_po' AS dataset, report_year, report_week,

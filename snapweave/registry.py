@@ -24,7 +24,7 @@ from snapweave.plans import cards, models
 from snapweave.plans.jobs import quarantined, run_weeks
 from snapweave.plans.snapshot import transform
 from snapweave.session import shared_dir
-from snapweave.sources.grid import grid_from_extract, read_extracts
+from snapweave.sources.grid import grid_from_extract
 from snapweave.sources.landing import land_grid, list_landed
 from snapweave.sources.seeds import load_rates
 from snapweave.sources.tables import all_prs_extract, open_po_extract, read_table
@@ -88,7 +88,7 @@ def grid_header_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def grid_junk_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     grid = open_po_grid(spark, sf_dir)
-    body = body_rows(grid, detect_headers(grid, OPEN_PO.header_texts))
+    body = body_rows(grid, OPEN_PO.header_texts)
     kept = filled_cells(F.col("cells")) >= 2
     return body.groupBy("dataset", "report_year", "report_week", "file").agg(
         F.count_if(kept).alias("body_rows"), F.count_if(~kept).alias("junk_rows"))
@@ -267,8 +267,7 @@ def _backfilled(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     root = _landed_open_po(spark, sf_dir)
     table = shared_dir(spark, "tables", unique=True) + "/open_po"
     log = shared_dir(spark, "runlog", unique=True)
-    run_weeks(spark, read_extracts(spark, f"{root}/dataset=open_po", weeks=range(1, 54)), "open_po", table, "1-53",
-              load_rates(spark), log_path=log)
+    run_weeks(spark, f"{root}/dataset=open_po", "open_po", table, "1-53", load_rates(spark), log_path=log)
     return table, log
 
 

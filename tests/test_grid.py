@@ -156,3 +156,67 @@ def test_rows_and_cells_without_numbers_and_broken_workbooks(spark, tmp_path):
     assert set(said) == {"cut", "words", "stream", "locked", "method"}
     assert [said[k].split(":")[0] for k in ("stream", "locked", "method")] == ["error", "RuntimeError", "NotImplementedError"]
     assert sum(r.error is None for r in got) == 6
+
+
+def styled(book, codes, date1904=False):
+    """A workbook whose cells with style 1, 2, ... have the given number formats."""
+    styles = ('<styleSheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><numFmts>'
+              + "".join(f'<numFmt numFmtId="{164 + i}" formatCode="{c}"/>' for i, c in enumerate(codes) if isinstance(c, str))
+              + '</numFmts><cellXfs><xf numFmtId="0"/>'
+              + "".join(f'<xf numFmtId="{164 + i if isinstance(c, str) else c}"/>' for i, c in enumerate(codes)) + "</cellXfs></styleSheet>")
+    buf = io.BytesIO(repacked(book, lambda n, d: d.replace(b"<sheets>", b'<workbookPr date1904="1"/><sheets>')
+                              if date1904 and n == "xl/workbook.xml" else d))
+    with zipfile.ZipFile(buf, "a") as z:
+        z.writestr("xl/styles.xml", styles)
+    return buf.getvalue()
+
+
+def test_dates_in_workbooks():
+    from snapweave.sources.xlsx import shows_date
+
+    codes = [14, "yyyy\\-mm\\-dd hh:mm", "0.00", "[Red]0.0&quot;days&quot;", "[h]:mm", 22, 1]
+    cells = "".join(f'<c r="{chr(65 + i)}1" s="{i + 1}"><v>{v}</v></c>' for i, v in enumerate(
+        (46216, 46216.354166666664, 46216.5, 3.5, 0.25, 46216, 46216)))
+    book = styled(repacked(write_workbook([["x"]]), lambda n, d: re.sub(rb"<row.*</row>", f'<row r="1">{cells}<c r="H1" t="d">'
+                  '<v>2026-07-13T00:00:00</v></c></row>'.encode(), d) if "sheet1" in n else d), codes)
+    assert decode_workbook(book) == [["2026-07-13", "2026-07-13 08:30:00", "46216.5", "3.5", "06:00:00", "2026-07-13", "46216",
+                                      "2026-07-13"]]
+    old = repacked(write_workbook([[60, 59, 1, 44754, -1, 3000000]]),
+                   lambda n, d: re.sub(rb'(<c r="[A-F]1")', rb'\1 s="1"', d) if "sheet1" in n else d)
+    # day 60 is the 29 February 1900 that never was
+    assert decode_workbook(styled(old, [14])) == [["1900-03-01", "1900-02-28", "1900-01-01", "2022-07-12", "-1", "3000000"]]
+    assert decode_workbook(styled(old, [14], True))[0][3] == "2026-07-13"
+    assert [shows_date(c) for c in ("General", "0.00E+00", '#,##0 "days"', "d/m/yy", "[$-409]mmm", "[Blue]0", "@", "[ss]")] == [
+        False, False, False, True, True, False, False, True]
+
+
+def test_a_stray_cell_far_out_costs_one_row(spark, tmp_path):
+    import tracemalloc
+
+    rows = [HEAD, ["4500000001", "10", "1", "x", "S", "1", "2", "EUR", "", "P100", "Z"]]
+    far = repacked(write_workbook(rows), lambda n, d: d.replace(
+        b"</sheetData>", b'<row r="1048576"><c r="XFD1048576"><v>1</v></c></row></sheetData>') if "sheet1" in n else d)
+    d = tmp_path / "dataset=open_po/year=2026/week=29"
+    d.mkdir(parents=True)
+    (d / "far.xlsx").write_bytes(far)
+    from snapweave.sources.xlsx import sheet_rows
+    tracemalloc.start()
+    assert [(r, len(c)) for r, c in sheet_rows(far)] == [(0, 11), (1, 11), (1048575, 16384)]
+    assert tracemalloc.get_traced_memory()[1] < 20_000_000
+    tracemalloc.stop()
+    got = extract(read_extracts(spark, str(tmp_path), contract=OPEN_PO), OPEN_PO).collect()
+    assert [(r.po_number, r.net_price) for r in got] == [("4500000001", "2")]
+
+
+def test_the_parser_and_the_window_find_the_same_headers(spark, landed, tmp_path):
+    write_csv(landed / "dataset=open_po/year=2026/week=31/repeat.csv", [["x"], [*HEAD, " Price ", "Net Price"], [*ROWS[0], "1", "2"]])
+    write_csv(landed / "dataset=open_po/year=2026/week=32/late.csv", [*[["-", "-"]] * 14, HEAD, *ROWS])
+    write_csv(landed / "dataset=open_po/year=2026/week=33/tie.csv", [["Plant", "Item"], ["Item", "Price"], *[["-", "-"]] * 14, HEAD, *ROWS])
+    one = extract(read_extracts(spark, str(landed), contract=OPEN_PO), OPEN_PO, strict=False)
+    two = extract(read_extracts(spark, str(landed)), OPEN_PO, strict=False)
+    assert sorted(map(str, one.collect())) == sorted(map(str, two.collect())) and one.count() > 10
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan and plan.count("Scan") == 1
+    assert "Join" not in two._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(Exception, match="no header for"):
+        extract(read_extracts(spark, str(landed), contract=OPEN_PO), OPEN_PO).collect()

@@ -56,3 +56,43 @@ def test_the_last_arrived_file_wins_in_batch_and_stream(spark, tmp_path):
     ingest_available(spark, str(tmp_path / "landing"), "open_po", str(tmp_path / "stream"), str(tmp_path / "ckpt"), max_files=1)
     for table in ("batch", "stream"):
         assert [r.net_price for r in read_stored(spark, str(tmp_path / table)).collect()] == [99.0]
+
+
+def test_files_that_spark_passes_over_are_listed(spark, tmp_path):
+    import pytest
+
+    from snapweave.plans.jobs import FileProblems, arrived_files, problem_files, run_weeks
+
+    folder = tmp_path / "landing/dataset=open_po/year=2026/week=29"
+    write_csv(folder / "a + b%20c.csv", [HEAD, *ROWS])
+    (folder / "empty.csv").write_bytes(b"")
+    (folder / "empty.xlsx").write_bytes(b"")
+    write_csv(tmp_path / "landing/dataset=open_po/year=2026/week=30/c.csv", [HEAD, *ROWS])
+    (tmp_path / "landing/dataset=open_po/year=2026/week=30/none.csv").write_bytes(b"")
+    stream, batch = str(tmp_path / "stream"), str(tmp_path / "batch")
+    for _ in range(2):  # a second run lists them once more, not twice
+        ingest_available(spark, str(tmp_path / "landing"), "open_po", stream, str(tmp_path / "ckpt"), load_rates(spark))
+    with pytest.raises(FileProblems, match="2 files not loaded"):
+        run_weeks(spark, str(tmp_path / "landing/dataset=open_po"), "open_po", batch, "29", load_rates(spark))
+    names = lambda df: sorted(r.file.rsplit("/", 1)[-1] for r in df.collect())
+    assert names(problem_files(spark, stream)) == ["empty.csv", "empty.xlsx", "none.csv"]
+    assert names(problem_files(spark, batch)) == ["empty.csv", "empty.xlsx"]
+    assert names(arrived_files(spark, batch)) == ["a + b%20c.csv"]
+    assert {r.rows for r in arrived_files(spark, stream).collect()} == {len(ROWS) + 1}
+
+
+def test_a_key_without_a_year_takes_that_of_the_arrival(spark, tmp_path):
+    import os
+    from datetime import datetime, timezone
+
+    from snapweave.operators.upsert import read_stored
+    from snapweave.plans.jobs import run_weeks
+
+    for name, week, when in (("a.csv", 29, "2026-07-20"), ("b.csv", 52, "2026-01-04"), ("c.csv", 1, "2026-12-31")):
+        path = tmp_path / f"raw/dataset=open_po/week={week}/{name}"
+        write_csv(path, [HEAD, *ROWS[:1]])
+        stamp = datetime.fromisoformat(when).replace(tzinfo=timezone.utc).timestamp()
+        os.utime(path, (stamp, stamp))
+    run_weeks(spark, str(tmp_path / "raw/dataset=open_po"), "open_po", str(tmp_path / "t"), rates=load_rates(spark))
+    got = {(r.report_year, r.report_week, r.report_date) for r in read_stored(spark, str(tmp_path / "t")).collect()}
+    assert got == {(2026, 29, "2026-07-13"), (2025, 52, "2025-12-22"), (2026, 1, "2025-12-29")}
