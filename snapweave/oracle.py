@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from snapweave.contracts import ALL_PRS, OPEN_PO, Contract
 from snapweave.sources.seeds import RATES
-from snapweave.sources.tables import BLOCK_ORDERS, CURRENCIES, ROW_ORDER
+from weekfixtures.tables import BLOCK_ORDERS, CURRENCIES, ROW_ORDER
 
 
 def zfill(x: str, w: int) -> str:
@@ -409,9 +409,39 @@ UNION ALL SELECT 'open_po', 'quarantine', ext, ext - typed, 'PASSED' FROM n
 UNION ALL SELECT 'open_po', 'load', ext, snap, 'PASSED' FROM n
 UNION ALL SELECT 'open_po', 'row_counts', 0, 0, 'PASSED' FROM n""",
     "dq_model_tests": _dq_models(),
-    "landed_listing": f"""WITH {LINES_CTE}
-SELECT DISTINCT 'open_po' AS dataset, report_year, report_week,
-       format('{{}}_{{}}_W{{:02d}}_b{{}}', 'open_po', report_year, report_week, _block) AS extract FROM lines""",
+    "landed_listing": f"""WITH {LINES_CTE},
+keys AS (SELECT DISTINCT format('dataset=open_po/year={{}}/week={{}}/extract=open_po_{{}}_W{{:02d}}_b{{}}', report_year,
+                report_week, report_year, report_week, _block) AS key FROM lines)
+SELECT CAST(row_number() OVER (ORDER BY key || '/') AS INTEGER) AS place, key, true AS filled FROM keys""",
+    "xlsx_snapshot": _snap_sql("open_po"),
+    "snapshot_rates_csv": _snap_sql("open_po"),
+    "snapshot_contract_file": _snap_sql("all_prs"),
+    "stored_row_count": f"""WITH t AS ({_upsert_sql(False)})
+SELECT report_year, count(*) AS rows, (SELECT count(*) FROM t) AS table_rows FROM t GROUP BY 1""",
+    "reload_row_counts": f"""WITH {snapshot_ctes('open_po')},
+{snapshot_ctes('open_po', keep='first', name='open_po_first', with_extract=False)},
+a AS (SELECT report_year, report_week, count(*) AS prev_rows FROM open_po_snap GROUP BY 1, 2),
+b AS (SELECT report_year, report_week, count(*) AS rows FROM open_po_first
+      WHERE report_week >= 20 AND rate_to_eur IS NOT NULL GROUP BY 1, 2)
+SELECT report_year, report_week, rows, prev_rows, abs(rows - prev_rows) / prev_rows AS pct,
+       abs(rows - prev_rows) / prev_rows <= 0.5 AS passed FROM b JOIN a USING (report_year, report_week)""",
+    "logical_week": """SELECT DISTINCT o_orderdate AS logical_date, CAST(week(o_orderdate) AS INTEGER) AS report_week,
+       CAST(isoyear(o_orderdate) AS INTEGER) AS report_year FROM orders""",
+    "dq_report_dates": f"""WITH {snapshot_ctes('open_po')}
+SELECT report_date, count(*) AS rows FROM open_po_snap GROUP BY 1""",
+    "card_columns": f"""WITH {snapshot_ctes('open_po')},
+weeks AS (SELECT DISTINCT report_year, report_week FROM open_po_snap),
+last AS (SELECT DISTINCT supplier FROM open_po_snap
+         WHERE report_year * 100 + report_week = (SELECT max(report_year * 100 + report_week) FROM weeks))
+SELECT 'weekly_open_value' AS card, 'report_year, report_week, total_value_eur' AS columns, (SELECT count(*) FROM weeks) AS rows
+UNION ALL SELECT 'weekly_line_count', 'report_year, report_week, line_count', (SELECT count(*) FROM weeks)
+UNION ALL SELECT 'kpi_latest_week', 'report_year, report_week, line_count, total_quantity, total_value_eur',
+       least(1, (SELECT count(*) FROM weeks))
+UNION ALL SELECT 'top_suppliers_latest', 'supplier, value_eur', least(10, (SELECT count(*) FROM last))""",
+    "branches_side_by_side": f"""WITH {snapshot_ctes('open_po')},
+n AS (SELECT count(*) AS n FROM open_po_snap)
+SELECT 'open_po' AS dataset, n AS loaded, false AS failed, n AS stored FROM n
+UNION ALL SELECT 'all_prs', NULL, true, NULL""",
     "backfill_weeks": _snap_sql("open_po"),
     "stream_ingest_snapshot": _snap_sql("open_po"),
 }

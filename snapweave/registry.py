@@ -6,29 +6,32 @@ full; the matching DuckDB SQL lives in ``snapweave.oracle``.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from snapweave.contracts import ALL_PRS, OPEN_PO
+from snapweave.contracts import ALL_PRS, OPEN_PO, find_contract
 from snapweave.functions import (composite_key, iso_week, iso_year, key_complete, normalize_key,
-                                 report_monday, to_numeric, weeks_from_spec)
+                                 report_monday, to_numeric, week_from_logical_date, weeks_from_spec)
 from snapweave.operators import quality as dq
 from snapweave.operators.compact import compact_rows
 from snapweave.operators.header import body_rows, detect_headers, filled_cells
-from snapweave.operators.upsert import KEY_COLS, read_stored, upsert
+from snapweave.operators.upsert import KEY_COLS, count_rows, read_stored, row_count_changes, upsert
 from snapweave.operators.resolve import extract
 from snapweave.plans import cards, models
-from snapweave.plans.jobs import quarantined, run_weeks
+from snapweave.plans.jobs import BranchFailures, quarantined, run_datasets, run_weeks
 from snapweave.plans.snapshot import transform
 from snapweave.session import shared_dir
-from snapweave.sources.grid import grid_from_extract
-from snapweave.sources.landing import land_grid, list_landed
+from snapweave.sources.grid import read_extracts
+from snapweave.sources.landing import list_landed
 from snapweave.sources.seeds import load_rates
-from snapweave.sources.tables import all_prs_extract, open_po_extract, read_table
 from snapweave.streaming.ingest import ingest_available
+from weekfixtures.files import land_grid, land_workbooks
+from weekfixtures.grids import grid_from_extract
+from weekfixtures.tables import all_prs_extract, open_po_extract, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -257,9 +260,13 @@ def _landed_open_po(spark: SparkSession, sf_dir: str) -> str:
 
 
 def landed_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = list_landed(spark, _landed_open_po(spark, sf_dir))
-    return files.select("dataset", F.col("year").alias("report_year"), F.col("week").alias("report_week"),
-                        "extract").distinct()
+    """Landed files in path order: their place in the listing, key and whether they hold bytes."""
+    root = _landed_open_po(spark, sf_dir)
+    files = list_landed(spark, root).select("path", "length")
+    key = F.regexp_extract("path", "/(dataset=[^/]+/year=[^/]+/week=[^/]+/extract=[^/]+)/[^/]+$", 1)
+    # one row a file, not a row of data
+    return files.select(F.row_number().over(Window.orderBy("path")).alias("place"), key.alias("key"),
+                        (F.col("length") > 0).alias("filled"))
 
 
 def _backfilled(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
@@ -295,6 +302,92 @@ def stream_ingest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_stored(spark, f"{base}/open_po")
 
 
+def xlsx_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the extracts as workbooks with real date cells, read them back and build the snapshot."""
+    root = shared_dir(spark, "landing", unique=True)
+    dates = tuple(i for i, name in enumerate(OPEN_PO.names) if name == "delivery_date")
+    land_workbooks(open_po_grid(spark, sf_dir), root, dates)
+    grid = read_extracts(spark, f"{root}/dataset=open_po", contract=OPEN_PO)
+    return transform(extract(grid, OPEN_PO), OPEN_PO, load_rates(spark)).drop("_absent")
+
+
+def snapshot_rates_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot with the rates read from a CSV file."""
+    path = shared_dir(spark, "seeds", unique=True) + "/rates"
+    load_rates(spark).coalesce(1).write.option("header", True).csv(path)
+    return transform(open_po_extract(spark, sf_dir), OPEN_PO, load_rates(spark, path))
+
+
+def snapshot_contract_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot of a dataset by a contract read from a YAML file."""
+    from snapweave.files import SharedFiles
+
+    folder = shared_dir(spark, "contracts", unique=True)
+    fields = {f.name: {"header": f.headers[0], "aliases": list(f.headers[1:]), "required": f.required, "numeric": f.numeric,
+                       "pad": f.width} for f in ALL_PRS.fields}
+    SharedFiles(spark).put(f"{folder}/all_prs.yml", json.dumps({"name": "all_prs", "key": list(ALL_PRS.key), "columns": fields}))
+    contract = find_contract(spark, "all_prs", folder)
+    return transform(all_prs_extract(spark, sf_dir), contract, load_rates(spark))
+
+
+def stored_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the stored table after two loads, as the sink counts them, by year."""
+    stored, incoming = _upsert_inputs(spark, sf_dir)
+    table = shared_dir(spark, "tables", unique=True) + "/open_po"
+    for snap in (stored, incoming):
+        upsert(spark, snap, table, shared_dir(spark, "staging", "open_po", unique=True))
+    total = count_rows(spark, table)
+    return read_stored(spark, table).groupBy("report_year").agg(F.count("*").alias("rows")).withColumn(
+        "table_rows", F.lit(total).cast("bigint"))
+
+
+def reload_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weeks of a second, smaller load: rows staged now and by the load before, and whether that is allowed."""
+    stored, incoming = _upsert_inputs(spark, sf_dir)
+    table = shared_dir(spark, "tables", unique=True) + "/open_po"
+    for snap in (stored, incoming):
+        upsert(spark, snap, table, shared_dir(spark, "staging", "open_po", unique=True))
+    return row_count_changes(spark, table)
+
+
+def logical_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ISO week (and its year) of every logical date."""
+    d = read_table(spark, sf_dir, "orders").select("o_orderdate").distinct()
+    return d.select(F.col("o_orderdate").alias("logical_date"), week_from_logical_date("o_orderdate").alias("report_week"),
+                    iso_year("o_orderdate").alias("report_year"))
+
+
+def dq_report_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dq.date_counts(snapshot_open_po(spark, sf_dir), "report_date")
+
+
+def card_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every card's rows, counted by card, after the check that they read mart columns only."""
+    stg = stg_open_po(spark, sf_dir)
+    base = shared_dir(spark, "marts", unique=True)
+    weekly = models.materialize(models.mart_open_po_weekly(stg), f"{base}/weekly")
+    suppliers = models.materialize(models.mart_top_suppliers(stg), f"{base}/suppliers")
+    found = cards.check_card_contract(spark, weekly, suppliers)
+    counts = [cards.run_card(spark, name, weekly, suppliers).agg(F.count("*").alias("rows")).select(
+        F.lit(name).alias("card"), F.lit(", ".join(columns)).alias("columns"), "rows") for name, columns in found.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def branches_side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both datasets as branches: open_po loads, all_prs is handed files of the other layout and fails alone."""
+    root = _landed_open_po(spark, sf_dir)
+    base = shared_dir(spark, "tables", unique=True)
+    tables = {ds: f"{base}/{ds}" for ds in ("open_po", "all_prs")}
+    try:
+        results = run_datasets(spark, dict.fromkeys(tables, f"{root}/dataset=open_po"), tables, load_rates(spark))
+    except BranchFailures as e:
+        results = e.results
+    outcome = spark.createDataFrame([(r.dataset, r.rows, r.error is not None) for r in results],
+                                    "dataset string, loaded bigint, failed boolean")
+    rows = read_stored(spark, tables["open_po"]).agg(F.count("*").alias("stored")).withColumn("dataset", F.lit("open_po"))
+    return outcome.join(rows, "dataset", "left")
+
+
 QUERIES: dict[str, Query] = {
     "snapshot_open_po": snapshot_open_po,
     "snapshot_all_prs": snapshot_all_prs,
@@ -335,4 +428,13 @@ QUERIES: dict[str, Query] = {
     "quarantine_rows": quarantine_rows,
     "run_log_status": run_log_status,
     "stream_ingest_snapshot": stream_ingest_snapshot,
+    "xlsx_snapshot": xlsx_snapshot,
+    "snapshot_rates_csv": snapshot_rates_csv,
+    "snapshot_contract_file": snapshot_contract_file,
+    "stored_row_count": stored_row_count,
+    "reload_row_counts": reload_row_counts,
+    "logical_week": logical_week,
+    "dq_report_dates": dq_report_dates,
+    "card_columns": card_columns,
+    "branches_side_by_side": branches_side_by_side,
 }

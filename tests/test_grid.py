@@ -14,7 +14,8 @@ from snapweave.operators.resolve import extract
 from snapweave.plans.snapshot import transform
 from snapweave.sources.grid import read_extracts, read_text_grid, read_xlsx_grid
 from snapweave.sources.seeds import load_rates
-from snapweave.sources.xlsx import decode_workbook, write_workbook
+from snapweave.sources.xlsx import decode_workbook
+from weekfixtures.files import write_workbook
 
 HEAD = ["PO Number", "PO Item", "Material", "Material Description", "Supplier", "Order Quantity",
         "Net Price", "Currency", "Delivery Date", "Plant", "Requisitioner"]

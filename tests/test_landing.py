@@ -28,3 +28,55 @@ def test_listing_is_sorted_and_skips_content(spark, tmp_path):
     assert paths == sorted(paths) and len(paths) == 2
     assert exists(spark, str(tmp_path), "dataset=open_po/year=2026/week=29/f29.csv")
     assert not exists(spark, str(tmp_path), "dataset=open_po/year=2026/week=31/x.csv")
+
+
+def test_existing_files_are_landed_byte_by_byte(spark, tmp_path):
+    from snapweave.operators.upsert import read_stored
+    from snapweave.plans.jobs import run_weeks
+    from snapweave.sources.landing import land_files
+    from weekfixtures.files import write_workbook
+
+    src, root = tmp_path / "in", str(tmp_path / "zone")
+    write_csv(src / "po one.csv", [HEAD, *ROWS])
+    (src / "book.xlsx").write_bytes(write_workbook([HEAD, ["4500000007", 10, 5, "x", "S", 2, 3, "EUR", "", "P100", "Z"]]))
+    (src / "empty.csv").write_bytes(b"")
+    for _ in range(2):  # landing again leaves the same files
+        got = land_files(spark, str(src), root, "open_po", 29, 2026)
+        rows = {r.file.rsplit("/", 1)[-1]: r for r in got.collect()}
+        assert set(rows) == {"po one.csv", "book.xlsx", "empty.csv"}
+        for name, r in rows.items():
+            there = tmp_path / "zone/raw/dataset=open_po/year=2026/week=29" / name
+            assert there.read_bytes() == (src / name).read_bytes() and r.length == there.stat().st_size
+            assert str(there) == r.target
+    assert sorted(p.name for p in (tmp_path / "zone/raw/dataset=open_po/year=2026/week=29").iterdir()
+                  if not p.name.endswith(".crc")) == ["book.xlsx", "empty.csv", "po one.csv"]
+    # a single file, and a key without a year
+    land_files(spark, str(src / "po one.csv"), str(tmp_path / "other"), "open_po", 29)
+    assert (tmp_path / "other/raw/dataset=open_po/week=29/po one.csv").exists()
+    run_weeks(spark, str(tmp_path / "other/raw/dataset=open_po"), "open_po", str(tmp_path / "t"))
+    assert {r.report_week for r in read_stored(spark, str(tmp_path / "t")).collect()} == {29}
+
+
+def test_files_are_parsed_where_the_package_is_not_installed(tmp_path):
+    """Executors import nothing of the package: their workers run where it cannot be found."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    write_csv(tmp_path / "raw/dataset=open_po/year=2026/week=29/a.csv", [HEAD, *ROWS])
+    code = f"""
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+from snapweave.contracts import OPEN_PO
+from snapweave.operators.resolve import extract
+from snapweave.sources.grid import read_extracts
+from snapweave.sources.landing import land_files
+print("ROWS", extract(read_extracts(spark, {str(tmp_path / "raw")!r}, contract=OPEN_PO), OPEN_PO).count())
+print("LANDED", land_files(spark, {str(tmp_path / "raw/dataset=open_po")!r}, {str(tmp_path / "zone")!r}, "open_po", 30).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "ROWS 4" in out.stdout and "LANDED 1" in out.stdout, out.stderr[-2000:]

@@ -25,7 +25,7 @@ def test_workbooks_bad_files_and_empty_batches(spark, tmp_path):
     import os
 
     from snapweave.plans.jobs import problem_files
-    from snapweave.sources.xlsx import write_workbook
+    from weekfixtures.files import write_workbook
 
     folder = tmp_path / "landing/dataset=open_po/year=2026/week=29"
     table, ckpt = str(tmp_path / "open_po"), str(tmp_path / "ckpt")
