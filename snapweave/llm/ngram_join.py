@@ -148,12 +148,12 @@ def set_keys(tokens: np.ndarray) -> tuple[int, int]:
 
 
 def sketch(tokens: np.ndarray) -> bytes:
-    """Parity of the tokens in each of 64 or more cells, about as many as tokens.
+    """Parity of the tokens in each of 256 or more cells, four to eight times as many as tokens.
 
     The cells in which two sketches differ are at most as many as the tokens that only one of the sets holds. The
     number of cells is a power of two; halves put together by XOR are the sketch of half the size.
     """
-    bits = max(64, 1 << (len(tokens) - 1).bit_length()) if len(tokens) else 64
+    bits = max(256, 4 << (len(tokens) - 1).bit_length()) if len(tokens) else 256
     return np.packbits((np.bincount((tokens & _U(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
 
 

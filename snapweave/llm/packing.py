@@ -229,14 +229,16 @@ class Mixture:
         A document whose tokens lie in few of the windows between its first and last one (of a rare source) is
         looked up token by token, so its cost is its tokens and not the corpus.
         """
-        thin = self.near(queue, start + n) - self.near(queue, start) > THIN * n
+        first, last = self.near(queue, start), self.near(queue, start + n)
+        thin = last - first > THIN * n
         if not thin.any():
-            return sorted(self._cut(queue, start, n))
+            return sorted(self._cut(queue, start, n, first, last))
         row = np.concatenate([np.flatnonzero(~thin), np.repeat(np.flatnonzero(thin), n[thin])])
         begin = np.concatenate([start[~thin], *[np.arange(a, a + m) for a, m in zip(start[thin], n[thin])]])
         size = np.concatenate([n[~thin], np.ones(int(n[thin].sum()), np.int64)])
         pieces = sorted((int(row[r]), int(begin[r] - start[row[r]]) + a, m, w, o)
-                        for r, a, m, w, o in self._cut(queue[row], begin, size))
+                        for r, a, m, w, o in self._cut(queue[row], begin, size, self.near(queue[row], begin),
+                                                       self.near(queue[row], begin + size)))
         out: list[tuple[int, int, int, int, int]] = []
         for r, a, m, w, o in pieces:
             if out and out[-1][0] == r and out[-1][1] + out[-1][2] == a and out[-1][3] == w and out[-1][4] + out[-1][2] == o:
@@ -245,9 +247,10 @@ class Mixture:
             out.append((r, a, m, w, o))
         return out
 
-    def _cut(self, queue: np.ndarray, start: np.ndarray, n: np.ndarray) -> list[tuple[int, int, int, int, int]]:
-        first = np.clip(self.near(queue, start) - 2, 0, self.windows)
-        last = np.clip(self.near(queue, start + n) + 3, 0, self.windows)
+    def _cut(self, queue: np.ndarray, start: np.ndarray, n: np.ndarray, first: np.ndarray,
+             last: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+        """``first``, ``last``: about the windows of the first token and of the one after the last."""
+        first, last = np.clip(first - 2, 0, self.windows), np.clip(last + 3, 0, self.windows)
         tail, out = self.tail(), []
         done, ends = start.astype(np.int64), start + n  # tokens before done are cut
         for needed in self.blocks(first, last):
