@@ -425,6 +425,11 @@ b AS (SELECT report_year, report_week, count(*) AS rows FROM open_po_first
       WHERE report_week >= 20 AND rate_to_eur IS NOT NULL GROUP BY 1, 2)
 SELECT report_year, report_week, rows, prev_rows, abs(rows - prev_rows) / prev_rows AS pct,
        abs(rows - prev_rows) / prev_rows <= 0.5 AS passed FROM b JOIN a USING (report_year, report_week)""",
+    "mart_refresh": f"""WITH t AS ({_upsert_sql(False)})
+SELECT report_year, report_week, CAST(max(report_date) AS DATE) AS report_date, count(*) AS line_count,
+       CAST(sum(TRY_CAST(order_quantity AS DECIMAL(18,2))) AS DOUBLE) AS total_quantity,
+       CAST({VALUE_EUR} AS DOUBLE) AS total_value_eur
+FROM t GROUP BY report_year, report_week""",
     "logical_week": """SELECT DISTINCT o_orderdate AS logical_date, CAST(week(o_orderdate) AS INTEGER) AS report_week,
        CAST(isoyear(o_orderdate) AS INTEGER) AS report_year FROM orders""",
     "dq_report_dates": f"""WITH {snapshot_ctes('open_po')}

@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from snapweave.operators.journal import Journal, weeks_condition
+from snapweave.operators.upsert import PART_COLS, changed_weeks, read_stored, replace_weeks
+
 # Money and quantity totals are summed as exact decimals (cents; rate with 4
 # places), so a total never depends on how Spark partitioned the rows.
 QTY_DEC, PRICE_DEC, RATE_DEC = "decimal(18,2)", "decimal(18,2)", "decimal(9,4)"
@@ -83,6 +86,46 @@ def materialize(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
     return df.sparkSession.read.parquet(path)
 
 
+# The stored marts: how each is built from the staging model.
+MARTS = {"mart_open_po_weekly": mart_open_po_weekly, "mart_top_suppliers": mart_top_suppliers}
+
+
+def refresh_mart(spark: SparkSession, table: str, mart: str, path: str) -> int:
+    """Bring a stored mart up to the loads of its raw table; returns the number of weeks rebuilt.
+
+    Only weeks touched since the mart's last refresh are read (partition pruning) and
+    exchanged, under the same journal as a load: a lost refresh is finished or repeated by the next.
+    """
+    journal = Journal(spark, path)
+    state = journal.recover()
+    number, weeks = changed_weeks(spark, table, state.source if state is not None else 0)
+    if not weeks:
+        return 0
+    raw = read_stored(spark, table).filter(weeks_condition(PART_COLS, weeks))
+    replace_weeks(spark, MARTS[mart](stg_open_po(raw)), path, weeks, number)
+    return len(weeks)
+
+
+def publish_models(spark: SparkSession, database: str, table: str, marts: dict[str, str]) -> None:
+    """Catalog entries of a database: the staging model as a view over the raw table, the marts as tables.
+
+    The tables stay where they are stored; entries are renewed, their data never touched.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for name, path in {"raw_open_po": table, **marts}.items():
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+        spark.sql(f"CREATE TABLE {database}.{name} USING parquet LOCATION '{path}'")
+        spark.sql(f"MSCK REPAIR TABLE {database}.{name}")
+    spark.sql(f"CREATE OR REPLACE VIEW {database}.stg_open_po AS {STG_OPEN_PO_SQL.format(raw=f'{database}.raw_open_po')}")
+
+
+STG_OPEN_PO_SQL = """
+SELECT concat(cast(report_year AS string), '-', cast(report_week AS string), '-', key) AS row_id, report_year, report_week,
+       key, po_number, po_item, material, material_description, supplier, order_quantity, net_price, currency, rate_to_eur,
+       line_value_eur, cast(report_date AS date) AS report_date
+FROM {raw}"""
+
+
 def build_models(spark: SparkSession, raw_open_po: DataFrame, raw_all_prs: DataFrame | None = None,
                  out_dir: str | None = None) -> dict[str, DataFrame]:
     """raw -> staging -> marts. With ``out_dir`` the marts are saved as tables."""

@@ -22,11 +22,11 @@ ORDER_COL = "_order"      # row order of the source (file, row) used to pick the
 ABSENT_COL = "_absent"    # optional fields a source file did not have
 
 
-def snapshot_columns(df: DataFrame, contract: Contract) -> list[str]:
+def snapshot_columns(df: DataFrame, contract: Contract, hidden: tuple[str, ...] = ()) -> list[str]:
     fields = [f for f in contract.names if f in df.columns]
     added = (contract.lookup.adds, contract.lookup.value) if contract.lookup is not None else ()
     extra = [c for c in added if c in df.columns]
-    keep = [ABSENT_COL] if ABSENT_COL in df.columns else []
+    keep = [c for c in (ABSENT_COL, *hidden) if c in df.columns]
     return fields + ["key", "report_date", "report_week", "report_year"] + extra + keep
 
 
@@ -38,12 +38,14 @@ def cleaned(field: Field, dtype: DataType) -> Column:
 
 
 def transform(df: DataFrame, contract: Contract, rates: DataFrame | None = None,
-              week: int | None = None, year: int = DEFAULT_YEAR, keep: str = "last") -> DataFrame:
+              week: int | None = None, year: int = DEFAULT_YEAR, keep: str = "last",
+              arrival: bool = False) -> DataFrame:
     """Coerce numbers, pad keys, key and drop incomplete rows, keep the last
     row per key and week, stamp the report date, add FX rates.
 
     ``df`` carries ``report_year``/``report_week`` columns, or a single
-    ``week`` (and ``year``) is given for the whole frame.
+    ``week`` (and ``year``) is given for the whole frame. With ``arrival`` the
+    rows keep their place of arrival (``_order``) for the sink.
     """
     out = df
     if week is not None:
@@ -61,7 +63,7 @@ def transform(df: DataFrame, contract: Contract, rates: DataFrame | None = None,
     out = out.withColumn("report_date", F.date_format(monday, "yyyy-MM-dd"))
     if contract.lookup is not None:
         out = enrich_rates(out, rates, contract.lookup)
-    return out.select(*snapshot_columns(out, contract))
+    return out.select(*snapshot_columns(out, contract, (ORDER_COL,) if arrival else ()))
 
 
 def incomplete_rows(df: DataFrame, contract: Contract) -> DataFrame:

@@ -350,6 +350,16 @@ def reload_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_count_changes(spark, table)
 
 
+def mart_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly mart kept up to date over two loads: built whole, then refreshed for the weeks of the second."""
+    table = shared_dir(spark, "tables", unique=True) + "/open_po"
+    mart = shared_dir(spark, "marts", unique=True) + "/weekly"
+    for snap in _upsert_inputs(spark, sf_dir):
+        upsert(spark, snap, table, shared_dir(spark, "staging", "open_po", unique=True))
+        models.refresh_mart(spark, table, "mart_open_po_weekly", mart)
+    return read_stored(spark, mart)
+
+
 def logical_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ISO week (and its year) of every logical date."""
     d = read_table(spark, sf_dir, "orders").select("o_orderdate").distinct()
@@ -433,6 +443,7 @@ QUERIES: dict[str, Query] = {
     "snapshot_contract_file": snapshot_contract_file,
     "stored_row_count": stored_row_count,
     "reload_row_counts": reload_row_counts,
+    "mart_refresh": mart_refresh,
     "logical_week": logical_week,
     "dq_report_dates": dq_report_dates,
     "card_columns": card_columns,

@@ -68,8 +68,8 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
         path = f"{path}/{p}"
     if unique:
         path = f"{path}/{uuid.uuid4().hex}"
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
+    if "://" not in path and spark.conf.get("spark.master", "").startswith("local") and not path.startswith("file:"):
+        os.makedirs(path, exist_ok=True)  # elsewhere a path without a scheme may be on the cluster's file system
     return path
 
 

@@ -96,3 +96,25 @@ def test_a_key_without_a_year_takes_that_of_the_arrival(spark, tmp_path):
     run_weeks(spark, str(tmp_path / "raw/dataset=open_po"), "open_po", str(tmp_path / "t"), rates=load_rates(spark))
     got = {(r.report_year, r.report_week, r.report_date) for r in read_stored(spark, str(tmp_path / "t")).collect()}
     assert got == {(2026, 29, "2026-07-13"), (2025, 52, "2025-12-22"), (2026, 1, "2025-12-29")}
+
+
+def test_an_older_file_that_comes_in_a_later_batch_does_not_win(spark, tmp_path):
+    import os
+
+    from snapweave.operators.upsert import read_stored
+    from snapweave.plans.jobs import run_weeks
+
+    def land(root, name, price, when, other):
+        path = root / f"landing/dataset=open_po/year=2026/week=29/{name}"
+        write_csv(path, [HEAD, ["4500000001", "10", "1", "x", "S", "1", price, "EUR", "", "P100", "Z"],
+                         [other, "10", "1", "x", "S", "1", "1", "EUR", "", "P100", "Z"]])
+        os.utime(path, (when, when))
+    files = [("new.csv", "99", 3_000, "45A"), ("old.csv", "10", 1_000, "45B"), ("mid.csv", "50", 2_000, "45C")]
+    for f in files:  # each in a batch of its own, the newest first
+        land(tmp_path, *f)
+        ingest_available(spark, str(tmp_path / "landing"), "open_po", str(tmp_path / "stream"), str(tmp_path / "ckpt"))
+    run_weeks(spark, str(tmp_path / "landing/dataset=open_po"), "open_po", str(tmp_path / "batch"))
+    got = [sorted(map(str, read_stored(spark, str(tmp_path / t)).collect())) for t in ("stream", "batch")]
+    assert got[0] == got[1] and len(got[0]) == 4
+    prices = {r.key: r.net_price for r in read_stored(spark, str(tmp_path / "stream")).collect()}
+    assert prices["4500000001|10"] == 99.0 and "_order" not in read_stored(spark, str(tmp_path / "stream")).columns
