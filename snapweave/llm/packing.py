@@ -46,8 +46,9 @@ CELLS = 1_000_000  # windows x queues whose boundaries are held at a time
 MAX_QUEUES = 4096
 THIN = 8  # windows a token on the way from a document's first token to its last
 BROADCAST_ROWS = 200_000  # of (task, queue) offsets, some 50 bytes each
-CACHE_CHUNKS = 500_000
-CACHE_WORDS = 500_000
+CACHE_CHUNKS = 900_000
+CACHE_WORDS = 700_000
+IDS = [f"<{n}I" for n in range(65)]  # of a word, by the number of its tokens
 # Control characters that str.split() takes as white space and Unicode's White_Space doesn't.
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
 # Punctuation that is a token run of its own after a word (an apostrophe isn't: it starts contractions).
@@ -92,7 +93,7 @@ class Chunks(dict):
                 got = self.encode(word)
             else:
                 tokens = self.merges.tokenize(word if word.isascii() else word.translate(self.letters))
-                got = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+                got = struct.pack(IDS[len(tokens)] if len(tokens) < len(IDS) else f"<{len(tokens)}I", *[t.id for t in tokens])
             if len(self.words) >= CACHE_WORDS:
                 self.words.clear()
             self.words[word] = got

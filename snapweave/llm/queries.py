@@ -172,5 +172,23 @@ ranked AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS k, 10 *
            FROM scored WHERE n_features >= 20)
 SELECT doc_id, n_features, weight, score, CASE WHEN k <= drawn THEN k END AS rank
 FROM scored LEFT JOIN ranked USING (r)
+""",
+    "op13_ngram_join": r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT r, unnest(CASE WHEN len(w) >= 5
+      THEN list_transform(range(len(w) - 4), lambda i: array_to_string(w[i + 1:i + 5], ' '))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM docs),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY 1),
+common AS (SELECT x.r AS a, y.r AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.s = y.s AND x.r <> y.r GROUP BY 1, 2),
+links AS (SELECT a, b FROM common JOIN sizes x ON a = x.r JOIN sizes y ON b = y.r WHERE 100 * c >= 80 * (x.n + y.n - c)),
+reached AS (SELECT r AS a, r AS b FROM docs UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
+least_id AS (SELECT a AS r, min(doc_id) AS component_id FROM reached JOIN docs ON b = docs.r GROUP BY 1)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM docs LEFT JOIN sizes USING (r) JOIN least_id USING (r)
 """,
 }

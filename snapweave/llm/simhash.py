@@ -34,7 +34,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapweave.llm.common import fresh, stored
@@ -191,12 +191,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each component: smallest id (nulls last), then smallest row hash.
 
-    Rows with the same id and text are the same document: one of them stays.
+    Rows with the same id and text are the same document: of those the one with the
+    smallest hash over all columns stays (equal rows are interchangeable).
     """
     found = near_duplicates(docs, doc_id, text)
     kept = found.groupBy("root").agg(F.min(F.struct(
-        F.col("doc_id").isNull(), "doc_id", "row_hash")).alias("r")).select("r.row_hash")
-    mark = fresh(docs, "row_hash")
+        F.col("doc_id").isNull(), "doc_id", "row_hash")).alias("r")).select(
+        F.col("r.doc_id").alias("kept_id"), F.col("r.row_hash").alias("kept_hash"))
+    mark, place = fresh(docs, "row_hash"), fresh(docs, "row_place")
     marked = docs.withColumn(mark, F.xxhash64(doc_id, text))
-    return (marked.join(kept.withColumnRenamed("row_hash", mark), mark, "left_semi")
-            .dropDuplicates([mark]).select(*[marked[f"`{c}`"] for c in docs.columns]))
+    same = (marked[mark] == kept["kept_hash"]) & marked[f"`{doc_id}`"].eqNullSafe(kept["kept_id"])
+    every = [F.col(f"`{c}`") for c in docs.columns if "map" not in docs.schema[c].dataType.simpleString()]
+    first = F.row_number().over(Window.partitionBy(mark, F.col(f"`{doc_id}`")).orderBy(F.xxhash64(*every), F.hash(*every)))
+    return (marked.join(kept, same, "left_semi").withColumn(place, first).filter(F.col(place) == 1)
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))

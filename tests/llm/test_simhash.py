@@ -104,3 +104,10 @@ def test_keep_one_and_empty(spark, docs_of):
         (-1, "x y z w"), (1, "a b c d e"), (9, "p q r s t u v")]
     assert simhash.keep_one(docs.limit(0)).count() == 0
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_of_rows_with_one_id_and_text_the_same_one_stays(spark, docs_of):
+    rows = [(1, "a b c d e f", f"source {k}") for k in range(40)] + [(None, "q r s t u", f"s{k}") for k in range(9)]
+    docs = docs_of(rows)
+    kept = {tuple(sorted(map(str, simhash.keep_one(docs.repartition(n, "source")).collect()))) for n in (1, 3, 8)}
+    assert len(kept) == 1 and len(next(iter(kept))) == 2
