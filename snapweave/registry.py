@@ -23,6 +23,7 @@ from snapweave.operators.upsert import KEY_COLS, count_rows, read_stored, row_co
 from snapweave.operators.resolve import extract
 from snapweave.plans import cards, models
 from snapweave.plans.jobs import BranchFailures, quarantined, run_datasets, run_weeks
+from snapweave.plans.runlog import read_log
 from snapweave.plans.snapshot import transform
 from snapweave.session import shared_dir
 from snapweave.sources.grid import read_extracts
@@ -291,7 +292,7 @@ def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_log_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages a backfill logged, with the rows each took and gave."""
     _, log = _backfilled(spark, sf_dir)
-    return spark.read.parquet(log).select("module", "stage", "rows_in", "rows_out", "status")
+    return read_log(spark, log).select("module", "stage", "rows_in", "rows_out", "status")
 
 
 def stream_ingest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
