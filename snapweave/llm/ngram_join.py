@@ -58,7 +58,8 @@ CELL_BITS, CHUNK_BITS = 22, 16
 CELLS = 1 << CELL_BITS
 BITMAP = 1 << 27
 SALTS = 16
-HUB_ROUNDS = 2
+HUB_ROUNDS = 1
+STEPS = 3
 BLOCK = 512
 FLUSH = SLICE = 1 << 20
 _U = np.uint64
@@ -440,10 +441,23 @@ def _groups(members: DataFrame) -> DataFrame:
     return rows.unionByName(hubs).groupBy("hub", "node", "size").agg(F.max("indexed").alias("indexed"))
 
 
+def _near_roots(links: DataFrame, steps: int = STEPS) -> DataFrame:
+    """Stored (node, root): the smallest node within ``steps`` links, a part of the component.
+
+    Enough to leave out pairs inside a star; the components themselves are worked out once, at the end.
+    """
+    both = stored(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "ngram-both")
+    roots = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select(
+        "node", F.least("node", "low").alias("root"))
+    for _ in range(steps - 1):
+        near = both.join(roots.withColumnsRenamed({"node": "b", "root": "low"}), "b").select("a", "low")
+        roots = near.groupBy(F.col("a").alias("node")).agg(F.min("low").alias("root"))  # each node is two links from itself
+    return stored(roots, "ngram-roots")
+
+
 def _open(groups: DataFrame, links: DataFrame) -> DataFrame:
-    """Stored: rows of the groups that hold several components, with the root of each."""
-    roots = stored(components(links, "ngram-cc"), "ngram-roots")
-    placed = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    """Stored: rows of the groups that hold several components, as far as ``_near_roots`` tells, with the root of each."""
+    placed = groups.join(_near_roots(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
     several = (placed.groupBy("hub").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
                .filter("lo <> hi").select("hub"))
     return stored(placed.join(several, "hub"), "ngram-open")
