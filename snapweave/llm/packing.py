@@ -46,8 +46,8 @@ CELLS = 1_000_000  # windows x queues whose boundaries are held at a time
 MAX_QUEUES = 4096
 THIN = 8  # windows a token on the way from a document's first token to its last
 BROADCAST_ROWS = 200_000  # of (task, queue) offsets, some 50 bytes each
-CACHE_CHUNKS = 900_000
-CACHE_WORDS = 700_000
+CACHE_CHUNKS = 500_000
+CACHE_WORDS = 500_000
 IDS = [f"<{n}I" for n in range(65)]  # of a word, by the number of its tokens
 # Control characters that str.split() takes as white space and Unicode's White_Space doesn't.
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
@@ -108,6 +108,8 @@ class Chunks(dict):
         got = None
         if max(chunk) < "\u0130":  # below it lower() maps letter by letter and nothing combines
             word = chunk.lower().rstrip(TAIL)
+            if word == chunk:
+                word = chunk  # one string object for both caches
             if word.isalpha():
                 tail = chunk[len(word):]
                 got = self.word(word) + self[tail] if tail else self.word(word)
