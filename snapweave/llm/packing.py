@@ -239,9 +239,9 @@ class Mixture:
         row = np.concatenate([np.flatnonzero(~thin), np.repeat(np.flatnonzero(thin), n[thin])])
         begin = np.concatenate([start[~thin], *[np.arange(a, a + m) for a, m in zip(start[thin], n[thin])]])
         size = np.concatenate([n[~thin], np.ones(int(n[thin].sum()), np.int64)])
-        pieces = sorted((int(row[r]), int(begin[r] - start[row[r]]) + a, m, w, o)
-                        for r, a, m, w, o in self._cut(queue[row], begin, size, self.near(queue[row], begin),
-                                                       self.near(queue[row], begin + size)))
+        due = self.near(queue[row], begin)  # a single token lies about where it falls due, the next one far behind
+        pieces = sorted((int(row[r]), int(begin[r] - start[row[r]]) + a, m, w, o) for r, a, m, w, o in self._cut(
+            queue[row], begin, size, due, np.where(thin[row], due, last[row])))
         out: list[tuple[int, int, int, int, int]] = []
         for r, a, m, w, o in pieces:
             if out and out[-1][0] == r and out[-1][1] + out[-1][2] == a and out[-1][3] == w and out[-1][4] + out[-1][2] == o:
