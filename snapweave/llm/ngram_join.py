@@ -54,14 +54,15 @@ from snapweave.llm.simhash import components
 
 SHINGLE_WORDS = 5
 PERCENT = 80
-CELL_BITS, CHUNK_BITS = 22, 16
+CELL_BITS, CHUNK_BITS = 21, 16
 CELLS = 1 << CELL_BITS
-BITMAP = 1 << 27
+BITMAP = 1 << 25
 SALTS = 16
 HUB_ROUNDS = 1
 STEPS = 3
 BLOCK = 512
 FLUSH = SLICE = 1 << 20
+ROWS = 1000  # texts whose combinations or sets are handed on at a time
 _U = np.uint64
 
 
@@ -311,9 +312,9 @@ def _combinations(docs: DataFrame, prefixes: Prefixes, clashing: frozenset[int],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
+        for part in _parts(batches):
             out: tuple[list, list, list] = ([], [], [])
-            for tokens in token_sets(batch.column(0), shingle_words):
+            for tokens in token_sets(part, shingle_words):
                 node = _node(set_keys(tokens), clashing)
                 if not len(tokens) or node in seen:
                     continue
@@ -329,6 +330,13 @@ def _combinations(docs: DataFrame, prefixes: Prefixes, clashing: frozenset[int],
     return docs.select("text").mapInArrow(run, "sig bigint, node bigint, meta bigint")
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Array]:
+    """The texts, ``ROWS`` at a time."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, ROWS):
+            yield batch.column(0).slice(a, ROWS)
+
+
 def _node(keys: tuple[int, int], clashing: frozenset[int]) -> int:
     """A set's node: its first key, or the second where different sets share the first."""
     return keys[1] if keys[0] in clashing else keys[0]
@@ -372,9 +380,9 @@ def _sets(docs: DataFrame, bitmap: np.ndarray, clashing: frozenset[int], shingle
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
+        for part in _parts(batches):
             nodes, sets = [], []
-            for tokens in token_sets(batch.column(0), shingle_words):
+            for tokens in token_sets(part, shingle_words):
                 node = _node(set_keys(tokens), clashing)
                 if len(tokens) and node not in seen and _bit(bitmap, node):
                     seen.add(node)

@@ -156,7 +156,7 @@ def test_blocks_and_no_hub_rounds_give_the_same(spark, docs_of, monkeypatch):
 
 
 def test_bitmap_names_every_node(spark):
-    nodes = [0, 1, 4095, 4096, 32767, 32768, (1 << 27) - 1, 1 << 27, -1, -(1 << 27), 1 << 62]
+    nodes = [0, 1, 4095, 4096, 32767, 32768, nj.BITMAP - 1, nj.BITMAP, -1, -nj.BITMAP, 1 << 62]
     bitmap = nj._bitmap(spark.createDataFrame([(n,) for n in nodes], "node bigint"))
     assert all(nj._bit(bitmap, n) for n in nodes)
     assert not any(nj._bit(bitmap, n) for n in (2, 4094, 32766, -2))
