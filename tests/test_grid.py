@@ -221,3 +221,30 @@ def test_the_parser_and_the_window_find_the_same_headers(spark, landed, tmp_path
     assert "Join" not in two._jdf.queryExecution().executedPlan().toString()
     with pytest.raises(Exception, match="no header for"):
         extract(read_extracts(spark, str(landed), contract=OPEN_PO), OPEN_PO).collect()
+
+
+PARSE_TWO_FILES = """
+import pyarrow as pa
+from snapweave.sources import grid
+
+lines = "\\n".join(f"{i},x" for i in range(5000)).encode()
+batch = pa.RecordBatch.from_arrays(
+    [pa.array(["d", "d"]), pa.array([2026, 2026]), pa.array([1, 2]), pa.array(["a.csv", "b.csv"]),
+     pa.array([None, None], pa.timestamp("us")), pa.array([lines, b"1,y"])], [*grid.FILE_COLS, "arrived", "content"])
+places = []
+for out in grid._file_parser(",", None, 15, grid.PARSED_SCHEMA.fieldNames())(iter([batch])):
+    places += zip(out.column("file").to_pylist(), out.column("report_week").to_pylist(), out.column("row_idx").to_pylist())
+assert places == [("a.csv", 1, i) for i in range(5000)] + [("b.csv", 2, 0)]
+print(pa.default_memory_pool().max_memory() // len(lines))
+"""
+
+
+def test_a_files_bytes_are_not_repeated_with_its_rows():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    # in a process of its own: the peak is that of the whole process
+    said = subprocess.run([sys.executable, "-c", PARSE_TWO_FILES], cwd=Path(__file__).parent.parent, capture_output=True, text=True)
+    assert said.returncode == 0, said.stderr
+    assert int(said.stdout) < 200  # 5,000 copies before, one a row
