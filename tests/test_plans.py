@@ -45,3 +45,27 @@ def test_entry_runs(spark):
                           "total_value_eur"]
     assert df.count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_a_grids_rows_stay_where_they_were_numbered(spark):
+    p = plan(QUERIES["grid_resolve"](spark, SF))
+    assert "Union" not in p and p.count("Exchange hashpartitioning(report_year") == 1
+
+
+def test_fields_are_located_on_a_files_first_rows_only(spark):
+    p = plan(QUERIES["grid_resolve"](spark, SF))
+    above, below = p.split("max(_h", 1) if "max(_h" in p else p.split("Window [max(", 1)
+    assert "array_position" not in above and "array_position" in below
+
+
+def test_loads_of_one_input_join_the_tables_once(spark):
+    from snapweave.registry import _upsert_inputs
+
+    assert not any("lineitem" in plan(df) for df in _upsert_inputs(spark, SF))
+
+
+def test_lines_are_shuffled_once_to_their_orders(spark):
+    from weekfixtures.tables import open_po_extract
+
+    p = plan(open_po_extract(spark, SF))
+    assert p.count("Exchange hashpartitioning(l_orderkey") == 1 and "Window" not in p
