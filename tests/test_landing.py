@@ -80,3 +80,27 @@ print("LANDED", land_files(spark, {str(tmp_path / "raw/dataset=open_po")!r}, {st
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "ROWS 4" in out.stdout and "LANDED 1" in out.stdout, out.stderr[-2000:]
+
+
+def test_tasks_put_landed_files_to_their_place(spark, tmp_path):
+    from weekfixtures.files import land_grid
+
+    rows = [("d", 2026, 29, "a", 1, ["x", 'q"1', None]), ("d", 2026, 29, "a", 0, ["h", " b ", "c,d"]),
+            ("d", None, None, "b=1", 0, ["y", "", "z"]), ("d", 2026, 30, "c", 0, ["é", "l\nm", "n"])]
+    grid = spark.createDataFrame(rows, "dataset string, report_year int, report_week int, file string, row_idx int, cells array<string>")
+    root = land_grid(grid, str(tmp_path / "zone"), width=3)
+    found = {p.relative_to(root).as_posix(): p.read_bytes().decode() for p in (tmp_path / "zone").rglob("*") if p.is_file()}
+    # the files alone: nothing that a committing driver leaves, and folders named as Spark names them
+    assert {k.rsplit("/", 1)[0] for k in found} == {
+        "dataset=d/year=2026/week=29/extract=a", "dataset=d/year=2026/week=30/extract=c",
+        "dataset=d/year=__HIVE_DEFAULT_PARTITION__/week=__HIVE_DEFAULT_PARTITION__/extract=b%3D1"}
+    assert len(found) == 3 and [v for k, v in found.items() if "extract=a" in k] == ['h, b ,"c,d"\nx,"q""1",\n']
+    assert {r["extract"] for r in list_landed(spark, root).collect()} == {"a", "b=1", "c"}
+
+
+def test_a_grid_laid_out_by_file_is_not_shuffled_again(spark):
+    from snapweave.registry import open_po_grid
+
+    grid = open_po_grid(spark, "/root/testdata/sf0.001").repartition("report_year", "report_week", "file")
+    p = grid._jdf.queryExecution().executedPlan().toString()
+    assert p.count("Exchange hashpartitioning(report_year") == 1
