@@ -248,3 +248,25 @@ def test_a_files_bytes_are_not_repeated_with_its_rows():
     said = subprocess.run([sys.executable, "-c", PARSE_TWO_FILES], cwd=Path(__file__).parent.parent, capture_output=True, text=True)
     assert said.returncode == 0, said.stderr
     assert int(said.stdout) < 200  # 5,000 copies before, one a row
+
+
+def test_bronze_is_read_by_the_session_it_is_meant_for(spark, tmp_path):
+    from snapweave.sources.grid import read_extracts, write_bronze
+
+    write_csv(tmp_path / "raw/dataset=open_po/year=2026/week=29/po.csv", [HEAD, *ROWS])
+    other = spark.newSession()  # as a stream's batches have it
+    other.conf.set("spark.sql.adaptive.enabled", "false")
+    grid = read_extracts(other, str(tmp_path / "raw"))
+    bronze = write_bronze(grid, str(tmp_path / "bronze"), spark=spark)
+    assert bronze.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true" and bronze.count() == grid.count()
+
+
+def test_missing_texts_are_null_in_cells_as_parsed(spark, tmp_path):
+    from snapweave.sources.grid import read_text_grid
+
+    write_csv(tmp_path / "dataset=open_po/year=2026/week=29/po.csv", [["a", "", "NA"], ["nan"], ["b", "null", "x ", "NAN"]])
+    grid = read_text_grid(spark, str(tmp_path))
+    cells = [r["cells"] for r in grid.orderBy("row_idx").collect()]
+    assert cells == [["a", None, None], [None], ["b", None, "x ", "NAN"]]
+    p = grid._jdf.queryExecution().executedPlan().toString()
+    assert "transform(" not in p  # found by the parser, not cell by cell above it
