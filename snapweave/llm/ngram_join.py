@@ -345,14 +345,16 @@ def _node(keys: tuple[int, int], clashing: frozenset[int]) -> int:
 def _members(sigs: DataFrame) -> DataFrame:
     """Rows of shared combinations: sig, node, size, indexed, hub, hub_size, hub_indexed and hot.
 
-    The hub is the smallest index set of the rows dealt to one key.
+    The hub is the smallest index set of the rows dealt to one key. A set whose copies lie in several tasks
+    comes from each of them; one row of it is kept.
     """
     salt = F.when(F.col("meta") % 2 == 1, F.pmod("node", F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
     together = Window.partitionBy("sig", "salt").orderBy("meta", "node")
     size = lambda c: F.shiftright(c, 1).bitwiseAND(F.lit((1 << 39) - 1))
     return (sigs.withColumn("salt", salt)
             .select("sig", "node", "meta", F.first("node").over(together).alias("hub"),
-                    F.first("meta").over(together).alias("hub_meta"))
+                    F.first("meta").over(together).alias("hub_meta"), F.lag("node").over(together).alias("before"))
+            .filter("before IS NULL OR before <> node")
             .filter("hub_meta < (1L << 40) AND node <> hub OR meta % 2 = 1")
             .select("sig", "node", size(F.col("meta")).alias("size"), (F.col("meta") < 1 << 40).alias("indexed"),
                     "hub", size(F.col("hub_meta")).alias("hub_size"), (F.col("hub_meta") < 1 << 40).alias("hub_indexed"),
@@ -437,15 +439,19 @@ class Verifier:
 def _groups(members: DataFrame) -> DataFrame:
     """(hub, node, size, indexed): buckets of one hub put together, the hub included.
 
-    Frequent combinations were dealt over several keys; here each has one hub again.
+    Frequent combinations were dealt over several keys; here each has one hub again. Those of a single set are left out.
     """
     hot = members.filter("hot")
-    one = (hot.filter("hub_indexed").groupBy("sig").agg(F.min(F.struct("hub_size", "hub")).alias("h"))
+    one = (hot.groupBy("sig").agg(F.min(F.when(F.col("hub_indexed"), F.struct("hub_size", "hub"))).alias("h"),
+                                  F.min("node").alias("lo"), F.max("node").alias("hi"))
+           .filter("h IS NOT NULL AND lo <> hi")
            .select("sig", F.col("h.hub").alias("hub"), F.col("h.hub_size").alias("hub_size")))
-    rows = members.filter("NOT hot").select("hub", "hub_size", "node", "size", "indexed").unionByName(
-        hot.drop("hub", "hub_size").join(one, "sig").select("hub", "hub_size", "node", "size", "indexed"))
-    hubs = rows.select("hub", "hub_size", F.col("hub").alias("node"), F.col("hub_size").alias("size"),
-                       F.lit(True).alias("indexed"))
+    rest = members.filter("NOT hot")
+    rows = rest.select("hub", "node", "size", "indexed").unionByName(
+        hot.drop("hub", "hub_size").join(one, "sig").select("hub", "node", "size", "indexed"))
+    # from the buckets, not from the rows: the join above is made once
+    hubs = rest.select("hub", "hub_size").unionByName(one.select("hub", "hub_size")).select(
+        "hub", F.col("hub").alias("node"), F.col("hub_size").alias("size"), F.lit(True).alias("indexed"))
     return rows.unionByName(hubs).groupBy("hub", "node", "size").agg(F.max("indexed").alias("indexed"))
 
 

@@ -155,6 +155,34 @@ def test_blocks_and_no_hub_rounds_give_the_same(spark, docs_of, monkeypatch):
     assert as_rows(nj.linked(docs_of(rows).repartition(4))) == brute(rows)
 
 
+@pytest.mark.parametrize("frequent", [10**9, 0])
+def test_copies_in_several_tasks_give_each_combination_once(spark, docs_of, frequent):
+    prefixes = nj.Prefixes(np.ones(256, np.uint32))
+    prefixes.frequent, prefixes.very_frequent = frequent, 10**9
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(300)]
+    text = " ".join(rng.choices(words, k=90))
+    texts = [text] * 60 + near_copies(rng, [text], 30, words, 2)
+
+    def members(tasks):
+        docs = docs_of(list(enumerate(texts))).select("text").repartition(tasks)
+        return nj._members(nj._combinations(docs, prefixes, frozenset(), 5))
+    alone, dealt = members(1).collect(), members(9).collect()
+    assert len({(r["sig"], r["node"]) for r in dealt}) == len(dealt) > 100
+    assert sorted(alone) == sorted(dealt)
+
+
+def test_frequent_combinations_of_one_set_make_no_group(spark):
+    rows = [(1, 10, 100, True, 10, 100, True, True), (2, 10, 100, True, 10, 100, True, True),
+            (2, 11, 110, False, 11, 110, False, True), (3, 12, 90, False, 12, 90, False, True)]
+    members = spark.createDataFrame(rows, "sig bigint, node bigint, size bigint, indexed boolean, hub bigint, "
+                                          "hub_size bigint, hub_indexed boolean, hot boolean")
+    assert nj._groups(members.filter("sig <> 2")).count() == 0
+    groups = nj._groups(members)
+    assert sorted(map(tuple, groups.collect())) == [(10, 10, 100, True), (10, 11, 110, False)]
+    assert groups._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") == 1
+
+
 def test_bitmap_names_every_node(spark):
     nodes = [0, 1, 4095, 4096, 32767, 32768, nj.BITMAP - 1, nj.BITMAP, -1, -nj.BITMAP, 1 << 62]
     bitmap = nj._bitmap(spark.createDataFrame([(n,) for n in nodes], "node bigint"))
