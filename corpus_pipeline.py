@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapweave.llm import decontaminate, langid, simhash, toxicity
-from snapweave.llm.common import stored, table
+from snapweave.llm.common import small_batches, stored, table
 from snapweave.llm.queries import language_net, packed, toxicity_scorer
 
 TOXIC_SCORE = 0.5  # documents at or above it go
@@ -23,12 +23,14 @@ ORACLE_SQL = None
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose restored text scores below ``TOXIC_SCORE``."""
+    small_batches(spark)
     scorer = toxicity_scorer(docs, table(spark, sf_dir, "labels"))
     return docs.filter(toxicity.scored(docs["text"], scorer) < TOXIC_SCORE)
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language; without any labelled row, those with a letter."""
+    small_batches(spark)
     net = language_net(docs)
     if net is None:
         return docs.filter(F.coalesce(docs["text"].rlike(r"\p{L}"), F.lit(False)))
@@ -38,16 +40,19 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component."""
+    small_batches(spark)
     return simhash.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a verified overlap with the benchmark."""
+    small_batches(spark)
     return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences, with their ids."""
+    small_batches(spark)
     return packed(docs).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset",
                                "source", "ids")
 

@@ -112,11 +112,12 @@ def cell_masks(max_bits: int = MAX_BITS) -> list[int]:
 def _links(distinct: DataFrame, max_bits: int) -> DataFrame:
     """Links (a, b), a > b, that span every component of fingerprints within ``max_bits``."""
     masks = cell_masks(max_bits)
+    most = len(masks) * distinct.count()  # of a stored table, so from its files' footers
     cells = distinct.select("fp", F.explode(F.array(*[
         F.struct(F.lit(i).alias("grid"), embed(F.col("fp")).bitwiseAND(F.lit(_signed(m))).alias("cell"))
         for i, m in enumerate(masks)])).alias("k")).select("fp", "k.grid", "k.cell")
     full = cells.groupBy("grid", "cell").agg(F.count("*").alias("n")).filter("n > 1")
-    members = stored(cells.join(full, ["grid", "cell"]), "simhash-cells")
+    members = stored(cells.join(full, ["grid", "cell"]), "simhash-cells", most)
 
     def near(x: Column, y: Column) -> Column:
         bound = F.bit_count(embed(x).bitwiseXOR(embed(y))) <= max_bits
@@ -138,15 +139,16 @@ def _links(distinct: DataFrame, max_bits: int) -> DataFrame:
     return paired.unionByName(shared).distinct()
 
 
-def components(links: DataFrame, name: str = "components") -> DataFrame:
+def components(links: DataFrame, name: str = "components", rows: int | None = None) -> DataFrame:
     """(node, root) for every node of ``links`` (a, b): root is the smallest node of its component.
 
     Alternating large-star and small-star steps: each round hooks every node to
     the smallest neighbour, halving paths, so rounds grow with the logarithm of
-    the longest chain. Each round is written to the shared folder.
+    the longest chain. Each round is written to the shared folder, in files sized by the
+    edges of the round before, which it never exceeds; ``rows``: about how many links there are.
     """
     edges = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                   .filter("a <> b").distinct(), f"{name}-0")
+                   .filter("a <> b").distinct(), f"{name}-0", rows)
     mark = lambda e: e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     before, step = mark(edges), 0
     while before[0]:
@@ -159,7 +161,7 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         small = large.join(down, "a").select(
             F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
         hooked = down.select("a", F.col("m").alias("b"))
-        edges = stored(small.unionByName(hooked).filter("a <> b").distinct(), f"{name}-{step}")
+        edges = stored(small.unionByName(hooked).filter("a <> b").distinct(), f"{name}-{step}", before[0])
         after = mark(edges)
         if after == before:
             break
@@ -174,8 +176,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     fingerprint of the component) and component_id (its smallest id)."""
     keyed = stored(docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(doc_id, text).alias("row_hash"),
                                fingerprint(F.col(text), shingle_words).alias("fp")), "simhash-fp")
-    distinct = stored(keyed.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
-    roots = components(_links(distinct, max_bits), "simhash-cc").select(F.col("node").alias("fp"), "root")
+    distinct = stored(keyed.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct", keyed.count())
+    links = _links(distinct, max_bits)
+    roots = components(links, "simhash-cc", distinct.count()).select(F.col("node").alias("fp"), "root")
     linked = distinct.join(roots, "fp")
     ids = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
     moved = linked.join(ids, "root").select("fp", "root", "component_id")  # only fingerprints that have a link

@@ -48,3 +48,19 @@ def test_oracle_of_op10(spark):
     got = queries.op10_warc(spark, SF).toPandas().sort_values("page_id").reset_index(drop=True)
     assert list(got.columns) == list(want.columns)
     assert (got.astype(object).where(got.notna(), None).values == want.astype(object).where(want.notna(), None).values).all()
+
+
+def test_whole_texts_go_to_python_in_small_batches(spark):
+    from snapweave.llm import common
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "10000")
+        cp.drop_near_duplicates(spark, spark.createDataFrame([(1, "a b c d")], "doc_id bigint, text string"), SF)
+        assert int(spark.conf.get(name)) == common.BATCH_ROWS
+        spark.conf.set(name, "50")
+        common.small_batches(spark)
+        assert spark.conf.get(name) == "50"
+    finally:
+        spark.conf.set(name, before)

@@ -111,3 +111,28 @@ def test_of_rows_with_one_id_and_text_the_same_one_stays(spark, docs_of):
     docs = docs_of(rows)
     kept = {tuple(sorted(map(str, simhash.keep_one(docs.repartition(n, "source")).collect()))) for n in (1, 3, 8)}
     assert len(kept) == 1 and len(next(iter(kept))) == 2
+
+
+def test_small_rounds_are_written_in_few_files(spark, monkeypatch):
+    """A few edges must not cost a file for every shuffle partition and round."""
+    from snapweave.llm import common
+
+    stem, made = common.scratch_path, []
+    monkeypatch.setattr(common, "scratch_path", lambda s, name: made.append(stem(s, name)) or made[-1])
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    rows = [(i, " ".join(f"w{i * 7 + j}" for j in range(30)) + " tail" * (i % 3)) for i in range(120)]
+    docs = spark.createDataFrame(rows + [(i + 500, t) for i, t in rows], "doc_id bigint, text string")
+    chain = spark.createDataFrame([(i, i + 1) for i in range(200)], "a bigint, b bigint")
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        got = {r["node"]: r["root"] for r in simhash.components(chain, "few", 200).collect()}
+        assert simhash.near_duplicates(docs).count() == 240
+        assert simhash.near_duplicates(docs).filter("doc_id >= 500 and component_id >= 500").count() == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: 0 for i in range(201)}
+    files = {p.rpartition("/")[2]: len(spark.read.parquet(p).inputFiles()) for p in made if "simhash-fp" not in p}
+    assert len(files) > 6 and max(files.values()) == 1, files
