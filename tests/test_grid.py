@@ -270,3 +270,18 @@ def test_missing_texts_are_null_in_cells_as_parsed(spark, tmp_path):
     assert cells == [["a", None, None], [None], ["b", None, "x ", "NAN"]]
     p = grid._jdf.queryExecution().executedPlan().toString()
     assert "transform(" not in p  # found by the parser, not cell by cell above it
+
+
+def test_workbooks_are_deflated():
+    import io
+    import zipfile
+
+    from snapweave.sources.xlsx import decode_workbook
+    from weekfixtures.files import write_workbook
+
+    rows = [["PO Number", "Item"]] + [[f"45{i:07d}", str(i % 9 * 10)] for i in range(500)]
+    data = write_workbook(rows)
+    with zipfile.ZipFile(io.BytesIO(data)) as z:
+        assert all(i.compress_type == zipfile.ZIP_DEFLATED for i in z.infolist())
+        assert len(data) < sum(i.file_size for i in z.infolist()) / 5
+    assert decode_workbook(data) == rows
