@@ -167,3 +167,54 @@ def test_a_shrunken_week_is_reported(spark, tmp_path):
     got = {r.report_week: (r.rows, r.prev_rows, r.passed) for r in row_count_changes(spark, path).collect()}
     assert got == {29: (4, 10, False), 30: (1, 1, True)}
     assert row_count_changes(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_merged_rows_are_shuffled_once_a_side(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from snapweave.operators.upsert import _deal, laid_out
+    from snapweave.session import collocating
+
+    own = collocating(spark)
+    rows = own.range(60).select(F.lit(2024).alias("report_year"), (F.col("id") % 3).cast("int").alias("report_week"),
+                                F.col("id").cast("string").alias("key"), F.col("id").alias("v"))
+    rows.write.parquet(str(tmp_path / "rows"))
+    stored = own.read.parquet(str(tmp_path / "rows"))
+    some = stored.filter("v < 30").withColumn("v", F.col("v") + 100)
+    keys, parts = ["report_year", "report_week", "key"], ["report_year", "report_week"]
+    merged = merge_snapshot(stored, some, keys, parts, touched_only=True, files=2)
+    merged.write.partitionBy(*parts).parquet(str(tmp_path / "side"))
+    plan = merged._jdf.queryExecution().executedPlan().toString().split("LeftSemi")[0]
+    above_join = plan[:plan.index("FullOuter")]
+    assert "Exchange" not in above_join and "_deal" in plan
+    # each week's keys are dealt to two files at most, with every row of the plain merge
+    assert all(len(list(d.glob("part-*"))) <= 2 for d in (tmp_path / "side").glob("*/report_week=*"))
+    plain = merge_snapshot(stored, some, keys, parts)
+    assert sorted(map(str, merged.select(plain.columns).collect())) == sorted(map(str, plain.collect()))
+    # a session that would move the sides gets the layout after the join
+    far = spark.read.parquet(str(tmp_path / "rows"))
+    moved = merge_snapshot(far, far, keys, parts, touched_only=True, files=2)
+    assert "Exchange" in moved._jdf.queryExecution().executedPlan().toString().split("FullOuter")[0]
+    assert laid_out(far, parts, _deal(keys, 2)).count() == 60
+
+
+def test_keys_of_other_kinds_meet(spark):
+    from snapweave.session import collocating
+
+    own = collocating(spark)
+    old = own.createDataFrame([(2024, 1, 5, "a"), (2024, 1, 6, "b")], "report_year int, report_week int, key int, v string")
+    new = own.createDataFrame([(2024, 1, 5, "x"), (2024, 1, 7, "y")], "report_year int, report_week bigint, key bigint, v string")
+    got = merge_snapshot(old, new, touched_only=True, files=3).collect()
+    assert sorted((r["key"], r["v"]) for r in got) == [(5, "x"), (6, "b"), (7, "y")]
+
+
+def test_loads_pack_their_tables_and_drop_shuffles(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    spark.conf.set(name, "false")
+    snap = spark.createDataFrame([(2024, 1, "a", 1.0), (2024, 2, "b", 2.0)], "report_year int, report_week int, key string, v double")
+    upsert(spark, snap, str(tmp_path / "t"), str(tmp_path / "s"))
+    stored = list((tmp_path / "t").glob("report_year=*/*/part-*.parquet"))
+    assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in stored} == {"ZSTD"}
+    assert spark.conf.get(name) == "true"
