@@ -17,7 +17,7 @@ and 8 blocks, whose best rows are merged.
 The bounds discard nothing that belongs to the result, so the result is exact; how many blocks
 they discard depends on how far the data cluster (hardly any for random directions).
 
-Nothing is collected but the value range of each dimension and one number per ``ZONES`` blocks.
+Nothing is collected but the value range of each dimension and the number of blocks.
 
 Defined results: rows with a null label or vector, or a null or non-finite component take no part;
 shorter vectors count as filled with zeros; a null id is no anchor and comes last among ties;
@@ -43,7 +43,7 @@ LOW_PERCENT, HIGH_PERCENT = 30, 90
 BITS = 4
 BLOCK_ROWS = 512
 CHUNK = 4096  # anchors of a unit; a power of two
-ZONES = 512  # zone maps of a planning unit; a power of two
+ZONES = 1024  # zone maps of a planning unit, about
 LARGEST = (1 << 63) - 1
 NO_ID = LARGEST  # stands for a null id inside blocks
 
@@ -196,30 +196,34 @@ def _anchors(blocks: DataFrame, dims: int, every: int, positives: int) -> DataFr
 
 
 def _chosen(anchors: DataFrame, blocks: DataFrame, dims: int, same: bool) -> DataFrame:
-    """(chunk, block) pairs in which some anchor's windows may have a row, by zone maps alone."""
-    zones = (blocks.withColumn("zone", F.shiftright("block", ZONES.bit_length() - 1))
-             .groupBy("zone").agg(F.collect_list(F.struct("block", "lo", "hi", F.array_distinct("labels").alias("labels"))).alias("z")))
-    chunks = anchors.groupBy("chunk").agg(F.collect_list(F.struct("label", "q", "lows", "highs")).alias("a"))
-    numbers = [r["zone"] for r in blocks.select(F.shiftright("block", ZONES.bit_length() - 1).alias("zone")).distinct().collect()]
+    """(chunk, block) pairs in which some anchor's windows may have a row, by zone maps alone.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for chunk, some, zone in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                low, high = (_matrix([z[c] for z in zone], dims) for c in ("lo", "hi"))
-                least, most = score_bounds(_matrix([a["q"] for a in some], dims), low, high)
-                held = [set(z["labels"]) for z in zone]
-                wanted = np.zeros(len(zone), bool)
-                for i, a in enumerate(some):
-                    for lo, hi in zip(a["lows"], a["highs"]):
-                        for j in np.flatnonzero(~wanted & (most[i] >= lo) & (least[i] <= hi)):
-                            wanted[j] = a["label"] in held[j] if same else bool(held[j] - {a["label"]})
-                out += [(chunk, zone[j]["block"]) for j in np.flatnonzero(wanted)]
-            cols = list(zip(*out)) or [(), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["chunk", "block"])
-
-    return (chunks.withColumn("zone", F.explode(F.array(*[F.lit(n) for n in numbers]).cast("array<bigint>")))
-            .join(zones, "zone").select("chunk", "a", "z").mapInArrow(run, "chunk bigint, block bigint"))
+    A task takes one chunk and about ``ZONES`` zone maps, each once: anchors are not repeated for every map.
+    """
+    spread = max(1, -(-blocks.count() // ZONES))
+    zones = blocks.select("block", "lo", "hi", F.array_distinct("labels").alias("held"),
+                          F.pmod(F.xxhash64("block"), F.lit(spread)).alias("for_zone"))
+    maps = zones.crossJoin(F.broadcast(anchors.select(F.col("chunk").alias("for_chunk")).distinct()))
+    asking = anchors.select("chunk", "label", "q", "lows", "highs",
+                            F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint"))).alias("zone"))
+
+    def run(key, asked: pa.Table, zone: pa.Table) -> pa.Table:
+        some, held = asked.select(["label", "q", "lows", "highs"]).to_pylist(), [set(x) for x in zone["held"].to_pylist()]
+        low, high = (_matrix(zone[c].to_pylist(), dims) for c in ("lo", "hi"))
+        wanted = np.zeros(len(held), bool)
+        for start in range(0, len(some) if held else 0, 256):
+            part = some[start:start + 256]
+            least, most = score_bounds(_matrix([a["q"] for a in part], dims), low, high)
+            for i, a in enumerate(part):
+                for lo, hi in zip(a["lows"], a["highs"]):
+                    for j in np.flatnonzero(~wanted & (most[i] >= lo) & (least[i] <= hi)):
+                        wanted[j] = a["label"] in held[j] if same else bool(held[j] - {a["label"]})
+        found = zone["block"].to_numpy()[wanted]
+        return pa.Table.from_arrays([pa.array([key[0].as_py()] * len(found), pa.int64()), pa.array(found, pa.int64())],
+                                    ["chunk", "block"])
+
+    return (asking.groupBy("chunk", "zone").cogroup(maps.groupBy("for_chunk", "for_zone"))
+            .applyInArrow(run, "chunk bigint, block bigint"))
 
 
 def _read(anchors: DataFrame, blocks: DataFrame, dims: int, same: bool, k: int) -> DataFrame:

@@ -100,3 +100,19 @@ def test_empty_and_tiny_tables(spark):
     assert mined(spark, []) == []
     assert mined(spark, [(0, [1.0], 1)]) == []
     assert mined(spark, [(100, [1.0], 1), (1, [1.0], 1), (2, [.5], 2)]) == brute([(100, [1.0], 1), (1, [1.0], 1), (2, [.5], 2)])
+
+
+def test_planning_takes_each_chunk_and_each_zone_map_once(spark, monkeypatch):
+    monkeypatch.setattr(hn, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(hn, "ZONES", 8)
+    frame = spark.createDataFrame([(*r, 1, "x") for r in vectors(np.random.default_rng(9), 600)], SCHEMA)
+    held, dims = hn.prepared(frame, "vec_id", "embedding", "label", 256)
+    blocks = hn.blocked(held, dims)
+    anchors = hn._anchors(blocks, dims, 100, 5)
+    chosen = hn._chosen(anchors, blocks, dims, True)
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    # no row holds a whole chunk or zone, to be repeated for every other; they meet as groups of rows
+    assert "collect_list" not in plan and "FlatMapCoGroupsInArrow" in plan
+    # small zones choose the blocks that one zone of all maps chooses
+    monkeypatch.setattr(hn, "ZONES", 1 << 20)
+    assert sorted(map(tuple, chosen.collect())) == sorted(map(tuple, hn._chosen(anchors, blocks, dims, True).collect()))
